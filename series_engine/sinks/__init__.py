@@ -1,0 +1,5 @@
+from .writers import (append_metrics, append_parquet, save_model,
+                      write_batch_csv, write_partitioned)
+
+__all__ = ["append_metrics", "append_parquet", "save_model", "write_batch_csv",
+           "write_partitioned"]

@@ -1,0 +1,3 @@
+from .jobs import decode, encode, publish, score, trigger_kwargs
+
+__all__ = ["decode", "encode", "publish", "score", "trigger_kwargs"]
