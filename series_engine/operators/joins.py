@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it is proven to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
+DEFAULT_BROADCAST_ROWS = 50_000
 
 
 def bounded_count(df: DataFrame, bound: int) -> int:
@@ -14,15 +14,26 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(int(bound) + 1).count()
 
 
+def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
+    """Compute ``df`` once with a LIMIT of ``max_rows + 1``.  If it fits, return
+    the rows as a local relation (no recomputation later, safe to broadcast);
+    else ``None`` — the caller keeps the distributed plan."""
+    head = df.limit(int(max_rows) + 1).collect()
+    if len(head) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(head, df.schema)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    ``small`` is broadcast only when a bounded count proves it has at most
-    ``max_rows`` rows; otherwise a shuffle join is left to the planner (AQE
-    splits skewed partitions there).  ``small`` should be cheap to recompute
-    (an aggregate), it is evaluated once for the check.
+    ``small`` is computed once; when it has at most ``max_rows`` rows it is
+    broadcast as a local relation, otherwise a shuffle join is left to the
+    planner (AQE splits skewed partitions there).  ``on`` is a list of column
+    names or ``f(big, small) -> Column``.
     """
-    if bounded_count(small, max_rows) <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    local = materialize_small(small, max_rows)
+    side = F.broadcast(local) if local is not None else small
+    cond = on if isinstance(on, (str, list, tuple, Column)) else on(big, side)
+    return big.join(side, cond, how)

@@ -3,12 +3,12 @@ partial (map-side) aggregation; only one-row summaries reach the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import columns as fx
-from .joins import join_small
+from .joins import materialize_small
 
 
 def overview(df: DataFrame, name: str) -> DataFrame:
@@ -55,30 +55,101 @@ def top_entity(df: DataFrame, entity: str, label: str, k: int = 1) -> DataFrame:
     return per.orderBy(F.col("n_labels").desc(), F.col("n_rows").desc(), F.col(entity).asc()).limit(k)
 
 
+# Value chunks per group for exact selection.
+SELECT_CHUNKS = 4096
+
+
+def exact_quantiles(long: DataFrame, keys, value: str, probs, chunks: int = SELECT_CHUNKS,
+                    max_rows: int = 50_000) -> DataFrame:
+    """Exact linear-interpolated quantiles (``quantile_cont`` semantics) per
+    group without gathering a group's values in one place.
+
+    1. per group n, min and max (partial aggregation) split each group's value
+       range into ``chunks`` equal-width chunks;
+    2. rows per (group, chunk) and prefix offsets locate the chunk holding
+       each needed rank ``floor/ceil((n - 1) p)``;
+    3. only those chunks (at most 2 per probability and group) are sorted to
+       read the values at the needed ranks.
+    Chunking only balances work; the result is exact whatever the value
+    distribution.  Returns keys, ``n`` and one column ``q{i}`` per
+    probability."""
+    keys = list(keys)
+    v = F.col(value)
+    sk = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"),
+                                 F.max(value).alias("_hi"))
+    sk_small = materialize_small(sk, max_rows)
+    sk_side = F.broadcast(sk_small) if sk_small is not None else sk
+    span = F.col("_hi") - F.col("_lo")
+    chunk = F.when(span > 0, F.least(F.floor((v - F.col("_lo")) / span * F.lit(float(chunks))),
+                                     F.lit(chunks - 1))).otherwise(F.lit(0)).cast("int")
+    x = long.join(sk_side, keys).withColumn("_c", chunk).drop("_lo", "_hi")
+    cnt = x.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_m"), F.first("_n").alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.withColumn("_off", F.coalesce(F.sum("_m").over(w), F.lit(0)).cast("long"))
+    ranks = []
+    for p in probs:
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
+    inside = None
+    for r in ranks:
+        c = (r >= F.col("_off")) & (r < F.col("_off") + F.col("_m"))
+        inside = c if inside is None else inside | c
+    need = cnt.filter(inside).select(*keys, "_c", "_off", "_n")
+    need_small = materialize_small(need, max_rows)
+    need_side = F.broadcast(need_small) if need_small is not None else need
+    y = x.drop("_n").join(need_side, [*keys, "_c"])
+    wr = Window.partitionBy(*keys, "_c").orderBy(value)
+    y = y.withColumn("_pos", F.col("_off") + F.row_number().over(wr) - 1)
+    pos_hit = None
+    for r in ranks:
+        c = F.col("_pos") == r
+        pos_hit = c if pos_hit is None else pos_hit | c
+    y = y.filter(pos_hit)
+    aggs = [F.first("_n").alias("n")]
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        aggs += [F.max(F.when(F.col("_pos") == lo, v)).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_pos") == hi, v)).alias(f"_hi{i}"),
+                 F.first(h - lo).alias(f"_fr{i}")]
+    out = y.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, "n", *[
+        (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}")
+        for i in range(len(probs))])
+
+
 def quartiles(df: DataFrame, by, cols, exact: bool = True, accuracy: int = 10_000,
               whisker: float = 1.5) -> DataFrame:
     """Box-plot numbers per group and column (long format): n, q1, median, q3,
     iqr, fences q1 - 1.5 iqr / q3 + 1.5 iqr, whiskers (extreme values inside
     the fences) and the count of values outside.
 
-    ``exact`` uses linear-interpolated ``percentile``; otherwise
-    ``percentile_approx`` with bounded memory per group (large groups)."""
+    ``exact`` selects the exact order statistics (``exact_quantiles``: no
+    group is gathered in one task); otherwise ``percentile_approx`` with
+    bounded memory per group."""
     by = [by] if isinstance(by, str) else list(by)
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         by, list(cols), "column", "v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
     keys = [*by, "column"]
     if exact:
-        q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        stats = exact_quantiles(long, keys, "v", [0.25, 0.5, 0.75]).select(
+            *keys, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     else:
         q = F.percentile_approx("v", [0.25, 0.5, 0.75], accuracy)
-    stats = (long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
-                 .select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                         F.col("_q")[2].alias("q3")))
+        stats = (long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
+                     .select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                             F.col("_q")[2].alias("q3")))
     stats = (stats.withColumn("iqr", F.col("q3") - F.col("q1"))
                   .withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr"))
                   .withColumn("upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")))
     inside = (F.col("v") >= F.col("lower_fence")) & (F.col("v") <= F.col("upper_fence"))
-    tail = (join_small(long, stats.select(*keys, "lower_fence", "upper_fence"), keys)
+    small = materialize_small(stats)  # one row per (group, column): computed once
+    if small is not None:
+        stats = small
+        fences = F.broadcast(stats.select(*keys, "lower_fence", "upper_fence"))
+    else:
+        fences = stats.select(*keys, "lower_fence", "upper_fence")
+    tail = (long.join(fences, keys)
             .groupBy(*keys).agg(F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
                                 F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
                                 F.count(F.when(~inside, F.lit(1))).alias("n_outliers")))
@@ -144,18 +215,34 @@ def split_sweep(df: DataFrame, col: str, start_frac: float = 0.7, end_frac: floa
                           F.round(F.col("test_rows") / total, 2).alias("test_share"))
 
 
-def longest_run(df: DataFrame, by, event: str, label: str, with_rows: bool = True) -> DataFrame:
-    """Per label, the run with most rows (ties: smallest entity, then run id).
+def longest_run(df: DataFrame, by, event: str, label: str, order=None,
+                rows: DataFrame | None = None) -> DataFrame:
+    """Per label, the run with most rows (ties: smallest entity, then run id):
+    label, entity, run, n_rows, and the run's first / last order values.
 
     Built from aggregates only (rows per run, max per label, min key among
-    ties) so no label's runs are funnelled through one window task; with
-    ``with_rows`` the winning runs' rows are joined back."""
+    ties), so no label's runs are funnelled through one window task.  With
+    ``rows`` (the source rows) and ``order``, the winning runs' rows are
+    returned: a run is the contiguous order range [first, last] of its
+    entity, so the rows come from a broadcast range join of the (one row per
+    label) winners against a plain scan of ``rows`` — the run numbering is
+    not computed a second time."""
     by = [by] if isinstance(by, str) else list(by)
-    runs = df.groupBy(label, *by, event).agg(F.count(F.lit(1)).alias("n_rows"))
+    order = [order] if isinstance(order, str) else list(order or [])
+    ok = F.struct(*order) if order else F.lit(None)
+    runs = df.groupBy(label, *by, event).agg(F.count(F.lit(1)).alias("n_rows"),
+                                             F.min(ok).alias("_first"), F.max(ok).alias("_last"))
     best_n = runs.groupBy(label).agg(F.max("n_rows").alias("n_rows"))
     tied = runs.join(best_n, [label, "n_rows"], "inner")
-    best = (tied.groupBy(label, "n_rows").agg(F.min(F.struct(*by, event)).alias("_k"))
-                .select(label, "n_rows", *[F.col(f"_k.{c}").alias(c) for c in [*by, event]]))
-    if not with_rows:
+    best = (tied.groupBy(label, "n_rows").agg(F.min(F.struct(*by, event, "_first", "_last")).alias("_k"))
+                .select(label, "n_rows", *[F.col(f"_k.{c}").alias(c) for c in [*by, event, "_first", "_last"]]))
+    if rows is None or not order:
         return best
-    return join_small(df, best, [label, *by, event], "inner")
+    small = materialize_small(best)
+    side = F.broadcast(small) if small is not None else best
+    side = side.select(*[F.col(c).alias(f"_b_{c}") for c in side.columns])
+    cond = F.struct(*[rows[o] for o in order]).between(side["_b__first"], side["_b__last"])
+    for b in by:
+        cond = cond & (rows[b] == side[f"_b_{b}"])
+    out = rows.join(side, cond, "inner")
+    return out.select(*rows.columns, F.col(f"_b_{event}").alias(event), F.col("_b_n_rows").alias("n_rows"))

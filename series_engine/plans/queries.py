@@ -288,8 +288,9 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_linestatus
 SELECT r.l_linestatus, r.l_suppkey, r.run, best.n_rows, r.l_orderkey, r.l_linenumber, r.l_partkey
 FROM r JOIN best ON r.l_linestatus = best.l_linestatus AND r.l_suppkey = best.l_suppkey AND r.run = best.run""")
 def q_longest_run(spark, sf):
-    r = events.separate(table(spark, sf, "lineitem"), B2_LABEL, "run", B2_BY, B2_ORDER, chunk_width=B2_CHUNK)
-    best = profile.longest_run(r, B2_BY, "run", B2_LABEL, with_rows=True)
+    li = table(spark, sf, "lineitem")
+    r = events.separate(li, B2_LABEL, "run", B2_BY, B2_ORDER, chunk_width=B2_CHUNK)
+    best = profile.longest_run(r, B2_BY, "run", B2_LABEL, order=B2_ORDER, rows=li)
     return best.select("l_linestatus", "l_suppkey", "run", "n_rows", "l_orderkey", "l_linenumber", "l_partkey")
 
 
