@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
-from ..session import checkpoint_dir
+from ..session import write_table
 from .stages import ClassWeights, Clip, DropIncomplete, SeriesFeatures
 
 
@@ -66,9 +66,9 @@ def build(p: ModelParams):
 
 
 def fit(train: DataFrame, p: ModelParams, cut_lineage: bool = True) -> PipelineModel:
-    """Fit every stage in order.  The window chain's output is checkpointed
-    to the shared checkpoint folder once, so PCA, scaler, weights and the
-    forest all read it instead of recomputing the windows (and a lost
+    """Fit every stage in order.  The window chain's output is written once
+    as a table in the shared checkpoint folder, so PCA, scaler, weights and
+    the forest all read it instead of recomputing the windows (and a lost
     executor does not send them back to the raw input)."""
     feats, fit_stages = build(p)
     fitted = []
@@ -80,8 +80,7 @@ def fit(train: DataFrame, p: ModelParams, cut_lineage: bool = True) -> PipelineM
     keep = [*p.entity, *p.order, "label", "features"]
     x = x.select(*keep)
     if cut_lineage:
-        checkpoint_dir(x.sparkSession)
-        x = x.checkpoint(eager=True)
+        x = write_table(x, "features")
     for st in fit_stages:
         m = st.fit(x)
         fitted.append(m)

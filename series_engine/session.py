@@ -68,6 +68,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_table(df, name: str):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and return the re-read table.  The plan runs once (a reliable RDD
+    checkpoint of an unpersisted DataFrame would compute it twice), and the
+    files survive executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
