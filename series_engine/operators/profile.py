@@ -11,14 +11,15 @@ from ..functions import columns as fx
 from .joins import materialize_small
 
 
-def overview(df: DataFrame, name: str) -> DataFrame:
-    """One row: table name, row count, input partitions, column count, schema."""
+def overview(df: DataFrame, name: str, detail: bool = True) -> DataFrame:
+    """One row: table name and row count; with ``detail`` also the input
+    partition count (planned splits, no data read), column count and schema."""
+    out = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+    if not detail:
+        return out
     parts = df.rdd.getNumPartitions()
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(name).alias("table_name"), "row_count",
-        F.lit(parts).alias("partitions"),
-        F.lit(len(df.columns)).alias("n_columns"),
-        F.lit(df.schema.simpleString()).alias("schema"))
+    return out.select("*", F.lit(parts).alias("partitions"), F.lit(len(df.columns)).alias("n_columns"),
+                      F.lit(df.schema.simpleString()).alias("schema"))
 
 
 def null_profile(df: DataFrame, cols=None) -> DataFrame:

@@ -57,9 +57,44 @@ def _cols(xs) -> list[str]:
     return list(xs)
 
 
-def chunk_expr(df: DataFrame, column: str, width=None) -> Column:
-    """Chunk of ``column``; ``width=0`` means one chunk per entity."""
+# Target rows per chunk of the densest entity for ``chunk_width="auto"``.
+AUTO_CHUNK_ROWS = 1_000_000
+
+
+def _order_number(column: str, dtype) -> Column:
+    """The order column as a number in the unit ``chunk_of`` expects
+    (seconds for timestamps and dates)."""
+    c = F.col(column)
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000.0)
+    if isinstance(dtype, DateType):
+        return F.unix_date(c).cast("double") * F.lit(86400.0)
+    return c.cast("double")
+
+
+def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHUNK_ROWS):
+    """Chunk width giving about ``target_rows`` rows per chunk for the
+    densest entity (rows per unit of the order column), from one partial
+    aggregation; the densest entity sets the width for all."""
+    dtype = df.schema[column].dataType
+    t = _order_number(column, dtype)
+    per = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
+    dens = per.select(F.max(F.col("n") / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9))).alias("d"),
+                      F.max("n").alias("m")).collect()[0]
+    if dens["d"] is None or dens["m"] <= target_rows:
+        return 0
+    width = float(target_rows) / float(dens["d"])
+    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
+        return 0
+    return max(width, 1e-6)
+
+
+def chunk_expr(df: DataFrame, column: str, width=None, by=None) -> Column:
+    """Chunk of ``column``; ``width=0`` means one chunk per entity;
+    ``"auto"`` sizes chunks from the data (``auto_chunk_width``)."""
     dtype = df.schema[column].dataType
+    if width == "auto":
+        width = auto_chunk_width(df, by, column)
     if width == 0:
         return F.lit(0).cast("long")
     if width is None:
@@ -104,7 +139,7 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     if order[:len(run_order)] != run_order:
         raise ValueError("run_order must be a prefix of order")
 
-    chunk = chunk_expr(df, order[0], chunk_width)
+    chunk = chunk_expr(df, order[0], chunk_width, by)
     x = df.withColumn(_CHUNK, chunk)
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order)
     x = (x.withColumn("_se_rn", F.row_number().over(w))

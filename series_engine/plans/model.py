@@ -31,7 +31,7 @@ class ModelParams:
     order: list = field(default_factory=lambda: ["timestamp"])
     action: str = "action"
     axes: list = field(default_factory=lambda: ["x", "y", "z"])
-    chunk_width: float = -1.0
+    chunk_width: object = "default"   # number, "default" (one day) or "auto"
     block_rows: int = 1 << 20
 
 
@@ -53,7 +53,7 @@ def build(p: ModelParams):
         SeriesFeatures(inputCols=list(p.axes), outputCol="features", runCol=p.action, eventCol="event",
                        partitionBy=list(p.entity), orderBy=list(p.order), windowSize=p.features_size,
                        movingAvgPeriod=p.moving_avg_period, step=p.step,
-                       chunkWidth=float(p.chunk_width), blockRows=int(p.block_rows)),
+                       chunkWidth=str(p.chunk_width), blockRows=int(p.block_rows)),
     ]
     fit = [
         PCA(k=p.pca_components, inputCol="features", outputCol="features_PCA"),

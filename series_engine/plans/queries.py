@@ -77,7 +77,7 @@ def query(name: str, sql: str | None = None):
 def q_table_overview(spark, sf):
     out = None
     for t in TABLES:
-        o = profile.overview(table(spark, sf, t), t).select("table_name", "row_count")
+        o = profile.overview(table(spark, sf, t), t, detail=False)
         out = o if out is None else out.unionByName(o)
     return out
 

@@ -57,33 +57,42 @@ class SeriesFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReada
     movingAvgPeriod = Param(Params._dummy(), "movingAvgPeriod", "rows before current in the average",
                             typeConverter=TypeConverters.toInt)
     step = Param(Params._dummy(), "step", "keep one row every step", typeConverter=TypeConverters.toInt)
-    chunkWidth = Param(Params._dummy(), "chunkWidth", "order-column chunk width (<0: default)",
-                       typeConverter=TypeConverters.toFloat)
+    chunkWidth = Param(Params._dummy(), "chunkWidth",
+                       "order-column chunk width: a number, 'default' or 'auto'",
+                       typeConverter=TypeConverters.toString)
     blockRows = Param(Params._dummy(), "blockRows", "rows per window block", typeConverter=TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, inputCols=None, outputCol="features", runCol="action", eventCol="event",
                  partitionBy=None, orderBy=None, windowSize=50, movingAvgPeriod=20, step=20,
-                 chunkWidth=-1.0, blockRows=1 << 20):
+                 chunkWidth="default", blockRows=1 << 20):
         super().__init__()
         self._setDefault(outputCol="features", runCol="action", eventCol="event", windowSize=50,
-                         movingAvgPeriod=20, step=20, chunkWidth=-1.0, blockRows=1 << 20)
+                         movingAvgPeriod=20, step=20, chunkWidth="default", blockRows=1 << 20)
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset):
         g = self.getOrDefault
         cols = self.getInputCols()
         n = g(self.windowSize)
-        width = g(self.chunkWidth)
+        width = _parse_width(g(self.chunkWidth))
         out = features.event_features(
             dataset, cols, g(self.partitionBy), g(self.orderBy), g(self.runCol),
             period=g(self.movingAvgPeriod), n=n, step=g(self.step), event_col=g(self.eventCol),
-            suffix="_lags", rank_col=None, chunk_width=None if width < 0 else width,
+            suffix="_lags", rank_col=None, chunk_width=width,
             block_rows=g(self.blockRows))
         out = features.assemble(out, [f"{c}_lags" for c in cols], self.getOutputCol())
         return out.drop(*[f"{c}_lags" for c in cols])
 
 
+def _parse_width(text: str):
+    if text in ("", "default", None):
+        return None
+    if text == "auto":
+        return "auto"
+    return float(text)
+
+
 class ClassWeights(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Fit: per-class weight max_count / count (counted once, at fit)."""
 

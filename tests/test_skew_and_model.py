@@ -78,3 +78,17 @@ def test_model_roundtrip(spark):
     assert rows(a) == rows(b)
     metrics = mdl.evaluate(m2, li).collect()
     assert {r.metric for r in metrics} == {"accuracy", "precision", "recall"}
+
+
+def test_auto_chunk_width(spark, hot):
+    by, order = ["user_id"], ["ts", "event_id"]
+    width = sequence.auto_chunk_width(hot, by, "ts", target_rows=100)
+    assert 0 < width < 30 * 86400
+    per_chunk = (hot.groupBy("user_id", sequence.chunk_expr(hot, "ts", width).alias("c")).count()
+                 .agg(F.max("count")).collect()[0][0])
+    assert per_chunk < 400
+    got = sequence.index(hot, by, order, label="event_type", chunk_width=width)
+    ref = sequence.index(hot, by, order, label="event_type", chunk_width=0)
+    cols = ["event_id", "event", sequence.POS, sequence.ESTART]
+    assert rows(got.select(*cols)) == rows(ref.select(*cols))
+    assert sequence.auto_chunk_width(hot, by, "ts", target_rows=10**9) == 0
