@@ -86,16 +86,16 @@ def event_features(df: DataFrame, cols, by, order, label: str, *, period: int, n
                        for c in cols})
     x = x.withColumns({f"{c}{suffix}": F.reverse(F.collect_list(F.col(c)).over(base.rowsBetween(-int(n), -1)))
                        for c in cols})
-    x = x.filter(~F.col(HALO))
-    for c in cols:
-        x = x.filter(F.size(f"{c}{suffix}") == int(n))
+    # rank inside the run among rows that kept a full window
     rank = (F.greatest(F.col(PEER) - F.col(ESTART) - F.lit(int(n)), F.lit(0)) + 1).cast("int")
-    x = x.withColumn("_se_rank", rank).filter(F.col("_se_rank") % int(step) == 0)
+    keep = ~F.col(HALO) & (rank % int(step) == 0)
+    for c in cols:
+        keep = keep & (F.size(f"{c}{suffix}") == int(n))
+    internal = {POS, PEER, ESTART, BLOCK, HALO}
+    out = [F.col(c) for c in x.columns if c not in internal]
     if rank_col:
-        x = x.withColumnRenamed("_se_rank", rank_col)
-    else:
-        x = x.drop("_se_rank")
-    return sequence.drop_internal(x)
+        out.append(rank.alias(rank_col))
+    return x.filter(keep).select(*out)
 
 
 def assemble(df: DataFrame, array_cols, out: str = "features") -> DataFrame:

@@ -34,8 +34,9 @@ from pyspark.sql.types import (DateType, NumericType, TimestampNTZType,
 
 from ..functions.columns import chunk_of
 
-# Default chunk widths: one day of a timestamp/date order column, or one day
-# of an epoch-millisecond integer order column.
+# Chunk widths of ``chunk_width="day"``: one day of a timestamp/date order
+# column, or one day of an epoch-millisecond integer order column.  The
+# default (``None``) is ``"auto"``: sized from the data.
 DEFAULT_CHUNK_SECONDS = 86_400
 DEFAULT_CHUNK_NUMERIC = 86_400_000
 # Default block size for halo windows (rows per block and entity).
@@ -90,14 +91,17 @@ def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHU
 
 
 def chunk_expr(df: DataFrame, column: str, width=None, by=None) -> Column:
-    """Chunk of ``column``; ``width=0`` means one chunk per entity;
-    ``"auto"`` sizes chunks from the data (``auto_chunk_width``)."""
+    """Chunk of ``column``.  ``width``: a number (seconds for timestamps and
+    dates, the column's unit otherwise); ``0`` = one chunk per entity;
+    ``"day"`` = one day; ``None`` / ``"auto"`` = sized from the data so the
+    densest entity gets about ``AUTO_CHUNK_ROWS`` rows per chunk (one chunk
+    per entity when no entity is that large)."""
     dtype = df.schema[column].dataType
-    if width == "auto":
+    if width is None or width == "auto":
         width = auto_chunk_width(df, by, column)
     if width == 0:
         return F.lit(0).cast("long")
-    if width is None:
+    if width == "day":
         if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
             width = DEFAULT_CHUNK_SECONDS
         elif isinstance(dtype, NumericType):
@@ -142,18 +146,17 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     chunk = chunk_expr(df, order[0], chunk_width, by)
     x = df.withColumn(_CHUNK, chunk)
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order)
-    x = (x.withColumn("_se_rn", F.row_number().over(w))
-          .withColumn("_se_rk", F.rank().over(w)))
-
+    first = {"_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(w)}
     if label is None:
+        x = x.withColumns(first)
         # Counts need no order: partial aggregation straight from the input.
         summ = df.groupBy(*[F.col(b) for b in by], chunk.alias(_CHUNK)).agg(
             F.count(F.lit(1)).alias("_se_n"))
     else:
-        ind = F.coalesce((F.col(label) != F.lag(label).over(w)).cast("long"), F.lit(0).cast("long"))
+        first["_se_ind"] = F.coalesce((F.col(label) != F.lag(label).over(w)).cast("long"), F.lit(0).cast("long"))
         wr = (Window.partitionBy(*by, _CHUNK).orderBy(*run_order)
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        x = (x.withColumn("_se_ind", ind)
+        x = (x.withColumns(first)
               .withColumn("_se_lr", F.sum("_se_ind").over(wr))
               .withColumn("_se_mk", F.when(F.col("_se_lr") != F.lag("_se_lr").over(w), F.col("_se_rn")))
               .withColumn("_se_lm", F.max("_se_mk").over(
@@ -169,39 +172,34 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     # Per-chunk offsets: a window over chunks of one entity (one row each).
     wc = Window.partitionBy(*by).orderBy(_CHUNK)
     prev = wc.rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumn("_se_off", F.coalesce(F.sum("_se_n").over(prev), F.lit(0)).cast("long"))
-    keep = [*by, _CHUNK, "_se_off"]
-    if label is not None:
-        b = F.coalesce((F.col("_se_first") != F.lag("_se_last").over(wc)).cast("long"),
-                       F.lit(0).cast("long"))
-        summ = summ.withColumn("_se_b", b)
-        summ = summ.withColumn(
-            "_se_E",
-            F.coalesce(F.sum(F.col("_se_nind") + F.col("_se_b")).over(prev), F.lit(0)) + F.col("_se_b"))
-        first_new = ((F.col("_se_b") + F.col("_se_lr0")) > 0) | (F.col("_se_off") == 0)
-        summ = summ.withColumn("_se_fnew", first_new)
-        summ = summ.withColumn(
-            "_se_cls",
-            F.coalesce(F.col("_se_off") + F.col("_se_lmmax") - 1,
-                       F.when(F.col("_se_fnew"), F.col("_se_off"))))
-        summ = summ.withColumn("_se_carry", F.last("_se_cls", ignorenulls=True).over(prev))
-        keep += ["_se_E", "_se_fnew", "_se_carry"]
-    summ = summ.select(*keep)
+    off = F.coalesce(F.sum("_se_n").over(prev), F.lit(0)).cast("long")
+    if label is None:
+        summ = summ.select(*by, _CHUNK, off.alias("_se_off"))
+    else:
+        b = F.coalesce((F.col("_se_first") != F.lag("_se_last").over(wc)).cast("long"), F.lit(0).cast("long"))
+        summ = summ.withColumns({"_se_off": off, "_se_b": b})
+        fnew = ((F.col("_se_b") + F.col("_se_lr0")) > 0) | (F.col("_se_off") == 0)
+        summ = summ.withColumns({
+            "_se_E": F.coalesce(F.sum(F.col("_se_nind") + F.col("_se_b")).over(prev), F.lit(0)) + F.col("_se_b"),
+            "_se_fnew": fnew,
+            "_se_cls": F.coalesce(F.col("_se_off") + F.col("_se_lmmax") - 1, F.when(fnew, F.col("_se_off")))})
+        summ = summ.select(*by, _CHUNK, "_se_off", "_se_E", "_se_fnew",
+                           F.last("_se_cls", ignorenulls=True).over(prev).alias("_se_carry"))
 
     y = _null_safe_join(x, summ, [*by, _CHUNK])
-    y = (y.withColumn(POS, F.col("_se_off") + F.col("_se_rn") - 1)
-          .withColumn(PEER, F.col("_se_off") + F.col("_se_rk") - 1))
-    drop = [_CHUNK, "_se_rn", "_se_rk", "_se_off"]
+    internal = {_CHUNK, "_se_rn", "_se_rk", "_se_off", "_se_ind", "_se_lr", "_se_mk", "_se_lm",
+                "_se_E", "_se_fnew", "_se_carry"}
+    out = [F.col(c) for c in y.columns if c not in internal]
+    if keep_internal:
+        out += [(F.col("_se_off") + F.col("_se_rn") - 1).alias(POS),
+                (F.col("_se_off") + F.col("_se_rk") - 1).alias(PEER)]
     if label is not None:
-        y = y.withColumn(event_col, (F.col("_se_E") + F.col("_se_lr")).cast("long"))
-        y = y.withColumn(ESTART, F.coalesce(F.col("_se_off") + F.col("_se_lm") - 1,
-                                            F.when(F.col("_se_fnew"), F.col("_se_off")),
-                                            F.col("_se_carry")))
-        drop += ["_se_ind", "_se_lr", "_se_mk", "_se_lm", "_se_E", "_se_fnew", "_se_carry"]
-    y = y.drop(*drop)
-    if not keep_internal:
-        y = y.drop(POS, PEER, ESTART)
-    return y
+        out.append((F.col("_se_E") + F.col("_se_lr")).cast("long").alias(event_col))
+        if keep_internal:
+            out.append(F.coalesce(F.col("_se_off") + F.col("_se_lm") - 1,
+                                  F.when(F.col("_se_fnew"), F.col("_se_off")),
+                                  F.col("_se_carry")).alias(ESTART))
+    return y.select(*out)
 
 
 def blocked(df: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS,
@@ -214,13 +212,12 @@ def blocked(df: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS,
     blk = F.floor(p / F.lit(size)).cast("long")
     own = F.struct(blk.alias("b"), F.lit(False).alias("h"))
     if halo == 0:
-        return df.withColumn(BLOCK, blk).withColumn(HALO, F.lit(False))
+        return df.withColumns({BLOCK: blk, HALO: F.lit(False)})
     nxt = F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))
     copies = F.when((p % F.lit(size)) >= F.lit(size - halo), F.array(own, nxt)).otherwise(F.array(own))
-    return (df.withColumn("_se_bh", F.explode(copies))
-              .withColumn(BLOCK, F.col("_se_bh.b"))
-              .withColumn(HALO, F.col("_se_bh.h"))
-              .drop("_se_bh"))
+    x = df.select("*", F.explode(copies).alias("_se_bh"))
+    return x.select(*[F.col(c) for c in df.columns], F.col("_se_bh.b").alias(BLOCK),
+                    F.col("_se_bh.h").alias(HALO))
 
 
 def drop_internal(df: DataFrame) -> DataFrame:

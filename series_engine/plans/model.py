@@ -31,7 +31,7 @@ class ModelParams:
     order: list = field(default_factory=lambda: ["timestamp"])
     action: str = "action"
     axes: list = field(default_factory=lambda: ["x", "y", "z"])
-    chunk_width: object = "default"   # number, "default" (one day) or "auto"
+    chunk_width: object = "auto"   # number, "day" or "auto" (sized from the data)
     block_rows: int = 1 << 20
 
 

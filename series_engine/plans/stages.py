@@ -58,7 +58,7 @@ class SeriesFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReada
                             typeConverter=TypeConverters.toInt)
     step = Param(Params._dummy(), "step", "keep one row every step", typeConverter=TypeConverters.toInt)
     chunkWidth = Param(Params._dummy(), "chunkWidth",
-                       "order-column chunk width: a number, 'default' or 'auto'",
+                       "order-column chunk width: a number, 'day' or 'auto' (= 'default')",
                        typeConverter=TypeConverters.toString)
     blockRows = Param(Params._dummy(), "blockRows", "rows per window block", typeConverter=TypeConverters.toInt)
 
@@ -86,10 +86,10 @@ class SeriesFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReada
 
 
 def _parse_width(text: str):
-    if text in ("", "default", None):
+    if text in ("", "default", "auto", None):
         return None
-    if text == "auto":
-        return "auto"
+    if text == "day":
+        return "day"
     return float(text)
 
 
