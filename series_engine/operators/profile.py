@@ -183,6 +183,36 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                          "count"))
 
 
+def histograms(df: DataFrame, cols, bins: int = 20) -> DataFrame:
+    """Equal-width histograms of several numeric columns in one scan (long
+    format: column, bucket, lower, upper, count).  One global aggregate gives
+    every column's range; each row then yields one bucket per column and a
+    single grouped count (partial aggregation) does the rest."""
+    cols = list(cols)
+    mm = _scalar_row(df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{i}") for i, c in enumerate(cols)],
+                            *[F.max(F.col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(cols)]))
+    lo = {c: mm[f"lo_{i}"] for i, c in enumerate(cols)}
+    width = {c: ((mm[f"hi_{i}"] - lo[c]) / bins if lo[c] is not None else 0.0) for i, c in enumerate(cols)}
+    buckets = []
+    for c in cols:
+        v = F.col(c).cast("double")
+        if lo[c] is None:
+            b = F.lit(None).cast("int")
+        elif width[c] > 0:
+            b = F.least(F.floor((v - F.lit(lo[c])) / F.lit(width[c])), F.lit(bins - 1)).cast("int")
+        else:
+            b = F.when(v.isNotNull(), F.lit(0))
+        buckets.append(F.when(~F.isnan(v), b).alias(c))
+    long = df.select(*buckets).unpivot([], cols, "column", "bucket").filter(F.col("bucket").isNotNull())
+    counts = long.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("count"))
+    lo_m = F.create_map(*[x for c in cols if lo[c] is not None for x in (F.lit(c), F.lit(float(lo[c])))])
+    w_m = F.create_map(*[x for c in cols if lo[c] is not None for x in (F.lit(c), F.lit(float(width[c])))])
+    return counts.select("column", "bucket",
+                         (lo_m[F.col("column")] + F.col("bucket") * w_m[F.col("column")]).alias("lower"),
+                         (lo_m[F.col("column")] + (F.col("bucket") + 1) * w_m[F.col("column")]).alias("upper"),
+                         "count")
+
+
 def split_thresholds(lo: int, hi: int, start_frac: float = 0.7, end_frac: float = 0.9,
                      steps: int = 10) -> list[int]:
     span = hi - lo

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import json_decode, json_encode, round6
 from ..operators import (balance, clean, evaluate, events, features, match,
                          profile, sampling)
+from ..operators.joins import materialize_small
 from ..session import scratch_path
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -192,6 +193,26 @@ def q_split_sweep(spark, sf):
     return profile.split_sweep(table(spark, sf, "events"), "user_id")
 
 
+HIST_COLS = ['c_acctbal', 'c_nationkey']
+
+
+@query("histograms", """WITH d AS (SELECT * FROM customer WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL
+  AND c_nationkey IS NOT NULL AND c_acctbal IS NOT NULL AND NOT isnan(c_acctbal) AND c_mktsegment IS NOT NULL)
+SELECT 'c_acctbal' AS "column", bucket, round(lo + bucket * w, 6) + 0.0 AS lower,
+  round(lo + (bucket + 1) * w, 6) + 0.0 AS upper, count(*) AS count FROM (
+  SELECT CAST(least(floor((CAST(c_acctbal AS DOUBLE) - s.lo) / s.w), 19) AS INTEGER) AS bucket, s.lo, s.w
+  FROM d, (SELECT min(CAST(c_acctbal AS DOUBLE)) AS lo, (max(CAST(c_acctbal AS DOUBLE)) - min(CAST(c_acctbal AS DOUBLE))) / 20 AS w FROM d) s)
+  GROUP BY bucket, lo, w UNION ALL SELECT 'c_nationkey' AS "column", bucket, round(lo + bucket * w, 6) + 0.0 AS lower,
+  round(lo + (bucket + 1) * w, 6) + 0.0 AS upper, count(*) AS count FROM (
+  SELECT CAST(least(floor((CAST(c_nationkey AS DOUBLE) - s.lo) / s.w), 19) AS INTEGER) AS bucket, s.lo, s.w
+  FROM d, (SELECT min(CAST(c_nationkey AS DOUBLE)) AS lo, (max(CAST(c_nationkey AS DOUBLE)) - min(CAST(c_nationkey AS DOUBLE))) / 20 AS w FROM d) s)
+  GROUP BY bucket, lo, w""")
+def q_histograms(spark, sf):
+    cust = clean.drop_incomplete(table(spark, sf, "customer"))
+    h = profile.histograms(cust, HIST_COLS, 20)
+    return h.withColumns({"lower": round6("lower"), "upper": round6("upper")})
+
+
 SPLIT_AT = 119
 
 
@@ -292,6 +313,37 @@ def q_longest_run(spark, sf):
     return best.select("l_linestatus", "l_suppkey", "run", "n_rows", "l_orderkey", "l_linenumber", "l_partkey")
 
 
+TOP_CAP = 20.0
+
+
+@query("top_entity_runs", f"""WITH top AS (SELECT user_id FROM events WHERE event_type IS NOT NULL GROUP BY user_id
+    ORDER BY count(DISTINCT event_type) DESC, count(*) DESC, user_id LIMIT 1),
+u AS (SELECT e.event_id, e.ts, e.user_id, e.event_type,
+    CASE WHEN e.value > {TOP_CAP} THEN {TOP_CAP} WHEN e.value < -{TOP_CAP} THEN -{TOP_CAP} ELSE e.value END AS value
+    FROM events e JOIN top ON e.user_id = top.user_id WHERE e.event_type IS NOT NULL),
+i AS (SELECT *, coalesce(CAST(event_type <> lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+    AS BIGINT), 0) AS ind FROM u),
+r AS (SELECT *, CAST(sum(ind) OVER (PARTITION BY user_id ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM i),
+n AS (SELECT event_type, user_id, run, count(*) AS n_rows FROM r GROUP BY event_type, user_id, run),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n_rows DESC, user_id, run)
+    AS rn FROM n) WHERE rn = 1)
+SELECT r.event_type, r.user_id, r.run, best.n_rows, r.event_id, r.value
+FROM r JOIN best ON r.event_type = best.event_type AND r.user_id = best.user_id AND r.run = best.run""")
+def q_top_entity_runs(spark, sf):
+    """The exploratory flow: user with most actions and rows → that user's
+    labeled rows, clipped → runs → longest run per label, with its rows."""
+    ev = table(spark, sf, "events")
+    # one row (k = 1): computed once, then a local relation every branch reuses
+    top = materialize_small(profile.top_entity(ev, "user_id", "event_type", 1).select("user_id"), 1)
+    rows_ = (ev.join(F.broadcast(top), "user_id")
+               .filter(F.col("event_type").isNotNull()))
+    rows_ = clean.clip(rows_, ["value"], TOP_CAP)
+    r = events.separate(rows_, B1_LABEL, "run", B1_BY, B1_ORDER)
+    best = profile.longest_run(r, B1_BY, "run", B1_LABEL, order=B1_ORDER, rows=rows_)
+    return best.select("event_type", "user_id", "run", "n_rows", "event_id", "value")
+
+
 MAVG_P = 3
 
 
