@@ -247,3 +247,29 @@ def test_histogram_counts_all_rows(spark):
     h = profile.histogram(ev, "value", 20).collect()
     assert sum(r["count"] for r in h) == ev.count()
     assert max(r.bucket for r in h) == 19
+
+
+def test_demographic_csv(spark):
+    d = tempfile.mkdtemp(prefix="se-demo-")
+    with open(os.path.join(d, "demo.txt"), "w") as f:
+        f.write("1600,170.5,M,30,70.2,0\n1601,xx,F,abc,60.0,1\n")
+    df = readers.read_demographic_csv(spark, d)
+    assert df.schema == schemas.DEMOGRAPHIC
+    got = {r.userId: r for r in df.collect()}
+    assert got[1600].height == 170.5 and got[1600].leg_injury == 0
+    assert got[1601].height is None and got[1601].age is None and got[1601].sex == "F"
+
+
+def test_kafka_options():
+    o = readers.kafka_options("broker:9092", "topic-a", maxOffsetsPerTrigger=100)
+    assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "topic-a",
+                 "startingOffsets": "earliest", "maxOffsetsPerTrigger": "100"}
+
+
+def test_histograms_equal_single(spark):
+    cu = spark.read.parquet(f"{SF001}/customer.parquet")
+    many = profile.histograms(cu, ["c_acctbal", "c_nationkey"], 10)
+    for c in ["c_acctbal", "c_nationkey"]:
+        one = profile.histogram(cu, c, 10)
+        a = rows(many.filter(F.col("column") == c).select("bucket", "lower", "upper", "count"))
+        assert a == rows(one.select("bucket", "lower", "upper", "count"))
