@@ -90,6 +90,20 @@ def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHU
     return max(width, 1e-6)
 
 
+def resolve_width(df: DataFrame, by, column: str, width=None):
+    """Numeric chunk width for ``width`` (``0`` = one chunk per entity)."""
+    dtype = df.schema[column].dataType
+    if width is None or width == "auto":
+        return auto_chunk_width(df, by, column)
+    if width == "day":
+        if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
+            return DEFAULT_CHUNK_SECONDS
+        if isinstance(dtype, NumericType):
+            return DEFAULT_CHUNK_NUMERIC
+        return 0
+    return width
+
+
 def chunk_expr(df: DataFrame, column: str, width=None, by=None) -> Column:
     """Chunk of ``column``.  ``width``: a number (seconds for timestamps and
     dates, the column's unit otherwise); ``0`` = one chunk per entity;
@@ -143,7 +157,10 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     if order[:len(run_order)] != run_order:
         raise ValueError("run_order must be a prefix of order")
 
-    chunk = chunk_expr(df, order[0], chunk_width, by)
+    width = resolve_width(df, by, order[0], chunk_width)
+    if width == 0:
+        return _index_whole(df, by, order, label, run_order, event_col, keep_internal)
+    chunk = chunk_expr(df, order[0], width, by)
     x = df.withColumn(_CHUNK, chunk)
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order)
     first = {"_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(w)}
@@ -202,6 +219,33 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     return y.select(*out)
 
 
+def _index_whole(df: DataFrame, by, order, label, run_order, event_col, keep_internal) -> DataFrame:
+    """``index`` when every entity is one chunk (no entity above the chunk
+    target, or ``chunk_width=0``): one window pass per entity, no chunk
+    table and no join.  Output stays hash-partitioned by the entity, so the
+    blocked windows that follow need no further shuffle."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    cols = [F.col(c) for c in df.columns]
+    if label is None:
+        out = cols
+        if keep_internal:
+            out += [(F.row_number().over(w) - 1).alias(POS), (F.rank().over(w) - 1).alias(PEER)]
+        return df.select(*out)
+    wr = Window.partitionBy(*by).orderBy(*run_order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    x = df.withColumns({
+        "_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(w),
+        "_se_ind": F.coalesce((F.col(label) != F.lag(label).over(w)).cast("long"), F.lit(0).cast("long"))})
+    x = x.withColumn(event_col, F.sum("_se_ind").over(wr).cast("long"))
+    if not keep_internal:
+        return x.select(*cols, event_col)
+    x = x.withColumn("_se_mk", F.when(F.col(event_col) != F.lag(event_col).over(w), F.col("_se_rn")))
+    start = F.coalesce(F.max("_se_mk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1,
+                       F.lit(0).cast("long"))
+    return x.select(*cols, (F.col("_se_rn") - 1).cast("long").alias(POS),
+                    (F.col("_se_rk") - 1).cast("long").alias(PEER), event_col,
+                    start.cast("long").alias(ESTART))
+
+
 def blocked(df: DataFrame, halo: int, block_rows: int = DEFAULT_BLOCK_ROWS,
             pos: str = POS) -> DataFrame:
     """Assign ``_se_blk`` = position // B and copy the last ``halo`` rows of

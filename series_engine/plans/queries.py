@@ -281,6 +281,13 @@ def q_event_runs(spark, sf):
     return r.select("event_id", "user_id", "event_type", "run")
 
 
+@query("event_runs_chunked", ORACLE["event_runs"])
+def q_event_runs_chunked(spark, sf):
+    """event_runs through the hot-entity path: one-day chunks per user."""
+    r = events.separate(table(spark, sf, "events"), B1_LABEL, "run", B1_BY, B1_ORDER, chunk_width="day")
+    return r.select("event_id", "user_id", "event_type", "run")
+
+
 B2_RUNS_SQL = """i AS (SELECT *, coalesce(CAST(l_linestatus <> lag(l_linestatus) OVER (PARTITION BY l_suppkey
     ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS BIGINT), 0) AS ind FROM lineitem)"""
 
@@ -400,6 +407,21 @@ def q_strided_features(spark, sf):
                     *[round6(c).alias(c) for c in B2_AXES + lag_names])
 
 
+@query("strided_features_chunked", ORACLE["strided_features"])
+def q_strided_features_chunked(spark, sf):
+    """strided_features through the hot-entity path: 30-day chunks and
+    64-row blocks, so run ids, averages and lags cross chunk and block
+    borders (with halo copies)."""
+    x = features.event_features(table(spark, sf, "lineitem"), B2_AXES, B2_BY, B2_ORDER, B2_LABEL,
+                                period=SF_P, n=SF_N, step=SF_STEP, event_col="run",
+                                chunk_width=30 * 86_400, block_rows=64)
+    for c in B2_AXES:
+        x = features.lag_columns(x, f"{c}_lags", c, SF_N)
+    lag_names = [f"{c}_{i}" for c in B2_AXES for i in range(1, SF_N + 1)]
+    return x.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "run", "rank",
+                    *[round6(c).alias(c) for c in B2_AXES + lag_names])
+
+
 @query("class_weights", """WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)
 SELECT e.event_id, e.event_type, round(CAST((SELECT max(n) FROM c) AS DOUBLE) / c.n, 6) + 0.0 AS weight
 FROM events e JOIN c ON e.event_type = c.event_type""")
