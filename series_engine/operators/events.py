@@ -19,7 +19,7 @@ def change_indicator(df: DataFrame, label: str, by, order, out: str = "indicator
 
 
 def separate(df: DataFrame, label: str, out: str = "event", by=None, order=None,
-             run_order=None, chunk_width=None) -> DataFrame:
+             run_order=None, chunk_width=None, unique_order: bool = False) -> DataFrame:
     """Number the runs of equal ``label`` per entity, from 0.
 
     A new run starts where the label changes from the previous row (order
@@ -29,4 +29,5 @@ def separate(df: DataFrame, label: str, out: str = "event", by=None, order=None,
     result does not depend on ``chunk_width``.
     """
     return sequence.index(df, by, order, label=label, run_order=run_order,
-                          event_col=out, chunk_width=chunk_width, keep_internal=False)
+                          event_col=out, chunk_width=chunk_width, keep_internal=False,
+                          unique_order=unique_order)

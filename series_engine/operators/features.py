@@ -16,12 +16,13 @@ def _block_window(by, inner=()):
 
 
 def smooth(df: DataFrame, cols, period: int, by=None, order=None, *,
-           chunk_width=None, block_rows: int = sequence.DEFAULT_BLOCK_ROWS) -> DataFrame:
+           chunk_width=None, block_rows: int = sequence.DEFAULT_BLOCK_ROWS,
+           unique_order: bool = False) -> DataFrame:
     """Replace each column by its average over the current row and the
     ``period`` rows before it (so ``period + 1`` rows; fewer at the start of
     the series).  Result type is double."""
     cols = sequence._cols(cols)
-    x = sequence.index(df, by, order, chunk_width=chunk_width)
+    x = sequence.index(df, by, order, chunk_width=chunk_width, unique_order=unique_order)
     x = sequence.blocked(x, halo=period, block_rows=block_rows)
     w = _block_window(by).rowsBetween(-int(period), Window.currentRow)
     x = x.withColumns({c: F.avg(F.col(c)).over(w) for c in cols})
@@ -30,13 +31,13 @@ def smooth(df: DataFrame, cols, period: int, by=None, order=None, *,
 
 def lags(df: DataFrame, cols, n: int, by=None, order=None, *, suffix: str = "_lags",
          complete_only: bool = True, chunk_width=None,
-         block_rows: int = sequence.DEFAULT_BLOCK_ROWS) -> DataFrame:
+         block_rows: int = sequence.DEFAULT_BLOCK_ROWS, unique_order: bool = False) -> DataFrame:
     """Add ``<col><suffix>``: array of the ``n`` previous values, latest first
     (element i-1 is ``lag(col, i)``).  With ``complete_only`` rows with fewer
     than ``n`` predecessors are dropped — the same rows a lag-column form
     loses to a null filter, provided the inputs hold no NULL."""
     cols = sequence._cols(cols)
-    x = sequence.index(df, by, order, chunk_width=chunk_width)
+    x = sequence.index(df, by, order, chunk_width=chunk_width, unique_order=unique_order)
     x = sequence.blocked(x, halo=n, block_rows=block_rows)
     w = _block_window(by).rowsBetween(-int(n), -1)
     x = x.withColumns({f"{c}{suffix}": F.reverse(F.collect_list(F.col(c)).over(w)) for c in cols})
@@ -48,11 +49,11 @@ def lags(df: DataFrame, cols, n: int, by=None, order=None, *, suffix: str = "_la
 
 
 def stride(df: DataFrame, step: int, by=None, order=None, *, rank_col: str = "rank",
-           chunk_width=None) -> DataFrame:
+           chunk_width=None, unique_order: bool = False) -> DataFrame:
     """Keep one row every ``step`` rows: ``rank`` per entity in ``order`` with
     ``rank % step == 0``.  Peers share a rank (gaps follow); the first kept
     row is rank ``step``; ``rank_col`` stays in the output."""
-    x = sequence.index(df, by, order, chunk_width=chunk_width)
+    x = sequence.index(df, by, order, chunk_width=chunk_width, unique_order=unique_order)
     x = x.withColumn(rank_col, (F.col(PEER) + 1).cast("int"))
     return sequence.drop_internal(x.filter(F.col(rank_col) % int(step) == 0))
 
@@ -65,8 +66,8 @@ def lag_columns(df: DataFrame, array_col: str, name: str, n: int) -> DataFrame:
 def event_features(df: DataFrame, cols, by, order, label: str, *, period: int, n: int,
                    step: int, event_col: str = "event", run_order=None,
                    suffix: str = "_lags", rank_col: str | None = "rank",
-                   chunk_width=None,
-                   block_rows: int = sequence.DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   chunk_width=None, block_rows: int = sequence.DEFAULT_BLOCK_ROWS,
+                   unique_order: bool = False) -> DataFrame:
     """Runs of ``label`` → per-run moving average (``period``) of ``cols``
     → ``n`` lags of the averages → drop rows lacking a full lag window
     → keep every ``step``-th remaining row of each run.
@@ -79,7 +80,7 @@ def event_features(df: DataFrame, cols, by, order, label: str, *, period: int, n
     """
     cols = sequence._cols(cols)
     x = sequence.index(df, by, order, label=label, run_order=run_order,
-                       event_col=event_col, chunk_width=chunk_width)
+                       event_col=event_col, chunk_width=chunk_width, unique_order=unique_order)
     x = sequence.blocked(x, halo=int(period) + int(n), block_rows=block_rows)
     base = _block_window(by, inner=[event_col])
     x = x.withColumns({c: F.avg(F.col(c)).over(base.rowsBetween(-int(period), Window.currentRow))

@@ -19,8 +19,10 @@ over the cluster and still gives exact results:
    (entity, block[, run]) and halo copies are dropped.
 
 Both steps shuffle on keys whose groups are bounded (chunk or block), never
-on the entity alone.  Order lists should end in a unique tie-break; with
-ties, positions among peers follow Spark's sort order (as any ROWS frame).
+on the entity alone.  Sorts are made total with a content hash of the row
+(``row_tiebreak``), so recomputed tasks agree on positions; order lists
+should still end in a meaningful unique tie-break, since among peers the
+hash, not the data, decides which row comes first.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, NumericType, TimestampNTZType,
+from pyspark.sql.types import (DateType, MapType, NumericType, TimestampNTZType,
                                TimestampType)
 
 from ..functions.columns import chunk_of
@@ -90,6 +92,17 @@ def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHU
     return max(width, 1e-6)
 
 
+def row_tiebreak(df: DataFrame) -> Column:
+    """Content hash of a row (all hashable columns).  Appended to the order
+    list it makes the sort total: any recomputation of a task (a retry after
+    a lost executor, or the second branch that builds the chunk table) sees
+    the same order, so positions and run ids stay consistent.  Rows equal in
+    every column are interchangeable, so their remaining tie is harmless."""
+    cols = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)
+            and f.dataType.typeName() != "udt"]
+    return F.xxhash64(*cols) if cols else F.lit(0)
+
+
 def resolve_width(df: DataFrame, by, column: str, width=None):
     """Numeric chunk width for ``width`` (``0`` = one chunk per entity)."""
     dtype = df.schema[column].dataType
@@ -141,7 +154,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 def index(df: DataFrame, by, order, *, label: str | None = None,
           run_order=None, event_col: str = "event", chunk_width=None,
-          keep_internal: bool = True) -> DataFrame:
+          keep_internal: bool = True, unique_order: bool = False) -> DataFrame:
     """Add global series positions (and run ids when ``label`` is given).
 
     Adds ``_se_pos`` (0-based row number per ``by`` in ``order``), ``_se_peer``
@@ -150,6 +163,8 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     row's label; NULL on either side is no change), summed over a RANGE frame
     on ``run_order`` (a prefix of ``order``; defaults to ``order``), so peers
     share an id; and ``_se_estart`` = position of the run's first row.
+    ``unique_order=True`` asserts that ``order`` is unique per entity and
+    skips the row-hash tie-break (``row_tiebreak``).
     """
     by = _cols(by)
     order = _cols(order)
@@ -159,11 +174,12 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
 
     width = resolve_width(df, by, order[0], chunk_width)
     if width == 0:
-        return _index_whole(df, by, order, label, run_order, event_col, keep_internal)
+        return _index_whole(df, by, order, label, run_order, event_col, keep_internal, unique_order)
     chunk = chunk_expr(df, order[0], width, by)
-    x = df.withColumn(_CHUNK, chunk)
-    w = Window.partitionBy(*by, _CHUNK).orderBy(*order)
-    first = {"_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(w)}
+    x = df.withColumns({_CHUNK: chunk, "_se_tb": F.lit(0) if unique_order else row_tiebreak(df)})
+    w = Window.partitionBy(*by, _CHUNK).orderBy(*order, *([] if unique_order else ["_se_tb"]))
+    wk = Window.partitionBy(*by, _CHUNK).orderBy(*order)  # peers share a rank
+    first = {"_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(wk)}
     if label is None:
         x = x.withColumns(first)
         # Counts need no order: partial aggregation straight from the input.
@@ -204,7 +220,7 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
                            F.last("_se_cls", ignorenulls=True).over(prev).alias("_se_carry"))
 
     y = _null_safe_join(x, summ, [*by, _CHUNK])
-    internal = {_CHUNK, "_se_rn", "_se_rk", "_se_off", "_se_ind", "_se_lr", "_se_mk", "_se_lm",
+    internal = {_CHUNK, "_se_tb", "_se_rn", "_se_rk", "_se_off", "_se_ind", "_se_lr", "_se_mk", "_se_lm",
                 "_se_E", "_se_fnew", "_se_carry"}
     out = [F.col(c) for c in y.columns if c not in internal]
     if keep_internal:
@@ -219,21 +235,28 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     return y.select(*out)
 
 
-def _index_whole(df: DataFrame, by, order, label, run_order, event_col, keep_internal) -> DataFrame:
+def _index_whole(df: DataFrame, by, order, label, run_order, event_col, keep_internal,
+                 unique_order: bool = False) -> DataFrame:
     """``index`` when every entity is one chunk (no entity above the chunk
     target, or ``chunk_width=0``): one window pass per entity, no chunk
     table and no join.  Output stays hash-partitioned by the entity, so the
     blocked windows that follow need no further shuffle."""
-    w = Window.partitionBy(*by).orderBy(*order)
     cols = [F.col(c) for c in df.columns]
+    if unique_order:
+        w = Window.partitionBy(*by).orderBy(*order)
+    else:
+        df = df.withColumn("_se_tb", row_tiebreak(df))
+        w = Window.partitionBy(*by).orderBy(*order, "_se_tb")
+    wk = Window.partitionBy(*by).orderBy(*order)  # peers share a rank
     if label is None:
         out = cols
         if keep_internal:
-            out += [(F.row_number().over(w) - 1).alias(POS), (F.rank().over(w) - 1).alias(PEER)]
+            out += [(F.row_number().over(w) - 1).cast("long").alias(POS),
+                    (F.rank().over(wk) - 1).cast("long").alias(PEER)]
         return df.select(*out)
     wr = Window.partitionBy(*by).orderBy(*run_order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     x = df.withColumns({
-        "_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(w),
+        "_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(wk),
         "_se_ind": F.coalesce((F.col(label) != F.lag(label).over(w)).cast("long"), F.lit(0).cast("long"))})
     x = x.withColumn(event_col, F.sum("_se_ind").over(wr).cast("long"))
     if not keep_internal:

@@ -33,6 +33,7 @@ class ModelParams:
     axes: list = field(default_factory=lambda: ["x", "y", "z"])
     chunk_width: object = "auto"   # number, "day" or "auto" (sized from the data)
     block_rows: int = 1 << 20
+    unique_order: bool = False     # order is unique per entity: skip the row-hash tie-break
 
 
 # Training-job settings of the activity model (window 100 rows = 5 s,
@@ -53,7 +54,8 @@ def build(p: ModelParams):
         SeriesFeatures(inputCols=list(p.axes), outputCol="features", runCol=p.action, eventCol="event",
                        partitionBy=list(p.entity), orderBy=list(p.order), windowSize=p.features_size,
                        movingAvgPeriod=p.moving_avg_period, step=p.step,
-                       chunkWidth=str(p.chunk_width), blockRows=int(p.block_rows)),
+                       chunkWidth=str(p.chunk_width), blockRows=int(p.block_rows),
+                       uniqueOrder=bool(p.unique_order)),
     ]
     fit = [
         PCA(k=p.pca_components, inputCol="features", outputCol="features_PCA"),

@@ -277,14 +277,15 @@ RUNS_SQL = """WITH i AS (SELECT *, coalesce(CAST(event_type <> lag(event_type)
 SELECT event_id, user_id, event_type, CAST(sum(ind) OVER (PARTITION BY user_id ORDER BY ts, event_id
   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM i""")
 def q_event_runs(spark, sf):
-    r = events.separate(table(spark, sf, "events"), B1_LABEL, "run", B1_BY, B1_ORDER)
+    r = events.separate(table(spark, sf, "events"), B1_LABEL, "run", B1_BY, B1_ORDER, unique_order=True)
     return r.select("event_id", "user_id", "event_type", "run")
 
 
 @query("event_runs_chunked", ORACLE["event_runs"])
 def q_event_runs_chunked(spark, sf):
     """event_runs through the hot-entity path: one-day chunks per user."""
-    r = events.separate(table(spark, sf, "events"), B1_LABEL, "run", B1_BY, B1_ORDER, chunk_width="day")
+    r = events.separate(table(spark, sf, "events"), B1_LABEL, "run", B1_BY, B1_ORDER, chunk_width="day",
+                        unique_order=True)
     return r.select("event_id", "user_id", "event_type", "run")
 
 
@@ -298,7 +299,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus,
     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM i""")
 def q_event_runs_ties(spark, sf):
     r = events.separate(table(spark, sf, "lineitem"), B2_LABEL, "run", B2_BY, B2_ORDER,
-                        run_order=["l_shipdate"])
+                        run_order=["l_shipdate"], unique_order=True)
     return r.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", "run")
 
 
@@ -315,7 +316,7 @@ SELECT r.l_linestatus, r.l_suppkey, r.run, best.n_rows, r.l_orderkey, r.l_linenu
 FROM r JOIN best ON r.l_linestatus = best.l_linestatus AND r.l_suppkey = best.l_suppkey AND r.run = best.run""")
 def q_longest_run(spark, sf):
     li = table(spark, sf, "lineitem")
-    r = events.separate(li, B2_LABEL, "run", B2_BY, B2_ORDER)
+    r = events.separate(li, B2_LABEL, "run", B2_BY, B2_ORDER, unique_order=True)
     best = profile.longest_run(r, B2_BY, "run", B2_LABEL, order=B2_ORDER, rows=li)
     return best.select("l_linestatus", "l_suppkey", "run", "n_rows", "l_orderkey", "l_linenumber", "l_partkey")
 
@@ -346,7 +347,7 @@ def q_top_entity_runs(spark, sf):
     rows_ = (ev.join(F.broadcast(top), "user_id")
                .filter(F.col("event_type").isNotNull()))
     rows_ = clean.clip(rows_, ["value"], TOP_CAP)
-    r = events.separate(rows_, B1_LABEL, "run", B1_BY, B1_ORDER)
+    r = events.separate(rows_, B1_LABEL, "run", B1_BY, B1_ORDER, unique_order=True)
     best = profile.longest_run(r, B1_BY, "run", B1_LABEL, order=B1_ORDER, rows=rows_)
     return best.select("event_type", "user_id", "run", "n_rows", "event_id", "value")
 
@@ -358,7 +359,7 @@ MAVG_P = 3
   round(avg(value) OVER w, 6) + 0.0 AS value, round(avg({K_SQL}) OVER w, 6) + 0.0 AS k
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN {MAVG_P} PRECEDING AND CURRENT ROW)""")
 def q_moving_average(spark, sf):
-    s = features.smooth(b1(spark, sf), ["value", "k"], MAVG_P, B1_BY, B1_ORDER)
+    s = features.smooth(b1(spark, sf), ["value", "k"], MAVG_P, B1_BY, B1_ORDER, unique_order=True)
     return s.select("event_id", "user_id", round6("value").alias("value"), round6("k").alias("k"))
 
 
@@ -370,7 +371,7 @@ LAGS_N = 5
        + " FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) "
        + f"WHERE value_{LAGS_N} IS NOT NULL")
 def q_lag_features(spark, sf):
-    x = features.lags(table(spark, sf, "events"), ["value"], LAGS_N, B1_BY, B1_ORDER)
+    x = features.lags(table(spark, sf, "events"), ["value"], LAGS_N, B1_BY, B1_ORDER, unique_order=True)
     x = features.lag_columns(x, "value_lags", "value", LAGS_N)
     return x.select("event_id", "user_id", *[f"value_{i}" for i in range(1, LAGS_N + 1)])
 
@@ -399,7 +400,7 @@ FROM k WHERE rnk % {SF_STEP} = 0"""
 @query("strided_features", _strided_sql())
 def q_strided_features(spark, sf):
     x = features.event_features(table(spark, sf, "lineitem"), B2_AXES, B2_BY, B2_ORDER, B2_LABEL,
-                                period=SF_P, n=SF_N, step=SF_STEP, event_col="run")
+                                period=SF_P, n=SF_N, step=SF_STEP, event_col="run", unique_order=True)
     for c in B2_AXES:
         x = features.lag_columns(x, f"{c}_lags", c, SF_N)
     lag_names = [f"{c}_{i}" for c in B2_AXES for i in range(1, SF_N + 1)]
@@ -414,7 +415,7 @@ def q_strided_features_chunked(spark, sf):
     borders (with halo copies)."""
     x = features.event_features(table(spark, sf, "lineitem"), B2_AXES, B2_BY, B2_ORDER, B2_LABEL,
                                 period=SF_P, n=SF_N, step=SF_STEP, event_col="run",
-                                chunk_width=30 * 86_400, block_rows=64)
+                                chunk_width=30 * 86_400, block_rows=64, unique_order=True)
     for c in B2_AXES:
         x = features.lag_columns(x, f"{c}_lags", c, SF_N)
     lag_names = [f"{c}_{i}" for c in B2_AXES for i in range(1, SF_N + 1)]
@@ -555,7 +556,7 @@ def _b2_model_params():
     from .model import ModelParams
     return ModelParams(cap=200_000.0, features_size=3, moving_avg_period=1, step=2, pca_components=3,
                        num_trees=5, max_depth=4, entity=B2_BY, order=B2_ORDER, action=B2_LABEL,
-                       axes=B2_AXES)
+                       axes=B2_AXES, unique_order=True)
 
 
 B2_SPLIT = 79
@@ -621,6 +622,6 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Runs per user → per-run moving average → one lag → stride → rows and
     mean smoothed value per event type."""
     x = features.event_features(table(spark, sf, "events"), ["value"], B1_BY, B1_ORDER, B1_LABEL,
-                                period=1, n=1, step=1)
+                                period=1, n=1, step=1, unique_order=True)
     return x.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"),
                                        round6(F.avg("value")).alias("avg_value"))

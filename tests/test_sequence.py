@@ -99,3 +99,19 @@ def test_stride_rank_with_ties(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "a", 2), (1, "a", 3)], "u int, a string, ts int")
     got = features.stride(df, 1, ["u"], ["ts"], chunk_width=1)
     assert sorted(r["rank"] for r in got.collect()) == [1, 2, 2, 4]
+
+
+def test_tied_order_is_deterministic(spark, ev):
+    """Order by day only (many ties): the row-hash tie-break makes positions
+    and run ids identical for every chunk width and shuffle layout."""
+    df = ev.withColumn("day", F.to_date("ts"))
+    results = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, width in [("3", 0), ("8", 86400), ("5", 3 * 86400)]:
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            x = sequence.index(df, B1_BY, ["day"], label="event_type", chunk_width=width)
+            results.append(rows(x.select("event_id", sequence.POS, "event", sequence.ESTART)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2]
