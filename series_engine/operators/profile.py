@@ -56,65 +56,91 @@ def top_entity(df: DataFrame, entity: str, label: str, k: int = 1) -> DataFrame:
     return per.orderBy(F.col("n_labels").desc(), F.col("n_rows").desc(), F.col(entity).asc()).limit(k)
 
 
-# Value chunks per group for exact selection.
+# Value chunks per refinement round and the largest chunk sorted in one
+# task by exact selection.
 SELECT_CHUNKS = 4096
+SELECT_SORT_ROWS = 1_000_000
+
+
+def _local_or(df: DataFrame, max_rows: int) -> DataFrame:
+    """The rows of ``df`` as a local relation when provably small, else ``df``."""
+    local = materialize_small(df, max_rows)
+    return local if local is not None else df
+
+
+def _side(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a small table when a bounded collect proves it small."""
+    local = materialize_small(df, max_rows)
+    return F.broadcast(local) if local is not None else df
 
 
 def exact_quantiles(long: DataFrame, keys, value: str, probs, chunks: int = SELECT_CHUNKS,
-                    max_rows: int = 50_000) -> DataFrame:
+                    max_sort_rows: int = SELECT_SORT_ROWS, max_rows: int = 50_000) -> DataFrame:
     """Exact linear-interpolated quantiles (``quantile_cont`` semantics) per
-    group without gathering a group's values in one place.
-
-    1. per group n, min and max (partial aggregation) split each group's value
-       range into ``chunks`` equal-width chunks;
-    2. rows per (group, chunk) and prefix offsets locate the chunk holding
-       each needed rank ``floor/ceil((n - 1) p)``;
-    3. only those chunks (at most 2 per probability and group) are sorted to
-       read the values at the needed ranks.
-    Chunking only balances work; the result is exact whatever the value
-    distribution.  Returns keys, ``n`` and one column ``q{i}`` per
+    group without gathering a group's values in one task.
+
+    Each needed rank ``floor/ceil((n - 1) p)`` is located by refinement:
+    the value range still holding the rank is cut into ``chunks``
+    equal-width chunks, rows per chunk (with their min and max) and prefix
+    counts pick the chunk holding the rank, and its actual [min, max] is the
+    next range (chunking is monotone in the value, so that range holds
+    exactly the chunk's rows).  A rank is settled when its range holds one
+    distinct value or at most ``max_sort_rows`` rows; only those last ranges
+    are sorted.  Concentrated distributions just take more rounds; the
+    result is exact whatever the data.  Returns keys, ``n`` and ``q{i}`` per
     probability."""
     keys = list(keys)
     v = F.col(value)
     sk = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"),
                                  F.max(value).alias("_hi"))
-    sk_small = materialize_small(sk, max_rows)
-    sk_side = F.broadcast(sk_small) if sk_small is not None else sk
-    span = F.col("_hi") - F.col("_lo")
-    chunk = F.when(span > 0, F.least(F.floor((v - F.col("_lo")) / span * F.lit(float(chunks))),
-                                     F.lit(chunks - 1))).otherwise(F.lit(0)).cast("int")
-    x = long.join(sk_side, keys).withColumn("_c", chunk).drop("_lo", "_hi")
-    cnt = x.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_m"), F.first("_n").alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = cnt.withColumn("_off", F.coalesce(F.sum("_m").over(w), F.lit(0)).cast("long"))
+    sk = _local_or(sk, max_rows)
     ranks = []
     for p in probs:
         h = (F.col("_n") - 1) * F.lit(float(p))
         ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
-    inside = None
-    for r in ranks:
-        c = (r >= F.col("_off")) & (r < F.col("_off") + F.col("_m"))
-        inside = c if inside is None else inside | c
-    need = cnt.filter(inside).select(*keys, "_c", "_off", "_n")
-    need_small = materialize_small(need, max_rows)
-    need_side = F.broadcast(need_small) if need_small is not None else need
-    y = x.drop("_n").join(need_side, [*keys, "_c"])
-    wr = Window.partitionBy(*keys, "_c").orderBy(value)
-    y = y.withColumn("_pos", F.col("_off") + F.row_number().over(wr) - 1)
-    pos_hit = None
-    for r in ranks:
-        c = F.col("_pos") == r
-        pos_hit = c if pos_hit is None else pos_hit | c
-    y = y.filter(pos_hit)
-    aggs = [F.first("_n").alias("n")]
+    # targets: (group, rank r, value range [lo, hi], base = values below lo, cnt = values in range)
+    targets = sk.select(*keys, F.explode(F.array_distinct(F.array(*ranks))).alias("_r"), "_lo", "_hi",
+                        F.lit(0).cast("long").alias("_base"), F.col("_n").alias("_cnt"))
+    settled = []
+    done = (F.col("_lo") == F.col("_hi")) | (F.col("_cnt") <= max_sort_rows)
+    while True:
+        targets = _local_or(targets, max_rows)
+        settled.append(targets.filter(done))
+        open_ = targets.filter(~done)
+        if open_.limit(1).count() == 0:
+            break
+        span = F.col("_hi") - F.col("_lo")
+        c = F.least(F.floor((v - F.col("_lo")) / span * F.lit(float(chunks))), F.lit(chunks - 1)).cast("int")
+        x = (long.join(_side(open_, max_rows), keys)
+                 .filter((v >= F.col("_lo")) & (v <= F.col("_hi")))
+                 .withColumn("_c", c))
+        per = x.groupBy(*keys, "_r", "_c").agg(F.count(F.lit(1)).alias("_m"), F.min(value).alias("_cmin"),
+                                              F.max(value).alias("_cmax"), F.first("_base").alias("_b0"))
+        w = Window.partitionBy(*keys, "_r").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+        per = per.withColumn("_before", F.col("_b0") + F.coalesce(F.sum("_m").over(w), F.lit(0)))
+        targets = (per.filter((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_m")))
+                      .select(*keys, "_r", F.col("_cmin").alias("_lo"), F.col("_cmax").alias("_hi"),
+                              F.col("_before").cast("long").alias("_base"), F.col("_m").alias("_cnt")))
+    fin = settled[0]
+    for t in settled[1:]:
+        fin = fin.unionByName(t)
+    fin = _local_or(fin, max_rows)
+    single = fin.filter(F.col("_lo") == F.col("_hi")).select(*keys, "_r", F.col("_lo").alias("_val"))
+    sortme = fin.filter(F.col("_lo") != F.col("_hi"))
+    y = (long.join(_side(sortme, max_rows), keys)
+             .filter((v >= F.col("_lo")) & (v <= F.col("_hi"))))
+    wr = Window.partitionBy(*keys, "_r").orderBy(value)
+    y = (y.withColumn("_pos", F.col("_base") + F.row_number().over(wr) - 1)
+          .filter(F.col("_pos") == F.col("_r")).select(*keys, "_r", v.alias("_val")))
+    vals = single.unionByName(y)
+    aggs = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        aggs += [F.max(F.when(F.col("_pos") == lo, v)).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_pos") == hi, v)).alias(f"_hi{i}"),
-                 F.first(h - lo).alias(f"_fr{i}")]
-    out = y.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, "n", *[
+        aggs += [F.max(F.when(F.col("_r") == F.floor(h), F.col("_val"))).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_r") == F.ceil(h), F.col("_val"))).alias(f"_hi{i}"),
+                 F.first(h - F.floor(h)).alias(f"_fr{i}")]
+    out = vals.join(_side(sk.select(*keys, "_n"), max_rows), keys).groupBy(*keys, "_n").agg(*aggs)
+    return out.select(*keys, F.col("_n").alias("n"), *[
         (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}")
         for i in range(len(probs))])
 
