@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import DEFAULT_BROADCAST_ROWS, materialize_small
+
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Counts per (label, prediction) — at most classes² rows."""
@@ -13,11 +15,18 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
         F.count(F.lit(1)).alias("count"))
 
 
-def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
+            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Long format (metric, class, value): ``accuracy`` (class NULL), and
     ``precision`` / ``recall`` for every class seen in the label column.
-    A class never predicted has precision 0."""
+    A class never predicted has precision 0.
+
+    The confusion counts (at most classes² rows) are computed once — one
+    pass over ``df``, which may be a whole scoring plan — and every metric
+    is derived from that small table."""
     conf = confusion(df, label, prediction)
+    local = materialize_small(conf, max_rows)
+    conf = local if local is not None else conf
     actual = conf.groupBy(F.col("label").alias("class")).agg(F.sum("count").alias("actual"))
     predicted = conf.groupBy(F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
     tp = conf.filter(F.col("label") == F.col("prediction")).select(
