@@ -21,24 +21,27 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
     ``precision`` / ``recall`` for every class seen in the label column.
     A class never predicted has precision 0.
 
-    The confusion counts (at most classes² rows) are computed once — one
-    pass over ``df``, which may be a whole scoring plan — and every metric
-    is derived from that small table."""
-    conf = confusion(df, label, prediction)
-    local = materialize_small(conf, max_rows)
-    conf = local if local is not None else conf
-    actual = conf.groupBy(F.col("label").alias("class")).agg(F.sum("count").alias("actual"))
-    predicted = conf.groupBy(F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
-    tp = conf.filter(F.col("label") == F.col("prediction")).select(
-        F.col("label").alias("class"), F.col("count").alias("tp"))
-    per = actual.join(predicted, "class", "left").join(tp, "class", "left").fillna(0, ["predicted", "tp"])
-    prec = per.select(F.lit("precision").alias("metric"), "class",
-                      F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted"))
-                       .otherwise(F.lit(0.0)).alias("value"))
-    rec = per.select(F.lit("recall").alias("metric"), "class",
-                     (F.col("tp") / F.col("actual")).alias("value"))
-    acc = conf.agg((F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")))
-                    / F.sum("count")).alias("value")).select(
+    One pass over ``df`` (which may be a whole scoring plan): every pair
+    adds an "actual" record to its label's class and a "predicted" record to
+    its prediction's class, and one grouped count per class (partial
+    aggregation, at most one row per class) gives actual, predicted and true
+    positive counts.  The metrics are read off that small table."""
+    lab, pred = F.col(label).cast("double"), F.col(prediction).cast("double")
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    recs = df.select(F.explode(F.array(
+        F.struct(lab.alias("class"), one.alias("a"), zero.alias("p"),
+                 F.when(lab == pred, one).otherwise(zero).alias("t")),
+        F.struct(pred.alias("class"), zero.alias("a"), one.alias("p"), zero.alias("t")))).alias("r"))
+    per = recs.groupBy(F.col("r.class").alias("class")).agg(
+        F.sum("r.a").alias("actual"), F.sum("r.p").alias("predicted"), F.sum("r.t").alias("tp"))
+    local = materialize_small(per, max_rows)
+    per = local if local is not None else per
+    seen = per.filter(F.col("class").isNotNull() & (F.col("actual") > 0))
+    prec = seen.select(F.lit("precision").alias("metric"), "class",
+                       F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted"))
+                        .otherwise(F.lit(0.0)).alias("value"))
+    rec = seen.select(F.lit("recall").alias("metric"), "class", (F.col("tp") / F.col("actual")).alias("value"))
+    acc = per.agg((F.sum("tp") / F.sum("actual")).alias("value")).select(
         F.lit("accuracy").alias("metric"), F.lit(None).cast("double").alias("class"),
         F.coalesce("value", F.lit(0.0)).alias("value"))
     return acc.unionByName(prec).unionByName(rec)
