@@ -1,3 +1,3 @@
-from .jobs import decode, encode, publish, score, trigger_kwargs
+from .jobs import decode, encode, kafka_sink_options, publish, score, trigger_kwargs
 
-__all__ = ["decode", "encode", "publish", "score", "trigger_kwargs"]
+__all__ = ["decode", "encode", "kafka_sink_options", "publish", "score", "trigger_kwargs"]

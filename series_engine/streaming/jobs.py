@@ -27,6 +27,13 @@ def trigger_kwargs(processing_time: str | None = "5 minutes", available_now: boo
     return {"processingTime": processing_time}
 
 
+def kafka_sink_options(bootstrap_servers: str, topic: str, **extra) -> dict:
+    """Sink options for ``publish(..., fmt="kafka")``: one topic."""
+    opts = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
+    opts.update({k: str(v) for k, v in extra.items()})
+    return opts
+
+
 def encode(stream: DataFrame, key_col: str = "timestamp") -> DataFrame:
     """Message columns: ``key`` = key column as text, ``value`` = JSON of the
     whole row (NULL fields omitted)."""

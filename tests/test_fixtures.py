@@ -264,6 +264,11 @@ def test_kafka_options():
     o = readers.kafka_options("broker:9092", "topic-a", maxOffsetsPerTrigger=100)
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "topic-a",
                  "startingOffsets": "earliest", "maxOffsetsPerTrigger": "100"}
+    from series_engine import streaming
+    assert streaming.kafka_sink_options("broker:9092", "topic-a") == {
+        "kafka.bootstrap.servers": "broker:9092", "topic": "topic-a"}
+    assert streaming.trigger_kwargs() == {"processingTime": "5 minutes"}
+    assert streaming.trigger_kwargs(available_now=True) == {"availableNow": True}
 
 
 def test_histograms_equal_single(spark):
