@@ -48,12 +48,17 @@ def get_session(master: str | None = None, app: str = "series_engine",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one.  Otherwise (a
-    local test session) a scratch folder is created once and recorded in the
-    session conf, so later calls agree.
+    Uses ``spark.checkpoint.dir`` when the cluster names one.  Only a local
+    session (tests) may leave it unset: then a scratch folder is created once
+    and recorded in the session conf, so later calls agree.  On a cluster an
+    unset value is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors "
+                               "(a machine-local folder would not survive a lost executor)")
         path = tempfile.mkdtemp(prefix="series-engine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
