@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import columns as fx
 from .joins import materialize_small
