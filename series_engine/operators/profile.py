@@ -125,12 +125,15 @@ def exact_quantiles(long: DataFrame, keys, value: str, probs, chunks: int = SELE
         fin = fin.unionByName(t)
     fin = _local_or(fin, max_rows)
     single = fin.filter(F.col("_lo") == F.col("_hi")).select(*keys, "_r", F.col("_lo").alias("_val"))
-    sortme = fin.filter(F.col("_lo") != F.col("_hi"))
+    # ranks sharing a range (e.g. all ranks of a group small enough to sort
+    # at once) sort that range once
+    sortme = (fin.filter(F.col("_lo") != F.col("_hi"))
+                 .groupBy(*keys, "_lo", "_hi", "_base").agg(F.collect_set("_r").alias("_rs")))
     y = (long.join(_side(sortme, max_rows), keys)
              .filter((v >= F.col("_lo")) & (v <= F.col("_hi"))))
-    wr = Window.partitionBy(*keys, "_r").orderBy(value)
-    y = (y.withColumn("_pos", F.col("_base") + F.row_number().over(wr) - 1)
-          .filter(F.col("_pos") == F.col("_r")).select(*keys, "_r", v.alias("_val")))
+    wr = Window.partitionBy(*keys, "_lo", "_hi").orderBy(value)
+    y = (y.withColumn("_r", F.col("_base") + F.row_number().over(wr) - 1)
+          .filter(F.array_contains(F.col("_rs"), F.col("_r"))).select(*keys, "_r", v.alias("_val")))
     vals = single.unionByName(y)
     aggs = []
     for i, p in enumerate(probs):
