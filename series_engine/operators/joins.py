@@ -18,10 +18,18 @@ def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """Compute ``df`` once with a LIMIT of ``max_rows + 1``.  If it fits, return
     the rows as a local relation (no recomputation later, safe to broadcast);
     else ``None`` — the caller keeps the distributed plan."""
-    head = df.limit(int(max_rows) + 1).collect()
-    if len(head) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(head, df.schema)
+    limited = df.limit(int(max_rows) + 1)
+    try:
+        # Arrow keeps timestamps as UTC instants (no local-time round trip)
+        table = limited.toArrow()
+        if table.num_rows > max_rows:
+            return None
+        return df.sparkSession.createDataFrame(table, schema=df.schema)
+    except Exception:  # noqa: BLE001 - types Arrow cannot carry (e.g. ML vectors)
+        head = limited.collect()
+        if len(head) > max_rows:
+            return None
+        return df.sparkSession.createDataFrame(head, df.schema)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
