@@ -76,20 +76,22 @@ def _order_number(column: str, dtype) -> Column:
 
 
 def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHUNK_ROWS):
-    """Chunk width giving about ``target_rows`` rows per chunk for the
-    densest entity (rows per unit of the order column), from one partial
-    aggregation; the densest entity sets the width for all."""
+    """Chunk width giving about ``target_rows`` rows per chunk to every
+    entity above ``target_rows`` rows (sized by the densest of them, rows per
+    unit of the order column), from one partial aggregation; ``0`` (one
+    chunk per entity) when no entity is that large.  Small entities never
+    set the width."""
     dtype = df.schema[column].dataType
+    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
+        return 0
     t = _order_number(column, dtype)
     per = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
-    dens = per.select(F.max(F.col("n") / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9))).alias("d"),
-                      F.max("n").alias("m")).collect()[0]
-    if dens["d"] is None or dens["m"] <= target_rows:
-        return 0
-    width = float(target_rows) / float(dens["d"])
-    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
+    big = F.col("n") > F.lit(int(target_rows))
+    dens = per.select(F.max(F.when(big, F.col("n") / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9))))
+                      .alias("d")).collect()[0]
+    if dens["d"] is None:
         return 0
-    return max(width, 1e-6)
+    return max(float(target_rows) / float(dens["d"]), 1e-6)
 
 
 def row_tiebreak(df: DataFrame) -> Column:
@@ -124,17 +126,9 @@ def chunk_expr(df: DataFrame, column: str, width=None, by=None) -> Column:
     densest entity gets about ``AUTO_CHUNK_ROWS`` rows per chunk (one chunk
     per entity when no entity is that large)."""
     dtype = df.schema[column].dataType
-    if width is None or width == "auto":
-        width = auto_chunk_width(df, by, column)
+    width = resolve_width(df, by, column, width)
     if width == 0:
         return F.lit(0).cast("long")
-    if width == "day":
-        if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
-            width = DEFAULT_CHUNK_SECONDS
-        elif isinstance(dtype, NumericType):
-            width = DEFAULT_CHUNK_NUMERIC
-        else:
-            return F.lit(0).cast("long")
     return chunk_of(column, dtype, width)
 
 
