@@ -94,6 +94,38 @@ def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHU
     return max(float(target_rows) / float(dens["d"]), 1e-6)
 
 
+# Largest number of above-target entities whose widths are broadcast.
+MAX_WIDTH_ROWS = 50_000
+
+
+def auto_widths(df: DataFrame, by, column: str, target_rows: int | None = None,
+                max_rows: int = MAX_WIDTH_ROWS):
+    """Per-entity chunk widths for the entities above ``target_rows`` rows
+    (width = target / that entity's density), as a local table of at most
+    ``max_rows`` rows; every other entity stays one chunk.  Returns ``0``
+    when no entity is that large, or the single ``auto_chunk_width`` when
+    too many entities are large to broadcast their widths."""
+    from .joins import materialize_small
+    target = int(target_rows or AUTO_CHUNK_ROWS)
+    dtype = df.schema[column].dataType
+    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
+        return 0
+    by = _cols(by)
+    if not by:  # one global series: a single width
+        return auto_chunk_width(df, by, column, target)
+    t = _order_number(column, dtype)
+    per = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
+    big = per.filter(F.col("n") > F.lit(target)).select(
+        *by, F.greatest(F.lit(target) * F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9)) / F.col("n"),
+                        F.lit(1e-6)).alias("_se_w"))
+    local = materialize_small(big, max_rows)
+    if local is None:
+        return auto_chunk_width(df, by, column, target)
+    if local.limit(1).count() == 0:
+        return 0
+    return local
+
+
 def row_tiebreak(df: DataFrame) -> Column:
     """Content hash of a row (all hashable columns).  Appended to the order
     list it makes the sort total: any recomputation of a task (a retry after
@@ -106,10 +138,11 @@ def row_tiebreak(df: DataFrame) -> Column:
 
 
 def resolve_width(df: DataFrame, by, column: str, width=None):
-    """Numeric chunk width for ``width`` (``0`` = one chunk per entity)."""
+    """Chunk width for ``width``: a number (``0`` = one chunk per entity) or,
+    for ``"auto"``, possibly a table of per-entity widths (``auto_widths``)."""
     dtype = df.schema[column].dataType
     if width is None or width == "auto":
-        return auto_chunk_width(df, by, column)
+        return auto_widths(df, by, column)
     if width == "day":
         if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
             return DEFAULT_CHUNK_SECONDS
@@ -126,14 +159,16 @@ def chunk_expr(df: DataFrame, column: str, width=None, by=None) -> Column:
     densest entity gets about ``AUTO_CHUNK_ROWS`` rows per chunk (one chunk
     per entity when no entity is that large)."""
     dtype = df.schema[column].dataType
+    if width is None or width == "auto":
+        width = auto_chunk_width(df, by, column)
     width = resolve_width(df, by, column, width)
     if width == 0:
         return F.lit(0).cast("long")
     return chunk_of(column, dtype, width)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where NULL matches NULL (a NULL entity is its own
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL (a NULL entity is its own
     series, as in a window partition).  Right key copies are dropped."""
     renamed = right
     for k in keys:
@@ -142,7 +177,9 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     for k in keys:
         c = left[k].eqNullSafe(renamed[f"_r_{k}"])
         cond = c if cond is None else cond & c
-    out = left.join(renamed, cond, "inner")
+    if cond is None:
+        raise ValueError("join keys required")
+    out = left.join(renamed, cond, how)
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
@@ -167,18 +204,24 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
         raise ValueError("run_order must be a prefix of order")
 
     width = resolve_width(df, by, order[0], chunk_width)
-    if width == 0:
+    if isinstance(width, DataFrame):
+        # per-entity widths: entities above the target are cut, others stay one chunk
+        t = _order_number(order[0], df.schema[order[0]].dataType)
+        base = _null_safe_join(df, F.broadcast(width), by, how="left")
+        base = base.withColumn(_CHUNK, F.when(F.col("_se_w").isNull(), F.lit(0))
+                               .otherwise(F.floor(t / F.col("_se_w"))).cast("long")).drop("_se_w")
+    elif width == 0:
         return _index_whole(df, by, order, label, run_order, event_col, keep_internal, unique_order)
-    chunk = chunk_expr(df, order[0], width, by)
-    x = df.withColumns({_CHUNK: chunk, "_se_tb": F.lit(0) if unique_order else row_tiebreak(df)})
+    else:
+        base = df.withColumn(_CHUNK, chunk_expr(df, order[0], width, by))
+    x = base.withColumn("_se_tb", F.lit(0) if unique_order else row_tiebreak(df))
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order, *([] if unique_order else ["_se_tb"]))
     wk = Window.partitionBy(*by, _CHUNK).orderBy(*order)  # peers share a rank
     first = {"_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(wk)}
     if label is None:
         x = x.withColumns(first)
         # Counts need no order: partial aggregation straight from the input.
-        summ = df.groupBy(*[F.col(b) for b in by], chunk.alias(_CHUNK)).agg(
-            F.count(F.lit(1)).alias("_se_n"))
+        summ = base.groupBy(*by, _CHUNK).agg(F.count(F.lit(1)).alias("_se_n"))
     else:
         first["_se_ind"] = F.coalesce((F.col(label) != F.lag(label).over(w)).cast("long"), F.lit(0).cast("long"))
         wr = (Window.partitionBy(*by, _CHUNK).orderBy(*run_order)

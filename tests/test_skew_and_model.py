@@ -92,3 +92,18 @@ def test_auto_chunk_width(spark, hot):
     cols = ["event_id", "event", sequence.POS, sequence.ESTART]
     assert rows(got.select(*cols)) == rows(ref.select(*cols))
     assert sequence.auto_chunk_width(hot, by, "ts", target_rows=10**9) == 0
+
+
+def test_auto_per_entity_widths(spark, hot, monkeypatch):
+    """Only entities above the target are cut; their cuts give the same
+    positions, runs and run starts as one window per entity."""
+    monkeypatch.setattr(sequence, "AUTO_CHUNK_ROWS", 200)
+    by, order = ["user_id"], ["ts", "event_id"]
+    widths = sequence.auto_widths(hot, by, "ts")
+    assert [r.user_id for r in widths.collect()] == [0]
+    got = sequence.index(hot, by, order, label="event_type")
+    ref = sequence.index(hot, by, order, label="event_type", chunk_width=0)
+    cols = ["event_id", "event", sequence.POS, sequence.PEER, sequence.ESTART]
+    assert rows(got.select(*cols)) == rows(ref.select(*cols))
+    pos = sequence.index(hot, by, order)
+    assert rows(pos.select("event_id", sequence.POS)) == rows(ref.select("event_id", sequence.POS))
