@@ -292,3 +292,29 @@ def test_exact_quantiles_concentrated(spark):
     g = {r.event_type: (r.q0, r.q1, r.q2, r.q3, r.q4) for r in got.collect()}
     for r in ref.collect():
         assert all(math.isclose(a, b, rel_tol=1e-12) for a, b in zip(g[r.event_type], r.q))
+
+
+def test_checkpoint_dir_must_be_shared_on_a_cluster():
+    from series_engine.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "yarn"
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
+
+
+def test_overview_detail(spark):
+    cu = spark.read.parquet(f"{SF001}/customer.parquet")
+    r = profile.overview(cu, "customer").collect()[0]
+    assert (r.table_name, r.row_count, r.n_columns) == ("customer", 1500, 5)
+    assert r.partitions >= 1 and r.schema.startswith("struct<c_custkey:bigint")
+    assert profile.overview(cu, "customer", detail=False).columns == ["table_name", "row_count"]
