@@ -50,3 +50,25 @@ def test_chain_equals_plain_windows(spark, data, width, block, n, p, step):
     pos = sequence.index(df, ["u"], ["t", "id"], chunk_width=width)
     ref = df.withColumn(sequence.POS, F.row_number().over(w) - 1)
     assert rows(pos.select("id", sequence.POS)) == rows(ref.select("id", sequence.POS))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.tuples(st.sampled_from(["g1", "g2"]),
+                                  st.one_of(st.integers(-3, 3).map(float),
+                                            st.floats(-1e6, 1e6, allow_nan=False, width=32))),
+                       min_size=1, max_size=60),
+       chunks=st.integers(2, 5), sort_rows=st.integers(1, 6),
+       probs=st.lists(st.floats(0, 1), min_size=1, max_size=4))
+def test_exact_quantiles_equal_percentile(spark, values, chunks, sort_rows, probs):
+    import math
+
+    from series_engine.operators import profile
+    df = spark.createDataFrame(values, "g string, v double")
+    got = profile.exact_quantiles(df, ["g"], "v", probs, chunks=chunks, max_sort_rows=sort_rows)
+    ref = df.groupBy("g").agg(F.percentile("v", [float(p) for p in probs]).alias("q"),
+                              F.count(F.lit(1)).alias("n"))
+    g = {r.g: r for r in got.collect()}
+    for r in ref.collect():
+        assert g[r.g].n == r.n
+        for i, q in enumerate(r.q):
+            assert math.isclose(g[r.g][f"q{i}"], q, rel_tol=1e-9, abs_tol=1e-9)
