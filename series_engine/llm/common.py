@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from series_engine.session import write_table
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -56,3 +59,38 @@ def only(df: DataFrame, *names: str) -> DataFrame:
 def parallelism(df: DataFrame) -> int:
     """Tasks of a shuffle, as the session says."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once under the shared checkpoint folder and read back."""
+    return write_table(df, f"llm-{name}")
+
+
+def running(df: DataFrame, order: list[str], sums: dict[str, str], name: str) -> DataFrame:
+    """Adds ``_row`` (global row number from 0) and, for each ``new: column`` of
+    ``sums``, the sum of ``column`` over all earlier rows of the total order.
+
+    Rows are dealt into ranges of the order, so a value that a third of all
+    rows share is spread like any other; only one line of totals per range
+    meets in one task.  ``order`` must be total but for identical rows."""
+    dealt = cut(df.repartitionByRange(parallelism(df), *order).withColumn("_range", F.spark_partition_id()), name)
+    totals = dealt.groupBy("_range").agg(F.count("*").alias("_rows"), *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_o_rows"),
+                            *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # one line per range: as many as the session has shuffle partitions
+    return (dealt.join(F.broadcast(offsets), "_range")
+            .withColumn("_row", F.col("_o_rows") + F.coalesce(F.count(F.lit(1)).over(inside), F.lit(0)))
+            .withColumns({n: F.col(f"_o_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()})
+            .drop("_range", "_o_rows", *[f"_o_{n}" for n in sums]))
+
+
+#: Rows up to which a side with one short row per named thing is broadcast.
+SMALL_ROWS = 100_000
+
+
+def small(side: DataFrame) -> DataFrame:
+    """The side, marked for broadcast if it has at most ``SMALL_ROWS`` rows (it
+    is counted); a larger one stays for a shuffled join."""
+    return F.broadcast(side) if side.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else side

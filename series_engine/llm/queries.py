@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import quality
+from series_engine.llm import mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       quality.passes("v2").alias("kept"), "failure_bits")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, and the first place it takes it to."""
+    mixed = mixing.per_document(mixing.mix(_table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_draws", "first_shard", "first_position")
+
+
 _WORDS = r"list_filter(string_split_regex({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP5_SQL = rf"""
@@ -61,6 +67,7 @@ FROM b
 """
 
 QUERIES = {
+    "op8_mixing": op8_mixing,
     "op5_quality_rules": op5_quality_rules,
 }
 
