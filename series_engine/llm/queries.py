@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import line_dedup, mixing, quality
+from series_engine.llm import line_dedup, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_draws", "first_shard", "first_position")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    out = toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", "n_segments", "first_word", "last_word")
+
+
 _WORDS = r"list_filter(string_split_regex({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP5_SQL = rf"""
@@ -117,6 +123,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
     "op5_quality_rules": op5_quality_rules,
