@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import line_dedup, mixing, quality, toxicity
+from series_engine.llm import line_dedup, mixing, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_draws", "first_shard", "first_position")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents")).drop("uid")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     out = toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -123,6 +128,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
