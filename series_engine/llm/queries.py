@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import line_dedup, mixing, packing, quality, toxicity
+from series_engine.llm import html, line_dedup, mixing, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and verdicts of every document."""
     led = quality.ledger(_table(spark, sf_dir, "documents"))
@@ -128,6 +133,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op3_html_extraction": op3_html_extraction,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op7_line_dedup": op7_line_dedup,
