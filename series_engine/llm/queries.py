@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import html, line_dedup, mixing, packing, quality, toxicity
+from series_engine.llm import html, line_dedup, mixing, packing, quality, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       quality.passes("v2").alias("kept"), "failure_bits")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its lines of recurring templates."""
     out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
@@ -133,6 +138,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op6_token_counts": op6_token_counts,
     "op3_html_extraction": op3_html_extraction,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
