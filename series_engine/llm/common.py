@@ -6,13 +6,14 @@ these are the same characters for Java, Python and SQL, unlike ``\\s``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from series_engine.session import write_table
+from series_engine.session import scratch_path, write_table
 
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
@@ -94,3 +95,26 @@ def small(side: DataFrame) -> DataFrame:
     """The side, marked for broadcast if it has at most ``SMALL_ROWS`` rows (it
     is counted); a larger one stays for a shuffled join."""
     return F.broadcast(side) if side.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else side
+
+
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """96 bits that stand for a text."""
+    return F.xxhash64(text).alias("_k1"), F.hash(text).alias("_k2")
+
+
+def cut_by_key(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """As ``cut``, and dealt into buckets of the keys: later joins on them read
+    the rows where they lie, only the other side is shuffled."""
+    spark = df.sparkSession
+    path, table = scratch_path(spark, f"llm-{name}"), f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(parallelism(df), *keys).saveAsTable(table))
+    return spark.table(table)
+
+
+def distinct_texts(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``_k1, _k2, _n, _t``: every different text once (NULL as empty) with its
+    number of rows, bucketed by its key.  Copies meet before the shuffle."""
+    t = docs.select(text_or_empty(F.col(f"`{text}`")).alias("_t"))
+    t = t.select(*text_keys(F.col("_t")), "_t").groupBy("_k1", "_k2").agg(F.first("_t").alias("_t"), F.count("*").alias("_n"))
+    return cut_by_key(t, ["_k1", "_k2"], name)

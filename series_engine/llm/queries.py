@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import html, line_dedup, mixing, packing, quality, token_counts, toxicity
+from series_engine.llm import html, line_dedup, mixing, packing, quality, substring, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated windows of 35 words."""
+    return substring.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(_table(spark, sf_dir, "pages"))
@@ -138,6 +143,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op3_html_extraction": op3_html_extraction,
     "op9_packing": op9_packing,
