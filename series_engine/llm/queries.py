@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import html, line_dedup, mixing, packing, quality, substring, token_counts, toxicity
+from series_engine.llm import html, line_dedup, minhash, mixing, packing, quality, substring, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of near-duplicates it is in."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, similarity=0.85)
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(_table(spark, sf_dir, "pages"))
@@ -143,6 +148,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op1_substring_dedup": op1_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op3_html_extraction": op3_html_extraction,
