@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import html, line_dedup, minhash, mixing, packing, quality, substring, token_counts, toxicity
+from series_engine.llm import ann, html, line_dedup, minhash, mixing, packing, quality, substring, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest other vectors of every vector whose id is divisible by 100."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and verdicts of every document."""
     led = quality.ledger(_table(spark, sf_dir, "documents"))
@@ -148,6 +153,7 @@ FROM d LEFT JOIN per USING (rid)
 """
 
 QUERIES = {
+    "op4_ann": op4_ann,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op1_substring_dedup": op1_substring_dedup,
     "op6_token_counts": op6_token_counts,
