@@ -34,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from series_engine.llm.common import cut, only, small, text_keys, text_or_empty
+from series_engine.llm.common import cut, has_word, only, small, text_keys, text_or_empty
 from series_engine.llm.components import components
 from series_engine.llm.substring import Windows, word_hashes
 
@@ -236,3 +236,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, tex
     named = F.when(F.col("component").isNull(), F.col("_id")).otherwise(F.col("_first"))
     return out.select(F.col("_id").alias(id_col), F.col("_size").alias("n_shingles"), named.alias("component_id"),
                       F.col("_id").eqNullSafe(named).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, size: int = 5, similarity: float = 0.8, text: str = "text", id_col: str = "doc_id",
+                **options) -> DataFrame:
+    """The documents, all columns as they are, with one row of each group of
+    near-duplicates: the one with the smallest id (NULL last)."""
+    rows = cut(classes(docs, size, similarity, text=text, id_col=id_col, **options), "near-classes")
+    key = [F.col("_id").isNull().alias("_null"), "_id", "_k1", "_k2"]
+    first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(*key)).alias("_f")).select("_f.*")
+    col = F.col(f"`{text}`")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"),
+                        *text_keys(text_or_empty(col)), has_word(text_or_empty(col)).alias("_some"))
+    keyed = keyed.alias("d")
+    first = small(cut(first, "near-first")).alias("f")
+    same = [F.col("d._k1") == F.col("f._k1"), F.col("d._k2") == F.col("f._k2"), F.col("d._id").eqNullSafe(F.col("f._id"))]
+    chosen = keyed.where("_some").join(first, same, "left_semi")
+    # equal rows with one id are one group too
+    own = Window.partitionBy("_k1", "_k2", "_id").orderBy("_k1")
+    chosen = chosen.withColumn("_r", F.row_number().over(own)).where("_r = 1")
+    return chosen.select("_row.*").unionByName(keyed.where("NOT _some").select("_row.*"))

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from series_engine.llm.common import SMALL_ROWS, cut, let, n_words, only, running, small
+from series_engine.llm.common import cut, let, n_words, only, running, small, words
 
 WEIGHTS = (3, 1, 2)
 SEED = 20240229
@@ -96,6 +96,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     return ranked.select("source_no", "source", "source_size", target.cast("double").alias("target"))
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(text, text.isNull())
+
+
 def blocks(docs: DataFrame, block_words: int, text: str = "text", id_col: str = "doc_id",
            source: str = "source") -> DataFrame:
     """Every document as blocks of at most ``block_words`` words; a document
@@ -103,7 +107,7 @@ def blocks(docs: DataFrame, block_words: int, text: str = "text", id_col: str =
     ``copy``."""
     t = only(docs, id_col, text, source).select(
         F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
-        n_words(F.col(text)).alias("size"), F.xxhash64(F.col(text), F.col(text).isNull()).alias("text_hash"))
+        n_words(F.col(text)).alias("size"), _text_hash(F.col(text)).alias("text_hash"))
     t = t.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("_n"))
     t = t.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop("_n")
     last = F.greatest(F.ceil(F.col("size") / block_words) - 1, F.lit(0))
@@ -220,3 +224,22 @@ def per_document(mixed: DataFrame) -> DataFrame:
         F.max("source_size").alias("source_size"), F.max("target").alias("target"),
         F.sum("taken").alias("taken"), F.count("shard").alias("n_draws"), F.min("shard").alias("first_shard"),
         F.min_by("position", F.struct("shard", "position")).alias("first_position")).drop("copy")
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """The mix as documents: a row for every document and epoch with the words
+    that the mix takes of it, other columns as they are.  A document that is
+    taken whole keeps its text unchanged."""
+    mixed = cut(mix(docs, text=text, id_col=id_col, source=source, **options).where("taken > 0"), "mix-drawn")
+    parts = mixed.groupBy("doc_id", "source", "text_hash", "copy", "epoch").agg(
+        F.max("size").alias("_size"), F.sum("taken").alias("_taken"),
+        F.sort_array(F.collect_list(F.struct("start", "taken"))).alias("_parts"))
+    key = [F.col(f"`{id_col}`").alias("_id"), F.col(f"`{source}`").alias("_src"), _text_hash(F.col(f"`{text}`")).alias("_hash")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *key)
+    rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_src", "_hash").orderBy("_hash")) - 1)
+    both = rows.join(parts, rows["_id"].eqNullSafe(parts["doc_id"]) & rows["_src"].eqNullSafe(parts["source"])
+                     & (rows["_hash"] == parts["text_hash"]) & (rows["_copy"] == parts["copy"]))
+    own = F.col("_row").getField(text)
+    some = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(words(own), (p["start"] + 1).cast("int"), p["taken"].cast("int")))), " ")
+    both = both.withColumn("_new", F.when(F.col("_taken") == F.col("_size"), own).otherwise(some))
+    return both.select(*[F.col("_new").alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns])

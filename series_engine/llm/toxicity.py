@@ -37,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,6 +236,20 @@ def score(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text",
             .withColumn("id", F.col("id").cast(id_type)).withColumnRenamed("id", id_col))
 
 
+def reject(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
+    """The documents, all columns as they are, that score below the threshold."""
+    model = docs.sparkSession.sparkContext.broadcast(m)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cache = model.value, {}
+        for b in batches:
+            fine = [probability(evidence(*_scan(t, own, cache), own), own) < threshold for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(fine, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """True for the documents whose labels are never learned from."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string")) % 3 == 1, F.lit(False))
