@@ -1,5 +1,5 @@
 from .columns import (chunk_of, clip, is_missing, json_decode, json_encode,
-                      numeric_columns, round6, strip_and_cast)
+                      round6, strip_and_cast)
 
 __all__ = ["chunk_of", "clip", "is_missing", "json_decode", "json_encode",
-           "numeric_columns", "round6", "strip_and_cast"]
+           "round6", "strip_and_cast"]

@@ -3,7 +3,7 @@ worker), so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DateType, DecimalType, DoubleType,
                                FloatType, NumericType, StructType,
@@ -14,10 +14,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-
-
 def is_missing(c, dtype: DataType | None = None) -> Column:
     """True for NULL, and for NaN when the column is floating point.
 
@@ -51,7 +47,7 @@ def round6(c, digits: int = 6) -> Column:
 def strip_and_cast(c, suffix: str, to: str) -> Column:
     """Remove every ``suffix`` occurrence, then ``try_cast``: bad text → NULL
     instead of an ANSI error."""
-    return F.regexp_replace(_col(c), F.lit(suffix), F.lit("")).try_cast(to)
+    return F.replace(_col(c), F.lit(suffix), F.lit("")).try_cast(to)
 
 
 def json_encode(*cols) -> Column:

@@ -38,7 +38,3 @@ def split_at(df: DataFrame, col: str, threshold) -> tuple[DataFrame, DataFrame]:
     Two filters over one scan definition; each pushes down to Parquet."""
     c = F.col(col)
     return df.filter(c <= F.lit(threshold)), df.filter(c > F.lit(threshold))
-
-
-def select_columns(df: DataFrame, cols) -> DataFrame:
-    return df.select(*cols)

@@ -8,13 +8,6 @@ from pyspark.sql import functions as F
 from .joins import DEFAULT_BROADCAST_ROWS, materialize_small
 
 
-def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Counts per (label, prediction) — at most classes² rows."""
-    return df.groupBy(F.col(label).cast("double").alias("label"),
-                      F.col(prediction).cast("double").alias("prediction")).agg(
-        F.count(F.lit(1)).alias("count"))
-
-
 def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Long format (metric, class, value): ``accuracy`` (class NULL), and

@@ -4,32 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, UserDefinedType
 
-# A side is broadcast only when it is proven to hold at most this many rows.
+# A side is broadcast only when it is proven to hold at most this many rows
+# and, in Arrow's form, this many bytes.
 DEFAULT_BROADCAST_ROWS = 50_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count of ``df``, stopping once it exceeds ``bound`` (a LIMIT job)."""
-    return df.limit(int(bound) + 1).count()
+def _arrow_can_carry(dtype: DataType) -> bool:
+    if isinstance(dtype, StructType):
+        return all(_arrow_can_carry(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return _arrow_can_carry(dtype.elementType)
+    if isinstance(dtype, MapType):
+        return _arrow_can_carry(dtype.keyType) and _arrow_can_carry(dtype.valueType)
+    return not isinstance(dtype, UserDefinedType)
 
 
-def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
+def materialize_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame | None:
     """Compute ``df`` once with a LIMIT of ``max_rows + 1``.  If it fits, return
     the rows as a local relation (no recomputation later, safe to broadcast);
-    else ``None`` — the caller keeps the distributed plan."""
+    else ``None`` — the caller keeps the distributed plan.  Columns that Arrow
+    cannot carry (ML vectors) go as rows, bounded by rows alone."""
     limited = df.limit(int(max_rows) + 1)
-    try:
-        # Arrow keeps timestamps as UTC instants (no local-time round trip)
-        table = limited.toArrow()
-        if table.num_rows > max_rows:
-            return None
-        return df.sparkSession.createDataFrame(table, schema=df.schema)
-    except Exception:  # noqa: BLE001 - types Arrow cannot carry (e.g. ML vectors)
+    if not _arrow_can_carry(df.schema):
         head = limited.collect()
-        if len(head) > max_rows:
-            return None
-        return df.sparkSession.createDataFrame(head, df.schema)
+        return None if len(head) > max_rows else df.sparkSession.createDataFrame(head, df.schema)
+    # Arrow keeps timestamps as UTC instants (no local-time round trip)
+    table = limited.toArrow()
+    if table.num_rows > max_rows or table.nbytes > max_bytes:
+        return None
+    return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

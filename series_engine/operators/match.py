@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import materialize_small
+
 
 def audit(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """One row: left_rows, right_rows, inner_rows (row-level inner join
@@ -29,11 +31,19 @@ def full_outer(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                drop_right_key: bool = True) -> DataFrame:
     """Full outer equi join; the right key is dropped, so right-only rows show
     a NULL left key (the unmatched count per column then reads off a null
-    profile)."""
-    j = left.join(right, left[left_on] == right[right_on], "full_outer")
-    return j.drop(right[right_on]) if drop_right_key else j
-
-
-def inner_count(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    return left.join(right, left[left_on] == right[right_on], "inner").agg(
-        F.count(F.lit(1)).alias("inner_rows"))
+    profile).
+
+    Spark does not split a hot key of a full outer join, so the join is made
+    of parts that it can split: a left join (the right side broadcast when its
+    size is proven small), and the right rows whose key the left's distinct
+    keys do not hold."""
+    local = materialize_small(right)
+    side = F.broadcast(local) if local is not None else right
+    side = side.select(F.col(right_on).alias("_r_key"), F.struct(*[F.col(c) for c in right.columns]).alias("_r"))
+    rest = [c for c in right.columns if not (drop_right_key and c == right_on)]
+    both = left.join(side, left[left_on] == side["_r_key"], "left").select(
+        *[left[c] for c in left.columns], *[F.col("_r").getField(c).alias(c) for c in rest])
+    keys = left.select(F.col(left_on).alias("_l_key")).distinct()
+    alone = right.join(keys, right[right_on] == keys["_l_key"], "left_anti")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+    return both.unionAll(alone.select(*empty, *[right[c] for c in rest]))

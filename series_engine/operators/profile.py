@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as fx
+from ..session import write_table
 from .joins import materialize_small
 
 
@@ -55,96 +56,57 @@ def top_entity(df: DataFrame, entity: str, label: str, k: int = 1) -> DataFrame:
     return per.orderBy(F.col("n_labels").desc(), F.col("n_rows").desc(), F.col(entity).asc()).limit(k)
 
 
-# Value chunks per refinement round and the largest chunk sorted in one
-# task by exact selection.
-SELECT_CHUNKS = 4096
-SELECT_SORT_ROWS = 1_000_000
-
-
-def _local_or(df: DataFrame, max_rows: int) -> DataFrame:
-    """The rows of ``df`` as a local relation when provably small, else ``df``."""
-    local = materialize_small(df, max_rows)
-    return local if local is not None else df
-
-
 def _side(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a small table when a bounded collect proves it small."""
     local = materialize_small(df, max_rows)
     return F.broadcast(local) if local is not None else df
 
 
-def exact_quantiles(long: DataFrame, keys, value: str, probs, chunks: int = SELECT_CHUNKS,
-                    max_sort_rows: int = SELECT_SORT_ROWS, max_rows: int = 50_000) -> DataFrame:
+def exact_quantiles(long: DataFrame, keys, value: str, probs) -> DataFrame:
     """Exact linear-interpolated quantiles (``quantile_cont`` semantics) per
     group without gathering a group's values in one task.
 
-    Each needed rank ``floor/ceil((n - 1) p)`` is located by refinement:
-    the value range still holding the rank is cut into ``chunks``
-    equal-width chunks, rows per chunk (with their min and max) and prefix
-    counts pick the chunk holding the rank, and its actual [min, max] is the
-    next range (chunking is monotone in the value, so that range holds
-    exactly the chunk's rows).  A rank is settled when its range holds one
-    distinct value or at most ``max_sort_rows`` rows; only those last ranges
-    are sorted.  Concentrated distributions just take more rounds; the
-    result is exact whatever the data.  Returns keys, ``n`` and ``q{i}`` per
-    probability."""
+    Rows are first summed to one row per distinct (group, value), then dealt
+    into ranges of the order (group, value) by row count, so a group is spread
+    over as many tasks as it is large, and values a group repeats are one row.
+    Running counts inside a range plus the counts of the group's earlier
+    ranges give every value its ranks; the values that hold the needed ranks
+    ``floor/ceil((n - 1) p)`` are picked by a filter.  The source is read a
+    fixed number of times whatever the values are; infinities are ordinary
+    values at the ends.  Returns keys, ``n`` and ``q{i}`` per probability."""
     keys = list(keys)
-    v = F.col(value)
-    sk = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"),
-                                 F.max(value).alias("_hi"))
-    sk = _local_or(sk, max_rows)
-    ranks = []
-    for p in probs:
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        ranks += [F.floor(h).cast("long"), F.ceil(h).cast("long")]
-    # targets: (group, rank r, value range [lo, hi], base = values below lo, cnt = values in range)
-    targets = sk.select(*keys, F.explode(F.array_distinct(F.array(*ranks))).alias("_r"), "_lo", "_hi",
-                        F.lit(0).cast("long").alias("_base"), F.col("_n").alias("_cnt"))
-    settled = []
-    done = (F.col("_lo") == F.col("_hi")) | (F.col("_cnt") <= max_sort_rows)
-    while True:
-        targets = _local_or(targets, max_rows)
-        settled.append(targets.filter(done))
-        open_ = targets.filter(~done)
-        if open_.limit(1).count() == 0:
-            break
-        span = F.col("_hi") - F.col("_lo")
-        c = F.least(F.floor((v - F.col("_lo")) / span * F.lit(float(chunks))), F.lit(chunks - 1)).cast("int")
-        x = (long.join(_side(open_, max_rows), keys)
-                 .filter((v >= F.col("_lo")) & (v <= F.col("_hi")))
-                 .withColumn("_c", c))
-        per = x.groupBy(*keys, "_r", "_c").agg(F.count(F.lit(1)).alias("_m"), F.min(value).alias("_cmin"),
-                                              F.max(value).alias("_cmax"), F.first("_base").alias("_b0"))
-        w = Window.partitionBy(*keys, "_r").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-        per = per.withColumn("_before", F.col("_b0") + F.coalesce(F.sum("_m").over(w), F.lit(0)))
-        targets = (per.filter((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_m")))
-                      .select(*keys, "_r", F.col("_cmin").alias("_lo"), F.col("_cmax").alias("_hi"),
-                              F.col("_before").cast("long").alias("_base"), F.col("_m").alias("_cnt")))
-    fin = settled[0]
-    for t in settled[1:]:
-        fin = fin.unionByName(t)
-    fin = _local_or(fin, max_rows)
-    single = fin.filter(F.col("_lo") == F.col("_hi")).select(*keys, "_r", F.col("_lo").alias("_val"))
-    # ranks sharing a range (e.g. all ranks of a group small enough to sort
-    # at once) sort that range once
-    sortme = (fin.filter(F.col("_lo") != F.col("_hi"))
-                 .groupBy(*keys, "_lo", "_hi", "_base").agg(F.collect_set("_r").alias("_rs")))
-    y = (long.join(_side(sortme, max_rows), keys)
-             .filter((v >= F.col("_lo")) & (v <= F.col("_hi"))))
-    wr = Window.partitionBy(*keys, "_lo", "_hi").orderBy(value)
-    y = (y.withColumn("_r", F.col("_base") + F.row_number().over(wr) - 1)
-          .filter(F.array_contains(F.col("_rs"), F.col("_r"))).select(*keys, "_r", v.alias("_val")))
-    vals = single.unionByName(y)
-    aggs = []
+    counts = write_table(long.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_m")), "quantile-counts")
+    dealt = write_table(counts.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()), "quantile-ranges")
+    parts = dealt.groupBy(*keys, "_part").agg(F.sum("_m").alias("_pm"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    # one row per group and range that it touches
+    parts = parts.select(*keys, "_part", F.coalesce(F.sum("_pm").over(before), F.lit(0)).alias("_base"),
+                         F.sum("_pm").over(whole).alias("_n"))
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn("_in", F.coalesce(F.sum("_m").over(inside), F.lit(0)))
+    same = [ranked[k].eqNullSafe(parts[k]) for k in keys] + [ranked["_part"] == parts["_part"]]
+    ranked = ranked.join(parts, same).select(*[ranked[k] for k in keys], F.col(value).alias("_val"), "_m", "_n",
+                                             (F.col("_base") + F.col("_in")).alias("_first"))
+    aggs, held = [], []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(float(p))
-        aggs += [F.max(F.when(F.col("_r") == F.floor(h), F.col("_val"))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_r") == F.ceil(h), F.col("_val"))).alias(f"_hi{i}"),
-                 F.first(h - F.floor(h)).alias(f"_fr{i}")]
-    out = vals.join(_side(sk.select(*keys, "_n"), max_rows), keys).groupBy(*keys, "_n").agg(*aggs)
-    return out.select(*keys, F.col("_n").alias("n"), *[
-        (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}")
-        for i in range(len(probs))])
+        for name, r in ((f"_lo{i}", F.floor(h)), (f"_hi{i}", F.ceil(h))):
+            hit = (r >= F.col("_first")) & (r < F.col("_first") + F.col("_m"))
+            held.append(hit)
+            aggs.append(F.max(F.when(hit, F.col("_val"))).alias(name))
+    needed = held[0]
+    for hit in held[1:]:
+        needed = needed | hit
+    out = ranked.filter(needed).groupBy(*keys, "_n").agg(*aggs)
+
+    def between(i, p):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        # equal ends stay as they are: infinity minus infinity is no number
+        return F.when(lo == hi, lo).otherwise(lo + (h - F.floor(h)) * (hi - lo)).alias(f"q{i}")
+
+    return out.select(*keys, F.col("_n").alias("n"), *[between(i, p) for i, p in enumerate(probs)])
 
 
 def quartiles(df: DataFrame, by, cols, exact: bool = True, accuracy: int = 10_000,
@@ -279,8 +241,8 @@ def longest_run(df: DataFrame, by, event: str, label: str, order=None,
     """Per label, the run with most rows (ties: smallest entity, then run id):
     label, entity, run, n_rows, and the run's first / last order values.
 
-    Built from aggregates only (rows per run, max per label, min key among
-    ties), so no label's runs are funnelled through one window task.  With
+    Built from aggregates only (rows per run, best run per label), so no
+    label's runs are funnelled through one window task.  With
     ``rows`` (the source rows) and ``order``, the winning runs' rows are
     returned: a run is the contiguous order range [first, last] of its
     entity, so the rows come from a broadcast range join of the (one row per
@@ -291,10 +253,11 @@ def longest_run(df: DataFrame, by, event: str, label: str, order=None,
     ok = F.struct(*order) if order else F.lit(None)
     runs = df.groupBy(label, *by, event).agg(F.count(F.lit(1)).alias("n_rows"),
                                              F.min(ok).alias("_first"), F.max(ok).alias("_last"))
-    best_n = runs.groupBy(label).agg(F.max("n_rows").alias("n_rows"))
-    tied = runs.join(best_n, [label, "n_rows"], "inner")
-    best = (tied.groupBy(label, "n_rows").agg(F.min(F.struct(*by, event, "_first", "_last")).alias("_k"))
-                .select(label, "n_rows", *[F.col(f"_k.{c}").alias(c) for c in [*by, event, "_first", "_last"]]))
+    # the longest run, among ties the smallest (entity, run): one aggregate per
+    # label, NULL labels and entities included
+    key = F.struct((-F.col("n_rows")).alias("_less"), *by, event)
+    best = (runs.groupBy(label).agg(F.min_by(F.struct("n_rows", *by, event, "_first", "_last"), key).alias("_k"))
+                .select(label, "_k.n_rows", *[F.col(f"_k.{c}").alias(c) for c in [*by, event, "_first", "_last"]]))
     if rows is None or not order:
         return best
     small = materialize_small(best)
@@ -302,6 +265,6 @@ def longest_run(df: DataFrame, by, event: str, label: str, order=None,
     side = side.select(*[F.col(c).alias(f"_b_{c}") for c in side.columns])
     cond = F.struct(*[rows[o] for o in order]).between(side["_b__first"], side["_b__last"])
     for b in by:
-        cond = cond & (rows[b] == side[f"_b_{b}"])
+        cond = cond & rows[b].eqNullSafe(side[f"_b_{b}"])
     out = rows.join(side, cond, "inner")
     return out.select(*rows.columns, F.col(f"_b_{event}").alias(event), F.col("_b_n_rows").alias("n_rows"))

@@ -5,13 +5,15 @@ task.  When one entity holds a third of the data that task never finishes.
 This module splits each entity's series into pieces that Spark can spread
 over the cluster and still gives exact results:
 
-1. ``index`` — rows are bucketed by a monotone *chunk* of the first order
-   column (``functions.chunk_of``), windows run per (entity, chunk), and a
-   small per-chunk table (one row per chunk, built with partial aggregation)
-   carries offsets across chunk borders: global row position, rank, and —
-   when a label is given — the run ("event") id and the position where the
-   current run started.  Peers (equal order values) always share a chunk, so
-   RANGE frames stay exact.
+1. ``index`` — rows are dealt into *chunks*, windows run per (entity, chunk),
+   and a small per-chunk table (one row per chunk, built with partial
+   aggregation) carries offsets across chunk borders: global row position,
+   rank, and — when a label is given — the run ("event") id and the position
+   where the current run started.  By default chunks are ranges of the global
+   order (entity, order columns) with about equal row counts, whatever the
+   values are or how they are spread: any orderable type, NULL first and NaN
+   last, one stray value or a burst moves no border.  Peers (equal order
+   values) always share a chunk, so RANGE frames stay exact.
 2. ``blocked`` — with global positions known, rows are cut into fixed-size
    blocks of ``block_rows`` rows.  The last ``halo`` rows of each block are
    also copied into the next block, so any frame reaching at most ``halo``
@@ -27,18 +29,18 @@ hash, not the data, decides which row comes first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, MapType, NumericType, TimestampNTZType,
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, DoubleType, FloatType,
+                               MapType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
 from ..functions.columns import chunk_of
+from ..session import write_table
 
 # Chunk widths of ``chunk_width="day"``: one day of a timestamp/date order
 # column, or one day of an epoch-millisecond integer order column.  The
-# default (``None``) is ``"auto"``: sized from the data.
+# default (``None``) is ``"auto"``: ranges of about equal row count.
 DEFAULT_CHUNK_SECONDS = 86_400
 DEFAULT_CHUNK_NUMERIC = 86_400_000
 # Default block size for halo windows (rows per block and entity).
@@ -60,70 +62,51 @@ def _cols(xs) -> list[str]:
     return list(xs)
 
 
-# Target rows per chunk of the densest entity for ``chunk_width="auto"``.
+# Entities above this many rows are cut; also about twice the rows of a chunk.
 AUTO_CHUNK_ROWS = 1_000_000
 
 
-def _order_number(column: str, dtype) -> Column:
-    """The order column as a number in the unit ``chunk_of`` expects
-    (seconds for timestamps and dates)."""
-    c = F.col(column)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000.0)
-    if isinstance(dtype, DateType):
-        return F.unix_date(c).cast("double") * F.lit(86400.0)
-    return c.cast("double")
-
+def ranged(df: DataFrame, by, order, target_rows: int | None = None) -> DataFrame | None:
+    """``df`` with ``_se_chunk``: ranges of the order (``by``, ``order``) of at
+    most about ``target_rows`` rows each, or ``None`` when no entity has more
+    rows than that (every entity is one chunk then).
 
-def auto_chunk_width(df: DataFrame, by, column: str, target_rows: int = AUTO_CHUNK_ROWS):
-    """Chunk width giving about ``target_rows`` rows per chunk to every
-    entity above ``target_rows`` rows (sized by the densest of them, rows per
-    unit of the order column), from one partial aggregation; ``0`` (one
-    chunk per entity) when no entity is that large.  Small entities never
-    set the width."""
-    dtype = df.schema[column].dataType
-    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
-        return 0
-    t = _order_number(column, dtype)
-    per = df.groupBy(*_cols(by)).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
-    big = F.col("n") > F.lit(int(target_rows))
-    dens = per.select(F.max(F.when(big, F.col("n") / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9))))
-                      .alias("d")).collect()[0]
-    if dens["d"] is None:
-        return 0
-    return max(float(target_rows) / float(dens["d"]), 1e-6)
-
-
-# Largest number of above-target entities whose widths are broadcast.
-MAX_WIDTH_ROWS = 50_000
-
-
-def auto_widths(df: DataFrame, by, column: str, target_rows: int | None = None,
-                max_rows: int = MAX_WIDTH_ROWS):
-    """Per-entity chunk widths for the entities above ``target_rows`` rows
-    (width = target / that entity's density), as a local table of at most
-    ``max_rows`` rows; every other entity stays one chunk.  Returns ``0``
-    when no entity is that large, or the single ``auto_chunk_width`` when
-    too many entities are large to broadcast their widths."""
-    from .joins import materialize_small
+    Ranges are cut by row count (sampled by Spark), so their size does not
+    depend on the values.  The rows are written once under the shared
+    checkpoint folder: the windows and the per-chunk table read the same
+    chunks, also after a lost executor.  Only rows with equal order values
+    cannot be parted."""
     target = int(target_rows or AUTO_CHUNK_ROWS)
-    dtype = df.schema[column].dataType
-    if not isinstance(dtype, (TimestampType, TimestampNTZType, DateType, NumericType)):
-        return 0
     by = _cols(by)
-    if not by:  # one global series: a single width
-        return auto_chunk_width(df, by, column, target)
-    t = _order_number(column, dtype)
-    per = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"))
-    big = per.filter(F.col("n") > F.lit(target)).select(
-        *by, F.greatest(F.lit(target) * F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9)) / F.col("n"),
-                        F.lit(1e-6)).alias("_se_w"))
-    local = materialize_small(big, max_rows)
-    if local is None:
-        return auto_chunk_width(df, by, column, target)
-    if local.limit(1).count() == 0:
-        return 0
-    return local
+    per = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    size = per.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).collect()[0]  # one row
+    if (size["most"] or 0) <= target:
+        return None
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * size["rows"] // target))
+    dealt = df.repartitionByRange(parts, *by, *_cols(order))
+    return write_table(dealt.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "series-chunks")
+
+
+def _plain_keys(df: DataFrame, by) -> tuple[DataFrame, list[str]]:
+    """``df`` with the entity as columns without NULL (a value and whether it
+    is NULL), so that windows, the chunk table and an ordinary equality join
+    agree on one partitioning and a NULL entity is a series of its own."""
+    names = []
+    for i, b in enumerate(by):
+        dtype = df.schema[b].dataType
+        if isinstance(dtype, NumericType):
+            default = F.lit(0).cast(dtype)
+        elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+            default = F.lit("1970-01-01").cast(dtype)
+        elif isinstance(dtype, BooleanType):
+            default = F.lit(False)
+        elif isinstance(dtype, (StringType, BinaryType)):
+            default = F.lit("").cast(dtype)
+        else:
+            raise TypeError(f"cannot use {b} ({dtype.simpleString()}) as the entity of a chunked series")
+        df = df.withColumns({f"_se_k{i}": F.coalesce(F.col(b), default), f"_se_z{i}": F.col(b).isNull()})
+        names += [f"_se_k{i}", f"_se_z{i}"]
+    return df, names
 
 
 def row_tiebreak(df: DataFrame) -> Column:
@@ -137,50 +120,17 @@ def row_tiebreak(df: DataFrame) -> Column:
     return F.xxhash64(*cols) if cols else F.lit(0)
 
 
-def resolve_width(df: DataFrame, by, column: str, width=None):
-    """Chunk width for ``width``: a number (``0`` = one chunk per entity) or,
-    for ``"auto"``, possibly a table of per-entity widths (``auto_widths``)."""
+def chunk_expr(df: DataFrame, column: str, width) -> Column:
+    """Chunk of ``column`` by a fixed width: a number (seconds for timestamps
+    and dates, the column's unit otherwise) or ``"day"``.  NULL has the first
+    chunk and NaN the last, as they sort."""
     dtype = df.schema[column].dataType
-    if width is None or width == "auto":
-        return auto_widths(df, by, column)
     if width == "day":
-        if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
-            return DEFAULT_CHUNK_SECONDS
-        if isinstance(dtype, NumericType):
-            return DEFAULT_CHUNK_NUMERIC
-        return 0
-    return width
-
-
-def chunk_expr(df: DataFrame, column: str, width=None, by=None) -> Column:
-    """Chunk of ``column``.  ``width``: a number (seconds for timestamps and
-    dates, the column's unit otherwise); ``0`` = one chunk per entity;
-    ``"day"`` = one day; ``None`` / ``"auto"`` = sized from the data so the
-    densest entity gets about ``AUTO_CHUNK_ROWS`` rows per chunk (one chunk
-    per entity when no entity is that large)."""
-    dtype = df.schema[column].dataType
-    if width is None or width == "auto":
-        width = auto_chunk_width(df, by, column)
-    width = resolve_width(df, by, column, width)
-    if width == 0:
-        return F.lit(0).cast("long")
-    return chunk_of(column, dtype, width)
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` where NULL matches NULL (a NULL entity is its own
-    series, as in a window partition).  Right key copies are dropped."""
-    renamed = right
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    if cond is None:
-        raise ValueError("join keys required")
-    out = left.join(renamed, cond, how)
-    return out.drop(*[f"_r_{k}" for k in keys])
+        width = DEFAULT_CHUNK_NUMERIC if isinstance(dtype, NumericType) else DEFAULT_CHUNK_SECONDS
+    chunk = chunk_of(column, dtype, width)
+    if isinstance(dtype, (FloatType, DoubleType)):
+        chunk = F.when(F.isnan(column), F.lit((1 << 63) - 1)).otherwise(chunk)
+    return F.coalesce(chunk, F.lit(-(1 << 63)))
 
 
 def index(df: DataFrame, by, order, *, label: str | None = None,
@@ -203,17 +153,17 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     if order[:len(run_order)] != run_order:
         raise ValueError("run_order must be a prefix of order")
 
-    width = resolve_width(df, by, order[0], chunk_width)
-    if isinstance(width, DataFrame):
-        # per-entity widths: entities above the target are cut, others stay one chunk
-        t = _order_number(order[0], df.schema[order[0]].dataType)
-        base = _null_safe_join(df, F.broadcast(width), by, how="left")
-        base = base.withColumn(_CHUNK, F.when(F.col("_se_w").isNull(), F.lit(0))
-                               .otherwise(F.floor(t / F.col("_se_w"))).cast("long")).drop("_se_w")
-    elif width == 0:
+    cols = list(df.columns)
+    if chunk_width is None or chunk_width == "auto":
+        # peers of the run order may not be parted either
+        base = ranged(df, by, run_order if label is not None else order)
+        if base is None:
+            return _index_whole(df, by, order, label, run_order, event_col, keep_internal, unique_order)
+    elif chunk_width == 0:
         return _index_whole(df, by, order, label, run_order, event_col, keep_internal, unique_order)
     else:
-        base = df.withColumn(_CHUNK, chunk_expr(df, order[0], width, by))
+        base = df.withColumn(_CHUNK, chunk_expr(df, order[0], chunk_width))
+    base, by = _plain_keys(base, by)
     x = base.withColumn("_se_tb", F.lit(0) if unique_order else row_tiebreak(df))
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order, *([] if unique_order else ["_se_tb"]))
     wk = Window.partitionBy(*by, _CHUNK).orderBy(*order)  # peers share a rank
@@ -256,10 +206,8 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
         summ = summ.select(*by, _CHUNK, "_se_off", "_se_E", "_se_fnew",
                            F.last("_se_cls", ignorenulls=True).over(prev).alias("_se_carry"))
 
-    y = _null_safe_join(x, summ, [*by, _CHUNK])
-    internal = {_CHUNK, "_se_tb", "_se_rn", "_se_rk", "_se_off", "_se_ind", "_se_lr", "_se_mk", "_se_lm",
-                "_se_E", "_se_fnew", "_se_carry"}
-    out = [F.col(c) for c in y.columns if c not in internal]
+    y = x.join(summ, [*by, _CHUNK])
+    out = [F.col(c) for c in cols]
     if keep_internal:
         out += [(F.col("_se_off") + F.col("_se_rn") - 1).alias(POS),
                 (F.col("_se_off") + F.col("_se_rk") - 1).alias(PEER)]

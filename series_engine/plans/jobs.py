@@ -92,10 +92,10 @@ def produce(spark: SparkSession, in_path: str, checkpoint: str, fmt: str = "kafk
 
 def consume(spark: SparkSession, model_path: str, out_path: str, checkpoint: str,
             fmt: str = "kafka", options: dict | None = None, trigger: dict | None = None,
-            schema=schemas.REALTIME, params: mdl.ModelParams | None = None,
+            schema=schemas.REALTIME,
             columns=("userId", "timestamp"), source_schema=None):
     """Decode messages and score every micro-batch with the saved model."""
     m = readers.load_model(model_path)
     raw = readers.read_stream(spark, fmt, options or {}, source_schema)
     return streaming.score(streaming.decode(raw, schema), m, out_path, checkpoint, trigger=trigger,
-                           params=params, columns=columns)
+                           columns=columns)

@@ -26,6 +26,7 @@ class ModelParams:
     pca_components: int = 10
     num_trees: int = 20
     max_depth: int = 5
+    bootstrap: bool = True         # rows resampled per tree
     seed: int = 123
     entity: list = field(default_factory=lambda: ["userId"])
     order: list = field(default_factory=lambda: ["timestamp"])
@@ -55,14 +56,14 @@ def build(p: ModelParams):
                        partitionBy=list(p.entity), orderBy=list(p.order), windowSize=p.features_size,
                        movingAvgPeriod=p.moving_avg_period, step=p.step,
                        chunkWidth=str(p.chunk_width), blockRows=int(p.block_rows),
-                       uniqueOrder=bool(p.unique_order)),
+                       uniqueOrder=bool(p.unique_order), completeAxes=True),
     ]
     fit = [
         PCA(k=p.pca_components, inputCol="features", outputCol="features_PCA"),
         MinMaxScaler(inputCol="features_PCA", outputCol="features_scaled"),
         ClassWeights(inputCol="label", outputCol="weight"),
         RandomForestClassifier(numTrees=p.num_trees, maxDepth=p.max_depth, featuresCol="features_scaled",
-                               labelCol="label", weightCol="weight", seed=p.seed),
+                               labelCol="label", weightCol="weight", seed=p.seed, bootstrap=p.bootstrap),
     ]
     return feats, fit
 
@@ -97,8 +98,7 @@ def label_names(model: PipelineModel) -> list[str]:
     raise ValueError("model has no label index stage")
 
 
-def score(model: PipelineModel, df: DataFrame, p: ModelParams | None = None,
-          out: str = "predicted_action") -> DataFrame:
+def score(model: PipelineModel, df: DataFrame, out: str = "predicted_action") -> DataFrame:
     """Predictions with label names.  The weight stage is skipped (weights only
     matter at fit)."""
     from .stages import ClassWeightsModel

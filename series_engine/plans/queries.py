@@ -572,7 +572,7 @@ def q_forest_predictions(spark, sf):
     li = table(spark, sf, "lineitem")
     p = _b2_model_params()
     m = mdl.fit(li, p)
-    return mdl.score(m, li, p).select(*B2_BY, *B2_ORDER, "prediction", "predicted_action")
+    return mdl.score(m, li).select(*B2_BY, *B2_ORDER, "prediction", "predicted_action")
 
 
 @query("evaluate_model")
@@ -618,7 +618,7 @@ def q_stream_score(spark, sf):
     test.repartition(2, "l_suppkey").write.parquet(src)
     q = streaming.score(read_stream_dir(spark, src, li.schema, max_files_per_trigger=1), m, out,
                         checkpoint=f"{out}-ckpt", trigger=streaming.trigger_kwargs(available_now=True),
-                        params=p, columns=(*B2_BY, *B2_ORDER))
+                        columns=(*B2_BY, *B2_ORDER))
     q.awaitTermination()
     return spark.read.option("header", True).csv(f"{out}/pred_batch_*")
 

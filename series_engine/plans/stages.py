@@ -64,14 +64,17 @@ class SeriesFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReada
     uniqueOrder = Param(Params._dummy(), "uniqueOrder", "orderBy is unique per entity (skip row-hash tie-break)",
                         typeConverter=TypeConverters.toBoolean)
 
+    completeAxes = Param(Params._dummy(), "completeAxes", "inputCols hold no NULL (behind DropIncomplete): skip the look",
+                         typeConverter=TypeConverters.toBoolean)
+
     @keyword_only
     def __init__(self, inputCols=None, outputCol="features", runCol="action", eventCol="event",
                  partitionBy=None, orderBy=None, windowSize=50, movingAvgPeriod=20, step=20,
-                 chunkWidth="default", blockRows=1 << 20, uniqueOrder=False):
+                 chunkWidth="default", blockRows=1 << 20, uniqueOrder=False, completeAxes=False):
         super().__init__()
         self._setDefault(outputCol="features", runCol="action", eventCol="event", windowSize=50,
                          movingAvgPeriod=20, step=20, chunkWidth="default", blockRows=1 << 20,
-                         uniqueOrder=False)
+                         uniqueOrder=False, completeAxes=False)
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset):
@@ -83,7 +86,7 @@ class SeriesFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReada
             dataset, cols, g(self.partitionBy), g(self.orderBy), g(self.runCol),
             period=g(self.movingAvgPeriod), n=n, step=g(self.step), event_col=g(self.eventCol),
             suffix="_lags", rank_col=None, chunk_width=width,
-            block_rows=g(self.blockRows), unique_order=g(self.uniqueOrder))
+            block_rows=g(self.blockRows), unique_order=g(self.uniqueOrder), complete_axes=g(self.completeAxes))
         out = features.assemble(out, [f"{c}_lags" for c in cols], self.getOutputCol())
         return out.drop(*[f"{c}_lags" for c in cols])
 

@@ -10,6 +10,7 @@ failure) leaves the same files."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,15 +57,21 @@ def decode(raw: DataFrame, schema: StructType = schemas.REALTIME, value_col: str
 
 
 def score(stream: DataFrame, model, out: str, checkpoint: str, trigger: dict | None = None,
-          params=None, columns=("userId", "timestamp"),
+          columns=("userId", "timestamp"),
           predicted: str = "predicted_action") -> StreamingQuery:
     """Score each micro-batch with ``model`` and write one CSV folder per batch
-    (``pred_batch_<id>``: entity, time, predicted label)."""
+    (``pred_batch_<id>``: entity, time, predicted label).  A batch is fetched
+    and decoded once and kept until it is written: scoring looks at it twice
+    (entity sizes, then rows)."""
     from ..plans import model as mdl
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        pred = mdl.score(model, batch, params, out=predicted)
-        write_batch_csv(pred.select(*columns, predicted), out, batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            pred = mdl.score(model, batch, out=predicted)
+            write_batch_csv(pred.select(*columns, predicted), out, batch_id)
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)

@@ -235,7 +235,7 @@ def test_quartiles_exact_vs_percentile(spark):
 
 def test_exact_quantiles_small_chunks(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet").select("event_type", "value")
-    got = profile.exact_quantiles(ev, ["event_type"], "value", [0.1, 0.5, 0.99], chunks=3, max_sort_rows=5)
+    got = profile.exact_quantiles(ev, ["event_type"], "value", [0.1, 0.5, 0.99])
     ref = ev.groupBy("event_type").agg(F.percentile("value", [0.1, 0.5, 0.99]).alias("q"))
     g = {r.event_type: (r.q0, r.q1, r.q2) for r in got.collect()}
     for r in ref.collect():
@@ -287,7 +287,7 @@ def test_exact_quantiles_concentrated(spark):
     x = ev.select("event_type", F.when(F.col("event_id") % 97 == 0, F.col("value") * 1e9)
                   .when(F.col("event_id") % 5 == 0, F.lit(3.0))
                   .otherwise(F.col("value") / 1e6).alias("v"))
-    got = profile.exact_quantiles(x, ["event_type"], "v", [0.0, 0.3, 0.5, 0.97, 1.0], chunks=4, max_sort_rows=7)
+    got = profile.exact_quantiles(x, ["event_type"], "v", [0.0, 0.3, 0.5, 0.97, 1.0])
     ref = x.groupBy("event_type").agg(F.percentile("v", [0.0, 0.3, 0.5, 0.97, 1.0]).alias("q"))
     g = {r.event_type: (r.q0, r.q1, r.q2, r.q3, r.q4) for r in got.collect()}
     for r in ref.collect():

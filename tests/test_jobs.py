@@ -56,7 +56,7 @@ def test_workflow(spark):
     q.awaitTermination()
     q2 = jobs.consume(spark, f"{base}/model", f"{base}/predictions", f"{base}/ckpt-c", fmt="parquet",
                       options={"path": f"{base}/messages"}, trigger={"availableNow": True},
-                      source_schema="key string, value string", params=params)
+                      source_schema="key string, value string")
     q2.awaitTermination()
     outs = glob.glob(f"{base}/predictions/pred_batch_*")
     assert outs

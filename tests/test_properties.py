@@ -64,7 +64,7 @@ def test_exact_quantiles_equal_percentile(spark, values, chunks, sort_rows, prob
 
     from series_engine.operators import profile
     df = spark.createDataFrame(values, "g string, v double")
-    got = profile.exact_quantiles(df, ["g"], "v", probs, chunks=chunks, max_sort_rows=sort_rows)
+    got = profile.exact_quantiles(df, ["g"], "v", probs)
     ref = df.groupBy("g").agg(F.percentile("v", [float(p) for p in probs]).alias("q"),
                               F.count(F.lit(1)).alias("n"))
     g = {r.g: r for r in got.collect()}

@@ -72,38 +72,70 @@ def test_model_roundtrip(spark):
     from series_engine.sources.readers import load_model
     m2 = load_model(path)
     key = ["l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "prediction", "predicted_action"]
-    a = mdl.score(m, li, p).select(*key)
-    b = mdl.score(m2, li, p).select(*key)
+    a = mdl.score(m, li).select(*key)
+    b = mdl.score(m2, li).select(*key)
     assert a.count() > 0
     assert rows(a) == rows(b)
     metrics = mdl.evaluate(m2, li).collect()
     assert {r.metric for r in metrics} == {"accuracy", "precision", "recall"}
 
 
-def test_auto_chunk_width(spark, hot):
-    by, order = ["user_id"], ["ts", "event_id"]
-    width = sequence.auto_chunk_width(hot, by, "ts", target_rows=100)
-    assert 0 < width < 30 * 86400
-    per_chunk = (hot.groupBy("user_id", sequence.chunk_expr(hot, "ts", width).alias("c")).count()
-                 .agg(F.max("count")).collect()[0][0])
-    assert per_chunk < 400
-    got = sequence.index(hot, by, order, label="event_type", chunk_width=width)
-    ref = sequence.index(hot, by, order, label="event_type", chunk_width=0)
-    cols = ["event_id", "event", sequence.POS, sequence.ESTART]
+def check_ranges(df, by, order, label, target, monkeypatch):
+    """Cut into ranges: bounded chunks, and what one window per entity gives."""
+    monkeypatch.setattr(sequence, "AUTO_CHUNK_ROWS", target)
+    chunks = sequence.ranged(df, by, order)
+    per = chunks.groupBy(*by, sequence._CHUNK).count()
+    assert per.agg(F.max("count")).collect()[0][0] <= 2 * target
+    cols = ["event_id", "event", sequence.POS, sequence.PEER, sequence.ESTART]
+    got = sequence.index(df, by, order, label=label)
+    ref = sequence.index(df, by, order, label=label, chunk_width=0)
     assert rows(got.select(*cols)) == rows(ref.select(*cols))
-    assert sequence.auto_chunk_width(hot, by, "ts", target_rows=10**9) == 0
+    pos = sequence.index(df, by, order)
+    assert rows(pos.select("event_id", sequence.POS)) == rows(ref.select("event_id", sequence.POS))
 
 
-def test_auto_per_entity_widths(spark, hot, monkeypatch):
-    """Only entities above the target are cut; their cuts give the same
-    positions, runs and run starts as one window per entity."""
-    monkeypatch.setattr(sequence, "AUTO_CHUNK_ROWS", 200)
+def test_ranges_do_not_depend_on_the_values(spark, hot, monkeypatch):
     by, order = ["user_id"], ["ts", "event_id"]
-    widths = sequence.auto_widths(hot, by, "ts")
-    assert [r.user_id for r in widths.collect()] == [0]
-    got = sequence.index(hot, by, order, label="event_type")
-    ref = sequence.index(hot, by, order, label="event_type", chunk_width=0)
+    assert sequence.ranged(hot, by, order) is None  # no entity is large
+    check_ranges(hot, by, order, "event_type", 200, monkeypatch)
+    first = hot.groupBy("user_id").agg(F.min("event_id").alias("event_id"))
+    stray = hot.join(first.withColumn("_s", F.lit(1)), ["user_id", "event_id"], "left")
+    at = F.when(F.col("_s").isNotNull(), F.lit(0).cast("timestamp")).otherwise(F.col("ts"))
+    check_ranges(stray.withColumn("ts", at).drop("_s"), by, order, "event_type", 200, monkeypatch)
+    burst = hot.withColumn("ts", F.exp((F.col("event_id") % 1000) / 20.0))  # most values close together
+    check_ranges(burst, by, order, "event_type", 200, monkeypatch)
+    text = hot.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    check_ranges(text, by, order, "event_type", 200, monkeypatch)
+    odd = hot.withColumn("ts", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).when(F.col("event_id") % 11 == 0, F.lit(float("inf")))
+                         .when(F.col("event_id") % 13 > 0, F.unix_micros(F.col("ts").cast("timestamp")) / 1e6))
+    odd = odd.withColumn("user_id", F.when(F.col("user_id") > 0, F.col("user_id")))  # the hot entity is NULL
+    check_ranges(odd, by, order, "event_type", 200, monkeypatch)
+    check_ranges(hot, [], order, "event_type", 200, monkeypatch)
+
+
+def test_fixed_width_puts_null_first_and_nan_last(spark):
+    df = spark.createDataFrame([(i, 1, v, "a" if i % 2 else "b") for i, v in enumerate(
+        [float("nan"), 5.0, None, 1.0, float("inf"), 2.0, float("-inf"), 30.0])], "event_id long, user_id int, ts double, event_type string")
     cols = ["event_id", "event", sequence.POS, sequence.PEER, sequence.ESTART]
+    got = sequence.index(df, ["user_id"], ["ts"], label="event_type", chunk_width=4)
+    ref = sequence.index(df, ["user_id"], ["ts"], label="event_type", chunk_width=0)
     assert rows(got.select(*cols)) == rows(ref.select(*cols))
-    pos = sequence.index(hot, by, order)
-    assert rows(pos.select("event_id", sequence.POS)) == rows(ref.select("event_id", sequence.POS))
+
+
+def test_chunked_rows_are_shuffled_once(spark, hot, monkeypatch):
+    """With broadcast off, the only exchanges above the chunk files are the
+    windows' own and narrow ones of the chunk table."""
+    monkeypatch.setattr(sequence, "AUTO_CHUNK_ROWS", 200)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sequence.index(hot, ["user_id"], ["ts", "event_id"], label="event_type", unique_order=True)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # rows once for the windows, rows once for the chunk table, the table by entity, and to the join
+    assert plan.count("Exchange hashpartitioning") <= 4
+    left = plan[plan.index("SortMergeJoin"):].split("\n")
+    first = next(line for line in left if "Exchange" in line)
+    assert "_se_k0" in first and "_se_chunk" in first
+    above = left[:left.index(first)]
+    assert any("Window" in line for line in above)  # no exchange between the windows and the join
