@@ -72,11 +72,16 @@ def query(name: str, sql: str | None = None):
 # --- scans, profiles, filters -------------------------------------------------
 
 @query("table_overview", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
+    f"""SELECT '{t}' AS table_name, count(*) AS row_count, (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns,
+  (SELECT string_agg(column_name, ',') FROM (DESCRIBE {t})) AS columns FROM {t}""" for t in TABLES))
 def q_table_overview(spark, sf):
+    """Rows and columns of every table (SQL has no form of the planned
+    partitions and of Spark's schema text, which ``overview`` gives too)."""
     out = None
     for t in TABLES:
-        o = profile.overview(table(spark, sf, t), t, detail=False)
+        df = table(spark, sf, t)
+        o = profile.overview(df, t).select("table_name", "row_count", F.col("n_columns").cast("long").alias("n_columns"),
+                                           F.lit(",".join(df.columns)).alias("columns"))
         out = o if out is None else out.unionByName(o)
     return out
 
@@ -213,14 +218,14 @@ def q_histograms(spark, sf):
     return h.withColumns({"lower": round6("lower"), "upper": round6("upper")})
 
 
-SPLIT_AT = 119
-
-
-@query("threshold_split", f"""SELECT event_id, user_id,
-  CASE WHEN user_id <= {SPLIT_AT} THEN 'train' ELSE 'test' END AS split
-FROM events WHERE user_id IS NOT NULL""")
+@query("threshold_split", """WITH c AS (SELECT floor(min(user_id) + 0.8 * (max(user_id) - min(user_id))) AS cut FROM events)
+SELECT event_id, user_id, CASE WHEN user_id <= cut THEN 'train' ELSE 'test' END AS split
+FROM events, c WHERE user_id IS NOT NULL""")
 def q_threshold_split(spark, sf):
-    train, test = clean.split_at(table(spark, sf, "events"), "user_id", SPLIT_AT)
+    """Split at 80% of the id range, derived from the data."""
+    ev = table(spark, sf, "events")
+    lo, hi = ev.agg(F.min("user_id"), F.max("user_id")).collect()[0]  # one row
+    train, test = clean.split_at(ev, "user_id", int(lo + 0.8 * (hi - lo)))
     return (train.select("event_id", "user_id", F.lit("train").alias("split"))
             .unionByName(test.select("event_id", "user_id", F.lit("test").alias("split"))))
 
@@ -532,7 +537,7 @@ def q_partitioned_roundtrip(spark, sf):
     from ..sources.readers import read_partitioned
     ev = table(spark, sf, "events")
     path = scratch_path(spark, "partitioned")
-    write_partitioned(ev, path, ["event_type"], order=["user_id", "ts"], num_partitions=8)
+    write_partitioned(ev, path, ["event_type"], order=["user_id", "ts"])
     back = read_partitioned(spark, path, schema=ev.schema)
     return back.select(*ev.columns)
 
@@ -593,7 +598,7 @@ def q_stream_decode(spark, sf):
     from ..sources.readers import read_stream_dir
     ev = table(spark, sf, "events").select(*STREAM_COLS)
     src, msgs, out = (scratch_path(spark, n) for n in ("stream-src", "stream-msg", "stream-out"))
-    ev.repartition(4).write.parquet(src)
+    ev.write.parquet(src)
     q = streaming.publish(read_stream_dir(spark, src, ev.schema, max_files_per_trigger=1),
                           checkpoint=f"{msgs}-ckpt", fmt="parquet", key_col="event_id",
                           trigger=streaming.trigger_kwargs(available_now=True), path=msgs)
@@ -615,12 +620,13 @@ def q_stream_score(spark, sf):
     train, test = clean.split_at(li, "l_suppkey", b2_split(li))
     m = mdl.fit(train, p)
     src, out = scratch_path(spark, "score-src"), scratch_path(spark, "score-out")
-    test.repartition(2, "l_suppkey").write.parquet(src)
+    test.repartition("l_suppkey").write.parquet(src)
     q = streaming.score(read_stream_dir(spark, src, li.schema, max_files_per_trigger=1), m, out,
                         checkpoint=f"{out}-ckpt", trigger=streaming.trigger_kwargs(available_now=True),
                         columns=(*B2_BY, *B2_ORDER))
     q.awaitTermination()
-    return spark.read.option("header", True).csv(f"{out}/pred_batch_*")
+    types = ", ".join(f"{c} {li.schema[c].dataType.simpleString()}" for c in (*B2_BY, *B2_ORDER))
+    return spark.read.schema(f"{types}, predicted_action string").option("header", True).csv(f"{out}/pred_batch_*")
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -99,6 +99,10 @@ def _parse_width(text: str):
     return float(text)
 
 
+# Most classes a fitted weight map holds.
+MAX_CLASSES = 10_000
+
+
 class ClassWeights(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Fit: per-class weight max_count / count (counted once, at fit)."""
 
@@ -109,7 +113,10 @@ class ClassWeights(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset):
-        table = balance.weight_table(dataset, self.getInputCol(), "w").collect()  # one row per class
+        # one row per class; a label with more values than this is no class label
+        table = balance.weight_table(dataset, self.getInputCol(), "w").limit(MAX_CLASSES + 1).collect()
+        if len(table) > MAX_CLASSES:
+            raise ValueError(f"{self.getInputCol()} has more than {MAX_CLASSES} values")
         labels = [float(r[0]) for r in table if r[0] is not None]
         weights = [float(r[1]) for r in table if r[0] is not None]
         return ClassWeightsModel(inputCol=self.getInputCol(), outputCol=self.getOutputCol(),
