@@ -4,8 +4,9 @@
 its prefixes, so that inflected and compound forms share evidence.  Its score
 is the log-odds ratio between toxic and clean labelled documents under a
 Dirichlet prior, lowered by a multiple of its standard error: rare units get
-no say.  A word scores as its best unit, any other word a small constant
-below zero.
+no say.  A word scores as its longest unit that enough documents hold, so a
+common clean word does not inherit a prefix it shares with a toxic one; a word
+without a positive score gets a small constant below zero.
 
 *Segments.*  All maximal scoring segments of a text are found in one linear
 scan (Ruzzo and Tompa 1999).
@@ -14,8 +15,8 @@ scan (Ruzzo and Tompa 1999).
 about ``K n exp(-lambda s)`` for ``n`` words (Karlin and Altschul); lambda
 solves ``sum p(s) exp(lambda s) = 1`` over the clean score distribution.  A
 document's evidence is the summed significance of its segments, and a logistic
-curve, fitted on labelled documents that the unit scores have not seen, maps
-it to a probability.
+curve over its logarithm, fitted on labelled documents that the unit scores
+have not seen, maps it to a probability.
 
 The model is fitted on at most ``max_train`` labelled documents and holds at
 most ``max_units`` units; scoring covers every document and whole texts.
@@ -45,7 +46,7 @@ from series_engine.llm.common import only
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = string.punctuation + "«»“”„‘’¿¡…—–"
-PREFIXES = (3, 4, 5, 6, 7)
+PREFIXES = (7, 6, 5, 4, 3)
 #: Words remembered with their score in one task; forgetting changes no result.
 _CACHE = 500_000
 
@@ -62,7 +63,7 @@ class Model:
 
 
 def units(word: str) -> list[str]:
-    """The word itself, marked as whole, and its prefixes."""
+    """The word itself, marked as whole, and its prefixes, longest first."""
     bare = word.lower().strip(_EDGE)
     return [f"={bare}", *[bare[:n] for n in PREFIXES if len(bare) >= n]] if bare else []
 
@@ -95,7 +96,7 @@ def evidence(found: list[tuple[float, int, int]], n: int, m: Model) -> float:
 
 
 def probability(x: float, m: Model) -> float:
-    z = m.bias + m.slope * x
+    z = m.bias + m.slope * math.log1p(x)
     return 0.0 if z < -700 else 1 / (1 + math.exp(-z))
 
 
@@ -107,7 +108,7 @@ def _scan(text: str | None, m: Model, cache: dict) -> tuple[list[tuple[float, in
         if s is None:
             if len(cache) >= _CACHE:
                 cache.clear()
-            s = cache[w] = max((m.units.get(u, 0.0) for u in units(w)), default=0.0)
+            s = cache[w] = next((m.units[u] for u in units(w) if u in m.units), 0.0)
         if s > 0:
             at.append(i)
             score.append(s)
@@ -147,26 +148,36 @@ def labelled(docs: DataFrame, labels: DataFrame, max_train: int, text: str, id_c
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, max_units: int = 20_000, prior: float = 10.0,
-        lower: float = 2.33, clean: float = -0.2, text: str = "text", id_col: str = "doc_id", label: str = "toxic") -> Model:
-    """Learn unit scores and calibration from labelled documents."""
+        lower: float = 2.33, least: float = 1.0, support: int = 5, clean: float = -0.2, text: str = "text", id_col: str = "doc_id", label: str = "toxic") -> Model:
+    """Learn unit scores and calibration from labelled documents.  A unit
+    counts if its lowered log-odds reach ``least``: among the very many units
+    some lie above zero by chance alone."""
     train = labelled(docs, labels, max_train, text, id_col, label)
     counts = train.mapInPandas(_unit_counts, "unit string, label int, held int, n long")
     flag = {(y, h): F.sum(F.when((F.col("label") == y) & (F.col("held") == h), F.col("n")).otherwise(0)) for y in (0, 1) for h in (0, 1)}
     table = counts.groupBy("unit").agg(*[e.alias(f"n{y}{h}") for (y, h), e in flag.items()])
     table = table.select("unit", "n00", "n10", (F.col("n00") + F.col("n01")).alias("n0"), (F.col("n10") + F.col("n11")).alias("n1"))
-    table = table.where("unit = '' OR n1 >= 2").persist()
+    table = table.where(f"unit = '' OR n0 + n1 >= {support}").persist()
     size = table.where("unit = ''").first()
     if size is None or not (size.n00 and size.n10):
         table.unpersist()
         return Model({}, clean)
     some = _log_odds("n10", "n00", size.n10, size.n00, prior, lower)
     full = _log_odds("n1", "n0", size.n1, size.n0, prior, lower)
-    ranked = (table.where("unit <> ''").select("unit", some.alias("some"), full.alias("full"))
-              .where("some > 0 OR full > 0").orderBy(F.greatest("some", "full").desc(), "unit").limit(max_units).collect())
+    known = table.where(f"unit <> '' AND n0 + n1 >= {support}").select("unit", some.alias("some"), full.alias("full"))
+    toxic = F.greatest("some", "full") >= least
+    found = known.where(toxic).orderBy(F.greatest("some", "full").desc(), "unit").limit(max_units).collect()
+    # clean units that continue a toxic prefix stand before it
+    stems = [r.unit for r in found if not r.unit.startswith("=")]
+    bare = F.regexp_replace("unit", "^=", "")
+    heads = known.where(~toxic).select("unit", F.explode(F.array(*[F.substring(bare, 1, n) for n in PREFIXES])).alias("stem"))
+    stems = docs.sparkSession.createDataFrame([(u,) for u in stems], "stem string")
+    shadows = heads.join(F.broadcast(stems), "stem").select("unit").distinct().orderBy("unit").limit(10 * max_units).collect()
     table.unpersist()
-    m = Model({r.unit: r.some for r in ranked if r.some > 0}, clean)
+    clean_units = {r.unit: 0.0 for r in shadows}
+    m = Model(clean_units | {r.unit: r.some if r.some >= least else 0.0 for r in found}, clean)
     _calibrate(m, train.where("held = 1"))
-    m.units = {r.unit: r.full for r in ranked if r.full > 0}
+    m.units = clean_units | {r.unit: r.full if r.full >= least else 0.0 for r in found}
     return m
 
 
@@ -181,7 +192,7 @@ def _calibrate(m: Model, held: DataFrame) -> None:
     rows = held.mapInPandas(scan, "label int, n long, scores array<double>").toPandas()  # at most a third of max_train
     clean = rows[rows.label == 0]
     words = float(clean.n.sum()) + 1
-    scores = np.array([s for f in clean.scores for s in f] + [max(m.units.values(), default=1.0)])  # one more, for what was not seen
+    scores = np.array([s for f in clean.scores for s in f] + [max(m.units.values(), default=0.0) or 1.0])  # one more, for what was not seen
     m.k = max((len(scores) - 0.5) / words, 1e-12)
 
     def excess(lam: float) -> float:
@@ -197,9 +208,8 @@ def _calibrate(m: Model, held: DataFrame) -> None:
     if not len(y) or y.min() == y.max():
         m.bias, m.slope = -4.0, 1.0
         return
-    # logistic regression of one variable, Newton steps with a light ridge
-    scale = max(float(np.quantile(x[y == 1], 0.5)), 1.0)
-    design, w = np.column_stack([np.ones_like(x), x / scale]), np.zeros(2)
+    # logistic regression on the logarithm, Newton steps with a light ridge
+    design, w = np.column_stack([np.ones_like(x), np.log1p(x)]), np.zeros(2)
     ridge = np.diag([1e-3, 1e-2])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -500, 500)))
@@ -207,7 +217,7 @@ def _calibrate(m: Model, held: DataFrame) -> None:
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    m.bias, m.slope = float(w[0]), max(float(w[1]) / scale, 0.0)
+    m.bias, m.slope = float(w[0]), max(float(w[1]), 0.0)
 
 
 def score(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text", id_col: str = "doc_id") -> DataFrame:
