@@ -44,8 +44,8 @@ def test_held_out_accuracy_and_bounds(spark):
 
 
 def test_awkward_rows(spark):
-    lab = spark.createDataFrame([(100 + i, 1, i % 2) for i in range(40)] + [(None, 1, 1), (100, 0, None)], "doc_id long, quality int, toxic int")
-    rows = [*AWKWARD, *[(100 + i, f"plain words number{i} here " + ("nastyword" if i % 2 else "kindword"), "en", "s", 0) for i in range(40)]]
+    lab = spark.createDataFrame([(100 + i, 1, i % 2) for i in range(200)] + [(None, 1, 1), (100, 0, None)], "doc_id long, quality int, toxic int")
+    rows = [*AWKWARD, *[(100 + i, f"plain words number{i} here " + ("nastyword" if i % 2 else "kindword"), "en", "s", 0) for i in range(200)]]
     got = {}
     for r in tox.score_documents(clash(docs(spark, rows), "id", "score", "label"), lab).collect():
         got.setdefault(r.doc_id, []).append(r)
