@@ -4,9 +4,10 @@
 its prefixes, so that inflected and compound forms share evidence.  Its score
 is the log-odds ratio between toxic and clean labelled documents under a
 Dirichlet prior, lowered by a multiple of its standard error: rare units get
-no say.  A word scores as its longest unit that enough documents hold, so a
-common clean word does not inherit a prefix it shares with a toxic one; a word
-without a positive score gets a small constant below zero.
+no say.  Prefixes stand for words too rare for a score of their
+own and are counted over these alone, so a word does not inherit a prefix that
+it shares with a common toxic one.  A word scores as its longest known unit; a
+word without a positive score gets a small constant below zero.
 
 *Segments.*  All maximal scoring segments of a text are found in one linear
 scan (Ruzzo and Tompa 1999).
@@ -39,10 +40,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from series_engine.llm.common import only
+from series_engine.llm.common import cut, let, only, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = string.punctuation + "«»“”„‘’¿¡…—–"
@@ -115,12 +116,12 @@ def _scan(text: str | None, m: Model, cache: dict) -> tuple[list[tuple[float, in
     return segments(at, score, m.clean), len(ws)
 
 
-def _unit_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of each class and fold that hold a unit; summed per batch."""
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents of each class and fold that hold a word; summed per batch."""
     for b in batches:
         seen: Counter = Counter()
         for text, label, held in zip(b["text"], b["label"], b["held"], strict=True):
-            own = {u for w in set(WORD.findall(text or "")) for u in units(w)}
+            own = {units(w)[0] for w in set(WORD.findall(text or "")) if units(w)}
             seen.update((u, int(label), int(held)) for u in own)
             seen["", int(label), int(held)] += 1  # the number of documents
         if seen:
@@ -136,6 +137,14 @@ def _log_odds(a: str, b: str, total_a: float, total_b: float, prior: float, lowe
     return F.ln(pa / rest_a) - F.ln(pb / rest_b) - lower * F.sqrt(1 / pa + 1 / pb)
 
 
+def _surprise(a: str, b: str, total_a: float, total_b: float):
+    """Nats against so many toxic documents among a unit's documents (Chernoff's
+    bound on the binomial tail); 0 where they are no more than their share."""
+    n, q = F.col(a) + F.col(b), total_a / (total_a + total_b)
+    part = lambda x, p: F.when(x > 0, x * F.ln(x / (n * p))).otherwise(0.0)
+    return F.when(F.col(a) > n * q, part(F.col(a), q) + part(F.col(b), 1 - q)).otherwise(0.0)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, max_train: int, text: str, id_col: str, label: str) -> DataFrame:
     """``text, label, held`` of a bounded, reproducible sample of labelled
     documents; a third is held back from the unit scores for calibration."""
@@ -144,18 +153,32 @@ def labelled(docs: DataFrame, labels: DataFrame, max_train: int, text: str, id_c
     own = own.orderBy(F.xxhash64(F.lit("train"), "_id"), "_id").limit(max_train)  # two short numbers a row
     pages = only(docs, id_col, text).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("text"))
     held = F.when(F.pmod(F.xxhash64(F.lit("held"), "_id"), F.lit(3)) == 0, 1).otherwise(0)
-    return pages.join(F.broadcast(own), "_id").select("text", F.col("label").cast("int").alias("label"), held.alias("held"))
+    rows = pages.join(F.broadcast(own), "_id").select("_id", "text", F.col("label").cast("int").alias("label"), held.alias("held"))
+    # near-copies are one witness: they mostly share the smallest hash of their three-word shingles
+    least = lambda seed: let(words(F.col("text")), lambda w: F.array_min(F.transform(
+        w, lambda x, i: F.xxhash64(F.lit(seed), x, F.get(w, i + 1), F.get(w, i + 2)))))
+    rows = rows.select("*", least(1).alias("_a"), least(2).alias("_b"))
+    for sign in ("_a", "_b"):
+        first = Window.partitionBy(sign, "label").orderBy("_id", F.xxhash64("text"))
+        rows = rows.withColumn("_r", F.row_number().over(first)).where("_r = 1")
+    return rows.select("text", "label", "held")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, max_units: int = 20_000, prior: float = 10.0,
-        lower: float = 2.33, least: float = 1.0, support: int = 5, clean: float = -0.2, text: str = "text", id_col: str = "doc_id", label: str = "toxic") -> Model:
+        lower: float = 1.64, least: float = 1.0, support: int = 5, clean: float = -0.2, text: str = "text",
+        id_col: str = "doc_id", label: str = "toxic") -> Model:
     """Learn unit scores and calibration from labelled documents.  A unit
-    counts if its lowered log-odds reach ``least``: among the very many units
-    some lie above zero by chance alone."""
-    train = labelled(docs, labels, max_train, text, id_col, label)
-    counts = train.mapInPandas(_unit_counts, "unit string, label int, held int, n long")
+    counts if its lowered log-odds reach ``least`` and fewer than one of all
+    units would lean as far to the toxic documents by chance."""
+    train = cut(labelled(docs, labels, max_train, text, id_col, label), "toxic-train")
+    counts = train.mapInPandas(_word_counts, "unit string, label int, held int, n long")
     flag = {(y, h): F.sum(F.when((F.col("label") == y) & (F.col("held") == h), F.col("n")).otherwise(0)) for y in (0, 1) for h in (0, 1)}
     table = counts.groupBy("unit").agg(*[e.alias(f"n{y}{h}") for (y, h), e in flag.items()])
+    # prefixes stand for the words that are too rare to have a score of their own
+    rare = table.where(f"unit <> '' AND n00 + n01 + n10 + n11 < {support}").withColumn("bare", F.substring("unit", 2, 1 << 20))
+    heads = rare.withColumn("unit", F.explode(F.array(*[F.when(F.length("bare") >= n, F.substring("bare", 1, n)) for n in PREFIXES])))
+    heads = heads.where("unit IS NOT NULL").groupBy("unit").agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")])
+    table = table.unionByName(heads.select(table.columns))
     table = table.select("unit", "n00", "n10", (F.col("n00") + F.col("n01")).alias("n0"), (F.col("n10") + F.col("n11")).alias("n1"))
     table = table.where(f"unit = '' OR n0 + n1 >= {support}").persist()
     size = table.where("unit = ''").first()
@@ -164,7 +187,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, max_units:
         return Model({}, clean)
     some = _log_odds("n10", "n00", size.n10, size.n00, prior, lower)
     full = _log_odds("n1", "n0", size.n1, size.n0, prior, lower)
-    known = table.where(f"unit <> '' AND n0 + n1 >= {support}").select("unit", some.alias("some"), full.alias("full"))
+    known = table.where("unit <> ''")
+    tested = math.log(max(known.count(), 2))
+    some = F.when(_surprise("n10", "n00", size.n10, size.n00) >= tested, some).otherwise(0.0)
+    full = F.when(_surprise("n1", "n0", size.n1, size.n0) >= tested, full).otherwise(0.0)
+    known = known.select("unit", some.alias("some"), full.alias("full"))
     toxic = F.greatest("some", "full") >= least
     found = known.where(toxic).orderBy(F.greatest("some", "full").desc(), "unit").limit(max_units).collect()
     # clean units that continue a toxic prefix stand before it

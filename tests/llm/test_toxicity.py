@@ -4,10 +4,12 @@ import random
 from pyspark.sql import functions as F
 
 from series_engine.llm import toxicity as tox
-from tests.conftest import SF001
 from tests.llm.helpers import AWKWARD, clash, docs
 
 
+SF01 = "/root/testdata/sf0.1"
+
+
 def brute_segments(s):
     """Maximal scoring segments by their recursive definition."""
     def best(lo, hi):
@@ -30,13 +32,14 @@ def test_segments_equal_brute_force():
 
 
 def test_held_out_accuracy_and_bounds(spark):
-    d, lab = spark.read.parquet(f"{SF001}/documents.parquet"), spark.read.parquet(f"{SF001}/labels.parquet")
+    # 1,344 held-out documents; fewer would say little
+    d, lab = spark.read.parquet(f"{SF01}/documents.parquet").repartition(8), spark.read.parquet(f"{SF01}/labels.parquet")
     got = tox.score_documents(d, lab).cache()
     assert got.count() == d.count() and got.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     test = got.where("held_out").join(lab, "doc_id").collect()
     hit = sum(r.predicted for r in test if r.toxic == 1)
     wrong = sum(r.predicted for r in test if r.toxic == 0)
-    assert hit >= .75 * sum(r.toxic for r in test) and wrong <= 2
+    assert hit >= .88 * sum(r.toxic for r in test) and wrong <= .01 * len(test)
     # labels of the held-out third change nothing
     flip = lab.withColumn("toxic", F.when(tox.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = {r.doc_id: r.score for r in tox.score_documents(d, flip).collect()}
