@@ -34,10 +34,12 @@ _LN_FACT = [math.lgamma(i + 1) for i in range(32)]
 
 def _ln_fact(n: Column) -> Column:
     """ln n!, exact to double precision: a table below 32, Stirling's series above."""
-    x = n.cast("double") + 1
-    series = ((x - 0.5) * F.ln(x) - x + 0.5 * math.log(2 * math.pi)
-              + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x))
-    return F.when(n < 32, F.get(F.array(*[F.lit(v) for v in _LN_FACT]), F.least(n, F.lit(31)).cast("int"))).otherwise(series)
+    def of(n: Column) -> Column:
+        x = n.cast("double") + 1
+        series = ((x - 0.5) * F.ln(x) - x + 0.5 * math.log(2 * math.pi)
+                  + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x))
+        return F.when(n < 32, F.get(F.array(*[F.lit(v) for v in _LN_FACT]), F.least(n, F.lit(31)).cast("int"))).otherwise(series)
+    return let(n, of)
 
 
 def _uniform(*seed: Column) -> Column:
@@ -48,26 +50,38 @@ def _uniform(*seed: Column) -> Column:
 def _hypergeometric(total: Column, good: Column, n: Column, u: Column) -> Column:
     """How many of ``n`` draws without replacement from ``total`` are among
     ``good``, at probability ``u``.  The distribution is summed over the
-    interval that holds all but 1e-30 of it."""
-    mean = n * good / F.greatest(total, F.lit(1))
-    spread = F.sqrt(F.greatest(mean * (1 - good / F.greatest(total, F.lit(1))), F.lit(0.0)))
-    low = F.greatest(F.lit(0), n - (total - good), F.floor(mean - 12 * spread - 24)).cast("long")
-    high = F.least(good, n, F.ceil(mean + 12 * spread + 24)).cast("long")
-
-    def ln_p(k: Column) -> Column:
-        return -(_ln_fact(k) + _ln_fact(good - k) + _ln_fact(n - k) + _ln_fact(total - good - n + k))
+    interval that holds all but 1e-30 of it.  Every part is bound once: written
+    out in place it would be an expression of many thousand nodes."""
+    def share(v: Column) -> Column:
+        part = v["good"] / F.greatest(v["total"], F.lit(1))
+        mean = v["n"] * part
+        return F.struct(mean.alias("mean"), F.sqrt(F.greatest(mean * (1 - part), F.lit(0.0))).alias("spread"))
+
+    def interval(v: Column, m: Column) -> Column:
+        low = F.greatest(F.lit(0), v["n"] - (v["total"] - v["good"]), F.floor(m["mean"] - 12 * m["spread"] - 24))
+        high = F.least(v["good"], v["n"], F.ceil(m["mean"] + 12 * m["spread"] + 24))
+        return F.struct(low.cast("long").alias("low"), high.cast("long").alias("high"))
+
+    def ln_p(v: Column, k: Column) -> Column:
+        return -(_ln_fact(k) + _ln_fact(v["good"] - k) + _ln_fact(v["n"] - k) + _ln_fact(v["total"] - v["good"] - v["n"] + k))
+
+    def pick(v: Column, b: Column, odds: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("k"))
 
-    mode = F.least(F.greatest(F.floor((n + 1) * (good + 1) / (total + 2)).cast("long"), low), high)
+        def below(goal: Column) -> Column:
+            return F.aggregate(odds, start, lambda s, x: F.struct(
+                (s["sum"] + x).alias("sum"), (s["k"] + F.when(s["sum"] + x < goal, 1).otherwise(0)).alias("k")))["k"]
+        goal = v["u"] * F.aggregate(odds, F.lit(0.0), lambda s, x: s + x)
+        return F.least(b["low"] + let(goal, below), b["high"])
 
-    def pick(odds: Column) -> Column:
-        goal = u * F.aggregate(odds, F.lit(0.0), lambda s, x: s + x)
-        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("k"))
-        below = F.aggregate(odds, start, lambda s, x: F.struct(
-            (s["sum"] + x).alias("sum"), (s["k"] + F.when(s["sum"] + x < goal, 1).otherwise(0)).alias("k")))
-        return F.least(low + below["k"], high)
+    def draw(v: Column, b: Column) -> Column:
+        mode = F.floor((v["n"] + 1) * (v["good"] + 1) / (v["total"] + 2)).cast("long")
+        top = let(F.least(F.greatest(mode, b["low"]), b["high"]), lambda k: ln_p(v, k))
+        odds = let(top, lambda t: F.transform(F.sequence(b["low"], b["high"]), lambda k: F.exp(ln_p(v, k) - t)))
+        return F.when(b["low"] >= b["high"], b["low"]).otherwise(let(odds, lambda o: pick(v, b, o)))
 
-    weights = let(ln_p(mode), lambda top: F.transform(F.sequence(low, high), lambda k: F.exp(ln_p(k) - top)))
-    return F.when(low >= high, low).otherwise(let(weights, pick))
+    given = F.struct(total.alias("total"), good.alias("good"), n.alias("n"), u.alias("u"))
+    return let(given, lambda v: let(let(share(v), lambda m: interval(v, m)), lambda b: draw(v, b)))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5,
