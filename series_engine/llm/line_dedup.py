@@ -7,9 +7,13 @@ on the token and variable elsewhere; the resulting template recurs when
 enough documents hold a line of it and at least half of its tokens are
 constant.  Lines of recurring templates are dropped.
 
-Documents are counted as distinct texts: exact copies of one text are no
-evidence that its lines are boilerplate (whole copies are the business of a
-document dedup).  Counting works on (line form, text) pairs and on the
+Documents are counted as families of texts: copies and near-copies of one text
+are one witness, so what only they share is no boilerplate and stays in all of
+them (whole copies are the business of a document dedup).  Texts that share
+half of their three-word shingles are one family: every text keeps its smallest
+shingle hashes, texts that meet in one of the first ``_KEYS`` of them are
+compared with the bucket's smallest text, and the components of the confirmed
+links are the families.  Counting works on (line form, text) pairs and on the
 distinct forms of recurring leaves, so a line that every document holds is
 summed before it is shuffled.  Everything is DataFrame code.
 
@@ -23,12 +27,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from series_engine.llm.common import BLANK_CLASS, cut, has_word, small, words
+from series_engine.llm.common import BLANK_CLASS, cut, has_word, let, small, words
+from series_engine.llm.components import components
 
 FIELD = "<*>"
 #: A whole token with a digit or @: the possessive run keeps this linear.
 _FIELD_TOKEN = f"(?<![^{BLANK_CLASS}])[^{BLANK_CLASS}0-9@]*+[0-9@][^{BLANK_CLASS}]*+"
 
+#: Smallest shingle hashes that a text keeps, and how many of them are bucket keys.
+_SKETCH, _KEYS = 64, 16
+
 
 def tokens(line: Column) -> Column:
     """Tokens of a line, variable fields generalised."""
@@ -49,6 +57,28 @@ def parsed(docs: DataFrame, text: str, depth: int) -> DataFrame:
                        F.xxhash64("_toks").alias("_form"), "_toks")
 
 
+def families(docs: DataFrame, text: str, keys: DataFrame, similarity: float = 0.5) -> DataFrame:
+    """``_k1, _family``: the texts of ``keys`` that have near-copies among them.
+
+    The ``_SKETCH`` smallest hashes of the union of two sets are a sample of it;
+    the share of them that lies in both estimates the similarity (exactly for
+    unions of fewer shingles)."""
+    t = docs.select(F.col(f"`{text}`").alias("_t")).where(has_word(F.col("_t")))
+    hashes = let(words(F.lower("_t")), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))))
+    sketches = t.select(F.xxhash64("_t").alias("_k1"), F.slice(F.sort_array(F.array_distinct(hashes)), 1, _SKETCH).alias("_sketch"))
+    sketches = sketches.join(small(keys.select("_k1").distinct()), "_k1", "left_semi")
+    sketches = cut(sketches.groupBy("_k1").agg(F.first("_sketch").alias("_sketch")), "line-sketches")
+    keyed = sketches.select("_k1", F.explode(F.slice("_sketch", 1, _KEYS)).alias("_h"))
+    pivots = keyed.groupBy("_h").agg(F.min("_k1").alias("_b"), F.max("_k1").alias("_m")).where("_b <> _m").select("_h", "_b")
+    pairs = keyed.join(pivots, "_h").where("_k1 <> _b").select(F.col("_k1").alias("_a"), "_b").distinct()
+    pairs = pairs.join(sketches.withColumnsRenamed({"_k1": "_a", "_sketch": "_x"}), "_a")
+    pairs = pairs.join(sketches.withColumnsRenamed({"_k1": "_b", "_sketch": "_y"}), "_b")
+    least = pairs.withColumn("_u", F.slice(F.sort_array(F.array_union("_x", "_y")), 1, _SKETCH))
+    both = F.size(F.array_intersect(F.array_intersect("_u", "_x"), "_y"))
+    links = least.where(both >= similarity * F.size("_u")).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    return components(links).withColumnsRenamed({"node": "_k1", "component": "_family"})
+
+
 def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3) -> DataFrame:
     """``_k1, _k2, _at``: lines of recurring templates, by text and line number."""
     rows = parsed(docs, text, depth)
@@ -69,7 +99,14 @@ def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, dep
         F.sum(F.when(kept != FIELD, 1).otherwise(0)).alias("_same"), F.count("*").alias("_size"))
     template = cut(template.where(2 * F.col("_same") >= F.col("_size")), "line-templates")
     often = template.groupBy("_leaf", "_template").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= min_docs)
-    dropped = template.join(often, ["_leaf", "_template"], "left_semi").select("_form")
+    # of these, the templates that enough families of texts hold
+    template = template.join(often, ["_leaf", "_template"], "left_semi").select("_form", F.xxhash64("_leaf", "_template").alias("_unit"))
+    template = cut(template, "line-units")
+    holders = cut(near.select("_form", "_k1").join(small(template), "_form").select("_unit", "_k1").distinct(), "line-holders")
+    own = holders.join(small(cut(families(docs, text, holders), "line-families")), "_k1", "left")
+    own = own.select("_unit", F.coalesce("_family", "_k1").alias("_family")).distinct()
+    often = own.groupBy("_unit").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs)
+    dropped = template.join(often, "_unit", "left_semi").select("_form").distinct()
     return near.join(small(cut(dropped, "line-dropped")), "_form").select("_k1", "_k2", "_at")
 
 

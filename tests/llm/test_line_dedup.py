@@ -56,3 +56,25 @@ def test_equal_brute_force(spark):
 
 def test_empty(spark):
     assert line_dedup.line_dedup(docs(spark, [])).count() == 0
+
+
+def near_copies(n, lines, tag, edits=3):
+    """A text of ``lines`` lines of 30 words, ``n`` times with a few words changed."""
+    out = []
+    for i in range(n):
+        w = [[f"{tag}{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[j]}" for k in range(30)] for j in range(lines)]
+        for e in range(edits):
+            w[(i + e) % lines][29] = f"edit{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{'xyz'[e]}{'pq'[i // 26]}"
+        out.append("\n".join(" ".join(x) for x in w))
+    return out
+
+
+def test_a_family_of_near_copies_is_one_witness(spark):
+    """Its lines stay, in every member, and a footer of independent texts goes."""
+    family = near_copies(30, 4, "fam")
+    apart = [f"{near_copies(1, 1, f'own{a}', 0)[0]}\nshared footer of the site" for a in "abcdefghijkl"]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(family + apart)]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, rows)).collect()}
+    assert len(brute(family + apart, 10)) > 50  # by texts the family's lines would go
+    assert all(got[i].text == t and got[i].n_dropped == 0 for i, t in enumerate(family))
+    assert all(got[i].n_dropped == 1 and "footer" not in got[i].text for i in range(30, 42))
