@@ -2,10 +2,12 @@
 
 Lines are parsed at a fixed depth: by token count, then by their leading
 tokens, with tokens that hold a digit or ``@`` read as a variable field.  In a
-leaf of the tree a token position is constant where enough documents agree
-on the token and variable elsewhere; the resulting template recurs when
-enough documents hold a line of it and at least half of its tokens are
-constant.  Lines of recurring templates are dropped.
+leaf of the tree a token position is constant where enough of the leaf's
+documents (``min_docs`` and a ``share`` of them) agree on the token and variable
+elsewhere; the resulting template recurs when enough documents hold a line of it
+and at least half of its tokens, and of its words beyond the leading ones that
+the leaf fixes, are constant.  A line form that enough documents hold as it is
+recurs whatever else lies in its leaf.  Lines of recurring templates are dropped.
 
 Documents are counted as families of texts: copies and near-copies of one text
 are one witness, so what only they share is no boilerplate and stays in all of
@@ -79,29 +81,35 @@ def families(docs: DataFrame, text: str, keys: DataFrame, similarity: float = 0.
     return components(links).withColumnsRenamed({"node": "_k1", "component": "_family"})
 
 
-def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3) -> DataFrame:
+def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3, share: float = 0.25) -> DataFrame:
     """``_k1, _k2, _at``: lines of recurring templates, by text and line number."""
     rows = parsed(docs, text, depth)
     leaves = (rows.select("_leaf", "_k1", "_k2").distinct()
-              .groupBy("_leaf").agg(F.count("*").alias("_docs")).where(F.col("_docs") >= min_docs).select("_leaf"))
+              .groupBy("_leaf").agg(F.count("*").alias("_all")).where(F.col("_all") >= min_docs))
     leaves = small(cut(leaves, "line-leaves"))
-    near = cut(rows.join(leaves, "_leaf"), "line-candidates")
+    near = cut(rows.join(leaves.select("_leaf"), "_leaf"), "line-candidates")
     # distinct forms of recurring leaves, with the number of texts that hold each
     held = near.select("_form", "_k1", "_k2").distinct().groupBy("_form").agg(F.count("*").alias("_docs"))
     shape = near.select("_form", "_leaf", F.concat_ws(" ", "_toks").alias("_s")).distinct()
     forms = cut(shape.join(held, "_form"), "line-forms").withColumn("_toks", F.split("_s", " "))
     cells = forms.select("_form", "_leaf", "_docs", F.posexplode("_toks").alias("_pos", "_tok"))
     constant = cells.groupBy("_leaf", "_pos", "_tok").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= min_docs)
-    marked = cells.join(constant.withColumn("_same", F.lit(1)), ["_leaf", "_pos", "_tok"], "left")
+    constant = constant.join(leaves, "_leaf").where(F.col("_n") >= share * F.col("_all"))
+    marked = cells.join(constant.select("_leaf", "_pos", "_tok", F.lit(1).alias("_same")), ["_leaf", "_pos", "_tok"], "left")
     kept = F.when((F.col("_same") == 1) & (F.col("_tok") != FIELD), F.col("_tok")).otherwise(F.lit(FIELD))
     template = marked.groupBy("_form", "_leaf", "_docs").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_pos", kept.alias("t")))), lambda x: x["t"]), " ").alias("_template"),
-        F.sum(F.when(kept != FIELD, 1).otherwise(0)).alias("_same"), F.count("*").alias("_size"))
-    template = cut(template.where(2 * F.col("_same") >= F.col("_size")), "line-templates")
+        F.sum(F.when(kept != FIELD, 1).otherwise(0)).alias("_same"), F.count("*").alias("_size"),
+        F.sum(F.when((F.col("_pos") >= depth) & (kept != FIELD), 1).otherwise(0)).alias("_agreed"),
+        F.sum(F.when((F.col("_pos") >= depth) & (F.col("_tok") != FIELD), 1).otherwise(0)).alias("_free"),
+        F.sum(F.when(F.col("_tok") != FIELD, 1).otherwise(0)).alias("_fixed"))
+    template = cut(template, "line-templates")
+    verbatim = template.where((F.col("_docs") >= min_docs) & (2 * F.col("_fixed") >= F.col("_size")))
+    template = template.where((2 * F.col("_same") >= F.col("_size")) & (2 * F.col("_agreed") >= F.col("_free")))
     often = template.groupBy("_leaf", "_template").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= min_docs)
     # of these, the templates that enough families of texts hold
     template = template.join(often, ["_leaf", "_template"], "left_semi").select("_form", F.xxhash64("_leaf", "_template").alias("_unit"))
-    template = cut(template, "line-units")
+    template = cut(template.unionAll(verbatim.select("_form", F.xxhash64("_form").alias("_unit"))), "line-units")
     holders = cut(near.select("_form", "_k1").join(small(template), "_form").select("_unit", "_k1").distinct(), "line-holders")
     own = holders.join(small(cut(families(docs, text, holders), "line-families")), "_k1", "left")
     own = own.select("_unit", F.coalesce("_family", "_k1").alias("_family")).distinct()

@@ -78,3 +78,18 @@ def test_a_family_of_near_copies_is_one_witness(spark):
     assert len(brute(family + apart, 10)) > 50  # by texts the family's lines would go
     assert all(got[i].text == t and got[i].n_dropped == 0 for i, t in enumerate(family))
     assert all(got[i].n_dropped == 1 and "footer" not in got[i].text for i in range(30, 42))
+
+
+def test_unique_lines_with_a_common_opening_stay(spark):
+    """The leading tokens that a leaf fixes are no evidence, and rows of one list are one text."""
+    lines = [f"I think that {a}one {a}two {a}three" for a in "abcdefghijkl"]
+    # common words in a large leaf: 'the' and 'of' in a fifth of its lines
+    lines += [f"we all know {'the' if i % 5 == 0 else f'w{chr(97 + i % 26)}{chr(97 + i // 26)}'} x{chr(97 + i % 26)}{chr(97 + i // 26)} "
+              f"{'of' if i % 5 == 0 else f'y{chr(97 + i % 26)}{chr(97 + i // 26)}'}" for i in range(60)]
+    rows = [(i, f"own{chr(97 + i % 26)}{chr(97 + i // 26)} text of its own\n{x}", "en", "s", 0) for i, x in enumerate(lines)]
+    rows.append((500, "\n".join(f"red apples from {x}land for all of us" for x in "abcdefghij"), "en", "s", 0))
+    rows += [(600 + i, f"red apples from {x}a {x}b {x}c {x}d {x}e", "en", "s", 0) for i, x in enumerate("klmnopqrs")]
+    got = line_dedup.line_dedup(docs(spark, rows)).collect()
+    want = {r[0]: r[1] for r in rows}
+    assert {r.doc_id: r.text for r in got if r.doc_id < 500} == {k: v for k, v in want.items() if k < 500}
+    assert {r.doc_id: r.text for r in got if r.doc_id >= 500} == {k: v for k, v in want.items() if k >= 500}
