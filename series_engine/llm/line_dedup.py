@@ -59,15 +59,20 @@ def parsed(docs: DataFrame, text: str, depth: int) -> DataFrame:
                        F.xxhash64("_toks").alias("_form"), "_toks")
 
 
-def families(docs: DataFrame, text: str, keys: DataFrame, similarity: float = 0.5) -> DataFrame:
-    """``_k1, _family``: the texts of ``keys`` that have near-copies among them.
+def shingles(text: Column) -> Column:
+    """Distinct hashes of a text's three-word shingles, lower-cased."""
+    return F.array_distinct(let(words(F.lower(text)), lambda w: F.transform(
+        w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))))
+
+
+def near_pairs(docs: DataFrame, text: str, keys: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: texts of ``keys`` and a smaller one that each is close to.
 
     The ``_SKETCH`` smallest hashes of the union of two sets are a sample of it;
     the share of them that lies in both estimates the similarity (exactly for
     unions of fewer shingles)."""
     t = docs.select(F.col(f"`{text}`").alias("_t")).where(has_word(F.col("_t")))
-    hashes = let(words(F.lower("_t")), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))))
-    sketches = t.select(F.xxhash64("_t").alias("_k1"), F.slice(F.sort_array(F.array_distinct(hashes)), 1, _SKETCH).alias("_sketch"))
+    sketches = t.select(F.xxhash64("_t").alias("_k1"), F.slice(F.sort_array(shingles(F.col("_t"))), 1, _SKETCH).alias("_sketch"))
     sketches = sketches.join(small(keys.select("_k1").distinct()), "_k1", "left_semi")
     sketches = cut(sketches.groupBy("_k1").agg(F.first("_sketch").alias("_sketch")), "line-sketches")
     keyed = sketches.select("_k1", F.explode(F.slice("_sketch", 1, _KEYS)).alias("_h"))
@@ -77,8 +82,12 @@ def families(docs: DataFrame, text: str, keys: DataFrame, similarity: float = 0.
     pairs = pairs.join(sketches.withColumnsRenamed({"_k1": "_b", "_sketch": "_y"}), "_b")
     least = pairs.withColumn("_u", F.slice(F.sort_array(F.array_union("_x", "_y")), 1, _SKETCH))
     both = F.size(F.array_intersect(F.array_intersect("_u", "_x"), "_y"))
-    links = least.where(both >= similarity * F.size("_u")).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    return components(links).withColumnsRenamed({"node": "_k1", "component": "_family"})
+    return least.where(both >= similarity * F.size("_u")).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+
+
+def families(docs: DataFrame, text: str, keys: DataFrame, similarity: float = 0.5) -> DataFrame:
+    """``_k1, _family``: the texts of ``keys`` that have near-copies among them."""
+    return components(near_pairs(docs, text, keys, similarity)).withColumnsRenamed({"node": "_k1", "component": "_family"})
 
 
 def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3, share: float = 0.25) -> DataFrame:

@@ -21,6 +21,9 @@ have not seen, maps it to a probability.
 
 The model is fitted on at most ``max_train`` labelled documents and holds at
 most ``max_units`` units; scoring covers every document and whole texts.
+Labelled copies and near-copies of one class, confirmed by four fifths of their
+three-word shingles, are one witness; documents that merely share a passage are
+all learned from.
 
 Defined results: NULL or empty text has no evidence and gets the score of
 that; NULL ids are scored and never used to learn; of several labels of one
@@ -43,7 +46,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from series_engine.llm.common import cut, let, only, words
+from series_engine.llm.common import cut, only
+from series_engine.llm.components import components
+from series_engine.llm.line_dedup import near_pairs, shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = string.punctuation + "«»“”„‘’¿¡…—–"
@@ -145,22 +150,26 @@ def _surprise(a: str, b: str, total_a: float, total_b: float):
     return F.when(F.col(a) > n * q, part(F.col(a), q) + part(F.col(b), 1 - q)).otherwise(0.0)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, max_train: int, text: str, id_col: str, label: str) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, max_train: int, text: str, id_col: str, label: str, copies: float = 0.8) -> DataFrame:
     """``text, label, held`` of a bounded, reproducible sample of labelled
-    documents; a third is held back from the unit scores for calibration."""
+    documents, one of each family of near-copies of a class; a third is held
+    back from the unit scores for calibration."""
     own = (labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label}`").alias("label"))
            .where("_id IS NOT NULL AND label IN (0, 1)").groupBy("_id").agg(F.max("label").alias("label")))
     own = own.orderBy(F.xxhash64(F.lit("train"), "_id"), "_id").limit(max_train)  # two short numbers a row
     pages = only(docs, id_col, text).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("text"))
     held = F.when(F.pmod(F.xxhash64(F.lit("held"), "_id"), F.lit(3)) == 0, 1).otherwise(0)
     rows = pages.join(F.broadcast(own), "_id").select("_id", "text", F.col("label").cast("int").alias("label"), held.alias("held"))
-    # near-copies are one witness: they mostly share the smallest hash of their three-word shingles
-    least = lambda seed: let(words(F.col("text")), lambda w: F.array_min(F.transform(
-        w, lambda x, i: F.xxhash64(F.lit(seed), x, F.get(w, i + 1), F.get(w, i + 2)))))
-    rows = rows.select("*", least(1).alias("_a"), least(2).alias("_b"))
-    for sign in ("_a", "_b"):
-        first = Window.partitionBy(sign, "label").orderBy("_id", F.xxhash64("text"))
-        rows = rows.withColumn("_r", F.row_number().over(first)).where("_r = 1")
+    # near-copies are one witness: candidates by sketch, confirmed by their full shingle sets
+    rows = cut(rows.withColumn("_k1", F.xxhash64("text")), "toxic-labelled")
+    pairs = cut(near_pairs(rows, "text", rows, copies - 0.2), "toxic-pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("_k1")).distinct()
+    sets = rows.join(nodes, "_k1", "left_semi").dropDuplicates(["_k1"]).select("_k1", shingles(F.col("text")).alias("_s"))
+    pairs = pairs.join(sets.withColumnsRenamed({"_k1": "a", "_s": "_x"}), "a").join(sets.withColumnsRenamed({"_k1": "b", "_s": "_y"}), "b")
+    links = pairs.where(F.size(F.array_intersect("_x", "_y")) >= copies * F.size(F.array_union("_x", "_y"))).select("a", "b")
+    rows = rows.join(components(links).withColumnsRenamed({"node": "_k1", "component": "_family"}), "_k1", "left")
+    first = Window.partitionBy(F.coalesce("_family", "_k1"), "label").orderBy("_id", "_k1")
+    rows = rows.withColumn("_r", F.row_number().over(first)).where("_r = 1")
     return rows.select("text", "label", "held")
 
 

@@ -58,3 +58,22 @@ def test_awkward_rows(spark):
     assert tox.score_documents(docs(spark, []), lab).count() == 0
     none = tox.score_documents(docs(spark), lab.where("toxic = 0")).collect()
     assert {r.score for r in none} == {0.0}
+
+
+def test_few_short_labelled_documents(spark):
+    lab = spark.createDataFrame([(100 + i, 1, i % 2) for i in range(40)] + [(None, 1, 1), (100, 0, None)], "doc_id long, quality int, toxic int")
+    rows = [*AWKWARD, *[(100 + i, f"plain words number{i} here " + ("nastyword" if i % 2 else "kindword"), "en", "s", 0) for i in range(40)]]
+    got = {r.doc_id: r for r in tox.score_documents(docs(spark, rows), lab).collect()}
+    assert got[101].score > got[100].score and got[1].score < .5
+
+
+def test_only_confirmed_near_copies_are_one_witness(spark):
+    """Documents that share a passage are all learned from; copies and near-copies once a class."""
+    passage = " ".join(f"shared{k}" for k in range(20))
+    own = [f"{passage} " + " ".join(f"w{i}x{k}" for k in range(6 + i)) for i in range(40)]
+    near = [" ".join([*(f"copy{k}" for k in range(60)), f"end{i}"]) for i in range(10)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate([*own, *near, near[0]])]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(len(rows))], "doc_id long, toxic int")
+    got = sorted((r.text, r.label) for r in tox.labelled(docs(spark, rows), lab, 1000, "text", "doc_id", "toxic").collect())
+    assert [x for x in got if x[0].startswith("shared")] == sorted((t, i % 2) for i, t in enumerate(own))
+    assert [x for x in got if x[0].startswith("copy")] == [(near[0], 0), (near[1], 1)]
