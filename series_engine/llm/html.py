@@ -9,7 +9,8 @@ paired with its neighbours: the lines of the pair are aligned by longest
 common subsequence, and lines that both pages have are template text and go.
 Paragraphs and headings inside an article element are never taken for
 template text, and a pair whose pages are copies of each other says nothing
-about templates.
+about templates.  Pages of a host with equal lines are one page, at the first of
+their paths, and lose the same lines.
 
 The neighbours come from one global order cut into ranges, so a host with a
 third of all pages is spread; only hashes of lines travel, the html is read a
@@ -239,8 +240,13 @@ def extract(pages: DataFrame, html_col: str = "html", url_col: str = "url", id_c
         F.xxhash64(F.col(f"`{url_col}`"), F.col(f"`{html_col}`")).alias("_key"))
     profiles = t.select("_key", "_url", "_html").mapInArrow(
         _profiles, "_key long, _host string, _path string, _lines array<long>, _prose array<boolean>, _size array<long>")
-    near = neighbours(cut(profiles, "html-lines").dropDuplicates(["_key"]))
-    drops = small(cut(near.mapInArrow(_differences, "_key long, _drop array<int>"), "html-drops"))
+    profiles = cut(profiles.withColumn("_same", F.xxhash64("_host", "_lines", "_prose")), "html-lines")
+    placed = profiles.select("_key", "_same", "_path").distinct()
+    chosen = placed.groupBy("_same").agg(F.min(F.struct("_path", "_key")).alias("_f")).select("_same", F.col("_f._key").alias("_key"))
+    chosen = cut(chosen, "html-chosen")
+    near = neighbours(profiles.join(chosen.select("_key"), "_key", "left_semi").dropDuplicates(["_key"]))
+    drops = cut(near.mapInArrow(_differences, "_key long, _drop array<int>"), "html-drops").join(chosen, "_key").select("_same", "_drop")
+    drops = small(cut(placed.join(small(drops), "_same").select("_key", "_drop"), "html-drops"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -62,3 +62,12 @@ def test_template_lines_go_where_no_article_is_marked(spark):
     assert rest[100, None] == "" and rest[101, "::odd"] == "alone" and rest[None, "http://h.example/1/1"] == ""
     assert rest[102, "http://x.example/a"].startswith("Welcome")  # no neighbour but its copy
     assert html.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_equal_pages_side_by_side_lose_the_same_lines(spark):
+    def page(i):
+        return f"<div>Welcome to the site</div><div>Story {i} begins here with own words</div><div>All rights reserved</div>"
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(9)]
+    rows += [(100 + k, f"http://h.example/4{tail}", page(4)) for k, tail in enumerate(("?utm=a", "?utm=b", "#top", "/", "/?x"))]
+    for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect():
+        assert r.text == f"Story {r.page_id if r.page_id < 100 else 4} begins here with own words"
