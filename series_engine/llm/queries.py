@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import ann, html, line_dedup, minhash, mixing, packing, quality, substring, token_counts, toxicity
+from series_engine.llm import (ann, html, line_dedup, minhash, mixing, more_queries, packing, quality, substring, token_counts,
+                               toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,9 +164,9 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_mixing": op8_mixing,
     "op5_quality_rules": op5_quality_rules,
-}
+} | more_queries.QUERIES
 
 ORACLE = {
     "op7_line_dedup": OP7_SQL,
     "op5_quality_rules": OP5_SQL,
-}
+} | more_queries.ORACLE
