@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import winnowing
+from series_engine.llm import lexical, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_columns(winnowing.fingerprint_edits(_table(spark, sf_dir, "documents")))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 #: CRC-32 of the strings ``s`` of a table ``named``, as SQL: a table of 256 values
 #: made by the rule of the code, then one step a byte.
 CRC_SQL = """
@@ -97,5 +102,30 @@ SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, fa AS fing
 FROM y
 """
 
-QUERIES = {"op11_fingerprints": op11_fingerprints}
-ORACLE = {"op11_fingerprints": OP11_SQL}
+_UPPER, _UNDER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UNDER}'), " + r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13_SQL = f"""
+WITH d AS (
+  SELECT doc_id, {_TERMS} AS ts FROM documents
+), size AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS n_all FROM d WHERE len(ts) > 0
+), q AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark
+), p AS (
+  SELECT doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(ts)::BIGINT AS n, unnest(ts) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY ALL
+), w AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w, n_docs, n_all
+  FROM p, size GROUP BY t, n_docs, n_all
+), s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_all))))::BIGINT AS score
+  FROM q JOIN w USING (t) JOIN p USING (t) GROUP BY item_id, doc_id
+), r AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+QUERIES = {"op11_fingerprints": op11_fingerprints, "op13_lexical_search": op13_lexical_search}
+ORACLE = {"op11_fingerprints": OP11_SQL, "op13_lexical_search": OP13_SQL}
