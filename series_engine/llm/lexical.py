@@ -144,9 +144,9 @@ def best_of(batch: Batch, terms: np.ndarray, weights: np.ndarray, floor: int, to
     while done < len(masks):
         if bound[masks[done]] < max(floor, 1):
             break
-        # whole groups of about ``step`` documents at a time
+        # whole groups of up to ``step`` documents, one at least, at a time
         size = np.cumsum(ends[masks[done:]] - first[masks[done:]])
-        take = masks[done:done + 1 + int(np.searchsorted(size, step))]
+        take = masks[done:done + max(1, int(np.searchsorted(size, step, side="right")))]
         take = take[bound[take] >= max(floor, 1)]
         done += len(take)
         some = np.sort(np.concatenate([rows[first[g]:ends[g]] for g in take]))
