@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from series_engine.llm import lexical, winnowing
+from series_engine.llm import lexical, spelling, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_columns(winnowing.fingerprint_edits(_table(spark, sf_dir, "documents")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the word it is a spelling variant of."""
+    return spelling.variants(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -127,5 +132,40 @@ WITH d AS (
 SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10
 """
 
-QUERIES = {"op11_fingerprints": op11_fingerprints, "op13_lexical_search": op13_lexical_search}
-ORACLE = {"op11_fingerprints": OP11_SQL, "op13_lexical_search": OP13_SQL}
+OP12_SQL = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), '{_UPPER}', '{_UNDER}') AS run
+  FROM documents
+), counts AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS s, run, count(*) AS k FROM runs GROUP BY ALL
+), named AS (
+  SELECT DISTINCT s FROM counts WHERE length(run) >= 6
+), {crc_sql("named")}, made AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k
+  FROM counts JOIN crc USING (s)
+), words AS MATERIALIZED (
+  SELECT word, sum(k)::BIGINT AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), without AS MATERIALIZED (
+  SELECT DISTINCT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM without a JOIN without b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM without a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, a.word FROM without a JOIN words b ON a.less = b.word
+), best AS (
+  SELECT near.word, count(*)::BIGINT AS n_near, min({{'k': -w.n, 'o': other}}) AS b FROM near JOIN words w ON w.word = other GROUP BY near.word
+), forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.k >= 5 * n THEN b.o END AS form,
+         CASE WHEN -b.k >= 5 * n THEN (-b.k)::BIGINT END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN forms f ON f.word = walk.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT walk.word, root FROM walk JOIN forms f ON f.word = walk.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+QUERIES = {"op11_fingerprints": op11_fingerprints, "op12_spelling_variants": op12_spelling_variants,
+           "op13_lexical_search": op13_lexical_search}
+ORACLE = {"op11_fingerprints": OP11_SQL, "op12_spelling_variants": OP12_SQL, "op13_lexical_search": OP13_SQL}
