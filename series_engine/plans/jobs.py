@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas, streaming
 from ..operators import clean, sampling
-from ..sinks import writers
+from ..sinks import commits, writers
 from ..sources import readers
 from . import model as mdl
 
@@ -55,28 +55,34 @@ def train(spark: SparkSession, train_base: str, model_path: str, params: mdl.Mod
 
 
 def evaluate(spark: SparkSession, test_base: str, model_path: str, metrics_path: str | None = None,
-             run: str | None = None, partitions: int | None = None, schema=None) -> DataFrame:
+             run: str | None = None, partitions: int | None = None, schema=None, once: bool = False) -> DataFrame:
     """Metrics of the saved model on the partitioned test folder; appended to
-    ``metrics_path`` under ``run`` (default: a UTC timestamp) when given."""
+    ``metrics_path`` under ``run`` (default: a UTC timestamp) when given.
+    ``once=True`` keeps a commit log there: a retried run counts once."""
     m = readers.load_model(model_path)
     df = readers.read_partitioned(spark, test_base, partitions, schema)
     metrics = mdl.evaluate(m, df)
     if metrics_path:
         run = run or datetime.now(timezone.utc).strftime("run %Y-%m-%d %H:%M:%S")
-        writers.append_metrics(metrics, metrics_path, run, model_path)
+        append = writers.append_metrics_once if once else writers.append_metrics
+        append(metrics, metrics_path, run, model_path)
     return metrics
 
 
 def sample(rows: DataFrame, out_path: str | None = None, n: int = SAMPLES, seed: int = 0,
            entity: str = "userId", time: str = "timestamp", width=RANGE_MS,
-           key=None) -> DataFrame:
+           key=None, run: str | None = None) -> DataFrame:
     """``n`` seeded anchors, then every row of the same entity within
     ±width/2 of each anchor (overlaps repeat rows); appended to ``out_path``
-    when given."""
+    when given.  With a ``run`` id the rows are published once however often
+    the run is retried, and a stream over ``sinks.stream_path(out_path)`` sees
+    whole runs only."""
     key = key or [entity, time]
     a = sampling.anchors(rows, n, seed=seed, key=key).select(entity, time)
     picked = sampling.ranges(rows, a, entity, time, width).select(*rows.columns)
-    if out_path:
+    if out_path and run is not None:
+        commits.publish_once(picked, out_path, run)
+    elif out_path:
         writers.append_parquet(picked, out_path)
     return picked
 
@@ -93,9 +99,14 @@ def produce(spark: SparkSession, in_path: str, checkpoint: str, fmt: str = "kafk
 def consume(spark: SparkSession, model_path: str, out_path: str, checkpoint: str,
             fmt: str = "kafka", options: dict | None = None, trigger: dict | None = None,
             schema=schemas.REALTIME,
-            columns=("userId", "timestamp"), source_schema=None):
-    """Decode messages and score every micro-batch with the saved model."""
+            columns=("userId", "timestamp"), source_schema=None, across_batches: bool = False):
+    """Decode messages and score every micro-batch with the saved model.
+    ``across_batches=True`` carries the series from batch to batch and commits
+    every batch once (``checkpoint`` then lies under ``out_path``; read the
+    predictions with ``streaming.read_rows(spark, out_path, "predictions")``)."""
     m = readers.load_model(model_path)
     raw = readers.read_stream(spark, fmt, options or {}, source_schema)
+    if across_batches:
+        return streaming.score_stream(streaming.decode(raw, schema), m, out_path, trigger=trigger, columns=columns)
     return streaming.score(streaming.decode(raw, schema), m, out_path, checkpoint, trigger=trigger,
                            columns=columns)

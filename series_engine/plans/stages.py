@@ -77,6 +77,14 @@ class SeriesFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReada
                          uniqueOrder=False, completeAxes=False)
         self._set(**self._input_kwargs)
 
+    def chain(self) -> dict:
+        """The settings of the feature chain, for work across micro-batches."""
+        g = self.getOrDefault
+        return {"cols": list(self.getInputCols()), "by": list(g(self.partitionBy)), "order": list(g(self.orderBy)),
+                "label": g(self.runCol), "period": g(self.movingAvgPeriod), "n": g(self.windowSize), "step": g(self.step),
+                "event_col": g(self.eventCol), "chunk_width": _parse_width(g(self.chunkWidth)),
+                "block_rows": g(self.blockRows), "unique_order": g(self.uniqueOrder)}
+
     def _transform(self, dataset):
         g = self.getOrDefault
         cols = self.getInputCols()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .commits import append_once
+
 
 def write_partitioned(df: DataFrame, path: str, cols, order=None, num_partitions: int | None = None,
                       mode: str = "overwrite") -> None:
@@ -39,9 +41,18 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def _metric_rows(metrics: DataFrame, run: str, model_path: str | None) -> DataFrame:
+    return metrics.select(F.lit(run).alias("run"), "metric", "class", "value",
+                          F.lit(model_path).cast("string").alias("model_path"),
+                          F.current_timestamp().alias("logged_at"))
+
+
 def append_metrics(metrics: DataFrame, path: str, run: str, model_path: str | None = None) -> None:
     """Append a (run, metric, class, value, model_path, logged_at) table."""
-    (metrics.select(F.lit(run).alias("run"), "metric", "class", "value",
-                    F.lit(model_path).cast("string").alias("model_path"),
-                    F.current_timestamp().alias("logged_at"))
-            .write.mode("append").parquet(path))
+    _metric_rows(metrics, run, model_path).write.mode("append").parquet(path)
+
+
+def append_metrics_once(metrics: DataFrame, path: str, run: str, model_path: str | None = None) -> bool:
+    """As ``append_metrics`` under a commit log: a run that is retried counts once
+    (read with ``CommitLog(spark, path).read("metrics")``)."""
+    return append_once(_metric_rows(metrics, run, model_path), path, run, kind="metrics")
