@@ -12,8 +12,11 @@ over the cluster and still gives exact results:
    where the current run started.  By default chunks are ranges of the global
    order (entity, order columns) with about equal row counts, whatever the
    values are or how they are spread: any orderable type, NULL first and NaN
-   last, one stray value or a burst moves no border.  Peers (equal order
-   values) always share a chunk, so RANGE frames stay exact.
+   last, one stray value or a burst moves no border.  A border may part peers
+   (equal order values), also rows that are equal in every column, so a moment
+   that holds a third of all rows is no hot task: the per-chunk table tells
+   which peer groups go on in the next chunks, with what indicator sums and
+   from which position, and RANGE sums, ranks and run starts stay exact.
 2. ``blocked`` — with global positions known, rows are cut into fixed-size
    blocks of ``block_rows`` rows.  The last ``halo`` rows of each block are
    also copied into the next block, so any frame reaching at most ``halo``
@@ -72,10 +75,10 @@ def ranged(df: DataFrame, by, order, target_rows: int | None = None) -> DataFram
     rows than that (every entity is one chunk then).
 
     Ranges are cut by row count (sampled by Spark), so their size does not
-    depend on the values.  The rows are written once under the shared
-    checkpoint folder: the windows and the per-chunk table read the same
-    chunks, also after a lost executor.  Only rows with equal order values
-    cannot be parted."""
+    depend on the values: ``order`` is to end in the tie-break of the rows, and
+    rows equal in all of it are parted by where they were read.  The rows are
+    written once under the shared checkpoint folder: the windows and the
+    per-chunk table read the same chunks, also after a lost executor."""
     target = int(target_rows or AUTO_CHUNK_ROWS)
     by = _cols(by)
     per = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
@@ -83,7 +86,8 @@ def ranged(df: DataFrame, by, order, target_rows: int | None = None) -> DataFram
     if (size["most"] or 0) <= target:
         return None
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * size["rows"] // target))
-    dealt = df.repartitionByRange(parts, *by, *_cols(order))
+    dealt = df.withColumn("_se_place", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(parts, *by, *_cols(order), "_se_place").drop("_se_place")
     return write_table(dealt.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "series-chunks")
 
 
@@ -145,7 +149,9 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
     on ``run_order`` (a prefix of ``order``; defaults to ``order``), so peers
     share an id; and ``_se_estart`` = position of the run's first row.
     ``unique_order=True`` asserts that ``order`` is unique per entity and
-    skips the row-hash tie-break (``row_tiebreak``).
+    skips the row-hash tie-break (``row_tiebreak``).  ``chunk_width``: None or
+    ``"auto"`` (ranges by row count), ``"rows:<n>"`` (the same with a target of
+    n rows), a fixed width, ``"day"``, or 0 for one window per entity.
     """
     by = _cols(by)
     order = _cols(order)
@@ -154,72 +160,102 @@ def index(df: DataFrame, by, order, *, label: str | None = None,
         raise ValueError("run_order must be a prefix of order")
 
     cols = list(df.columns)
-    if chunk_width is None or chunk_width == "auto":
-        # peers of the run order may not be parted either
-        base = ranged(df, by, run_order if label is not None else order)
+    if chunk_width is None or chunk_width == "auto" or str(chunk_width).startswith("rows:"):
+        target = int(str(chunk_width)[5:]) if str(chunk_width).startswith("rows:") else None
+        # the order of the rows is total: a border may lie between any two of them
+        tied = df if unique_order else df.withColumn("_se_tb", row_tiebreak(df))
+        base = ranged(tied, by, order if unique_order else [*order, "_se_tb"], target)
         if base is None:
             return _index_whole(df, by, order, label, run_order, event_col, keep_internal, unique_order)
     elif chunk_width == 0:
         return _index_whole(df, by, order, label, run_order, event_col, keep_internal, unique_order)
     else:
         base = df.withColumn(_CHUNK, chunk_expr(df, order[0], chunk_width))
-    base, by = _plain_keys(base, by)
-    x = base.withColumn("_se_tb", F.lit(0) if unique_order else row_tiebreak(df))
+        base = base if unique_order else base.withColumn("_se_tb", row_tiebreak(df))
+    x, by = _plain_keys(base, by)
     w = Window.partitionBy(*by, _CHUNK).orderBy(*order, *([] if unique_order else ["_se_tb"]))
     wk = Window.partitionBy(*by, _CHUNK).orderBy(*order)  # peers share a rank
     first = {"_se_rn": F.row_number().over(w), "_se_rk": F.rank().over(wk)}
-    if label is None:
-        x = x.withColumns(first)
-        # Counts need no order: partial aggregation straight from the input.
-        summ = base.groupBy(*by, _CHUNK).agg(F.count(F.lit(1)).alias("_se_n"))
-    else:
+    if label is not None:
         first["_se_ind"] = F.coalesce((F.col(label) != F.lag(label).over(w)).cast("long"), F.lit(0).cast("long"))
-        wr = (Window.partitionBy(*by, _CHUNK).orderBy(*run_order)
-              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        wr = Window.partitionBy(*by, _CHUNK).orderBy(*run_order)
+        if run_order != order:
+            first["_se_rr"] = F.rank().over(wr)  # first row of the run order's peers
         x = (x.withColumns(first)
-              .withColumn("_se_lr", F.sum("_se_ind").over(wr))
+              .withColumn("_se_lr", F.sum("_se_ind").over(wr.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
               .withColumn("_se_mk", F.when(F.col("_se_lr") != F.lag("_se_lr").over(w), F.col("_se_rn")))
               .withColumn("_se_lm", F.max("_se_mk").over(
                   w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-        summ = x.groupBy(*by, _CHUNK).agg(
-            F.count(F.lit(1)).alias("_se_n"),
-            F.min_by(label, "_se_rn").alias("_se_first"),
-            F.max_by(label, "_se_rn").alias("_se_last"),
-            F.max("_se_lr").alias("_se_nind"),
-            F.min_by("_se_lr", "_se_rn").alias("_se_lr0"),
-            F.max("_se_mk").alias("_se_lmmax"))
-
-    # Per-chunk offsets: a window over chunks of one entity (one row each).
-    wc = Window.partitionBy(*by).orderBy(_CHUNK)
-    prev = wc.rowsBetween(Window.unboundedPreceding, -1)
-    off = F.coalesce(F.sum("_se_n").over(prev), F.lit(0)).cast("long")
-    if label is None:
-        summ = summ.select(*by, _CHUNK, off.alias("_se_off"))
+        if run_order == order:
+            x = x.withColumn("_se_rr", F.col("_se_rk"))
     else:
-        b = F.coalesce((F.col("_se_first") != F.lag("_se_last").over(wc)).cast("long"), F.lit(0).cast("long"))
-        summ = summ.withColumns({"_se_off": off, "_se_b": b})
-        fnew = ((F.col("_se_b") + F.col("_se_lr0")) > 0) | (F.col("_se_off") == 0)
-        summ = summ.withColumns({
-            "_se_E": F.coalesce(F.sum(F.col("_se_nind") + F.col("_se_b")).over(prev), F.lit(0)) + F.col("_se_b"),
-            "_se_fnew": fnew,
-            "_se_cls": F.coalesce(F.col("_se_off") + F.col("_se_lmmax") - 1, F.when(fnew, F.col("_se_off")))})
-        summ = summ.select(*by, _CHUNK, "_se_off", "_se_E", "_se_fnew",
-                           F.last("_se_cls", ignorenulls=True).over(prev).alias("_se_carry"))
-
-    y = x.join(summ, [*by, _CHUNK])
+        x = x.withColumns(first)
+    y = x.join(_chunk_table(x, by, order, run_order, label), [*by, _CHUNK])
     out = [F.col(c) for c in cols]
     if keep_internal:
         out += [(F.col("_se_off") + F.col("_se_rn") - 1).alias(POS),
-                (F.col("_se_off") + F.col("_se_rk") - 1).alias(PEER)]
+                F.when(F.col("_se_rk") == 1, F.col("_se_peer0")).otherwise(F.col("_se_off") + F.col("_se_rk") - 1).alias(PEER)]
     if label is not None:
-        out.append((F.col("_se_E") + F.col("_se_lr")).cast("long").alias(event_col))
+        # rows of the chunk's last peer group also count the indicators of its peers in later chunks
+        tail = F.when(F.col("_se_rr") == F.col("_se_lg"), F.col("_se_tail")).otherwise(F.lit(0).cast("long"))
+        out.append((F.col("_se_E") + F.col("_se_lr") + tail).cast("long").alias(event_col))
         if keep_internal:
-            out.append(F.coalesce(F.col("_se_off") + F.col("_se_lm") - 1,
-                                  F.when(F.col("_se_fnew"), F.col("_se_off")),
-                                  F.col("_se_carry")).alias(ESTART))
+            out.append(F.when((tail > 0) & (F.col("_se_lg") > 1), F.col("_se_off") + F.col("_se_lg") - 1).otherwise(
+                F.coalesce(F.col("_se_off") + F.col("_se_lm") - 1, F.when(F.col("_se_fnew"), F.col("_se_off")),
+                           F.col("_se_carry"))).alias(ESTART))
     return y.select(*out)
 
 
+def _chunk_table(x: DataFrame, by, order, run_order, label) -> DataFrame:
+    """What the chunks before and after a chunk add to its rows, one row per chunk.
+
+    ``_se_off`` rows before it; ``_se_peer0`` position of the first peer of its
+    first row; with a label also ``_se_E`` indicators before its first row (the
+    border's own included), ``_se_lg`` where its last peer group starts,
+    ``_se_tail`` indicators of that group's peers in later chunks, ``_se_fnew``
+    whether its first row starts a run, ``_se_carry`` where the run before starts."""
+    wc = Window.partitionBy(*by).orderBy(_CHUNK)  # over the chunks of one entity
+    prev = wc.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    aggs = {"_se_n": F.count(F.lit(1)), "_se_fo": F.min_by(F.struct(*order), "_se_rn"),
+            "_se_lo": F.max_by(F.struct(*order), "_se_rn"), "_se_lork": F.max("_se_rk")}
+    if label is not None:
+        aggs |= {"_se_first": F.min_by(label, "_se_rn"), "_se_last": F.max_by(label, "_se_rn"),
+                 "_se_nind": F.max("_se_lr"), "_se_lr0": F.min_by("_se_lr", "_se_rn"), "_se_lmmax": F.max("_se_mk"),
+                 "_se_lg": F.max("_se_rr"), "_se_fr": F.min_by(F.struct(*run_order), "_se_rn"),
+                 "_se_lrv": F.max_by(F.struct(*run_order), "_se_rn")}
+    t = x.groupBy(*by, _CHUNK).agg(*[v.alias(k) for k, v in aggs.items()])
+    t = t.withColumns({"_se_off": F.coalesce(F.sum("_se_n").over(prev), zero).cast("long"),
+                       "_se_goes_on": F.col("_se_fo").eqNullSafe(F.lag("_se_lo").over(wc))})
+    # start of the last peer group, where it lies in the chunk
+    t = t.withColumn("_se_gs", F.when(F.col("_se_lork") > 1, F.col("_se_off") + F.col("_se_lork") - 1)
+                     .when(~F.col("_se_goes_on"), F.col("_se_off")))
+    t = t.withColumn("_se_peer0", F.when(F.col("_se_goes_on"), F.last("_se_gs", ignorenulls=True).over(prev))
+                     .otherwise(F.col("_se_off")))
+    if label is None:
+        return t.select(*by, _CHUNK, "_se_off", "_se_peer0")
+    border = F.coalesce((F.col("_se_first") != F.lag("_se_last").over(wc)).cast("long"), zero)
+    t = t.withColumns({"_se_b": border, "_se_link": F.col("_se_fr").eqNullSafe(F.lag("_se_lrv").over(wc))})
+    t = t.withColumn("_se_E", F.coalesce(F.sum(F.col("_se_nind") + F.col("_se_b")).over(prev), zero) + F.col("_se_b"))
+    # stretches of chunks that one peer group fills: a chunk goes on with the stretch of
+    # the chunk before if that is wholly of the group
+    broken = ~(F.col("_se_link") & (F.lag("_se_lg").over(wc) == 1))
+    t = t.withColumn("_se_seg", F.sum(F.coalesce(broken, F.lit(True)).cast("long")).over(
+        wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ahead = Window.partitionBy(*by, "_se_seg").orderBy(_CHUNK).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    t = t.withColumn("_se_ahead", F.sum(F.col("_se_b") + F.col("_se_lr0")).over(ahead))
+    t = t.withColumn("_se_tail", F.coalesce(F.when(F.lead("_se_link").over(wc), F.lead("_se_ahead").over(wc)), zero))
+    # event ids of the first and last row tell where a run goes on
+    only = F.when(F.col("_se_lg") == 1, F.col("_se_tail")).otherwise(zero)
+    t = t.withColumns({"_se_E0": F.col("_se_E") + F.col("_se_lr0") + only,
+                       "_se_E1": F.col("_se_E") + F.col("_se_nind") + F.col("_se_tail")})
+    t = t.withColumn("_se_fnew", F.coalesce(F.col("_se_E0") != F.lag("_se_E1").over(wc), F.lit(True)))
+    t = t.withColumn("_se_cls", F.when((F.col("_se_tail") > 0) & (F.col("_se_lg") > 1), F.col("_se_off") + F.col("_se_lg") - 1)
+                     .otherwise(F.coalesce(F.col("_se_off") + F.col("_se_lmmax") - 1, F.when(F.col("_se_fnew"), F.col("_se_off")))))
+    return t.select(*by, _CHUNK, "_se_off", "_se_peer0", "_se_E", "_se_lg", "_se_tail", "_se_fnew",
+                    F.last("_se_cls", ignorenulls=True).over(prev).alias("_se_carry"))
+
+
 def _index_whole(df: DataFrame, by, order, label, run_order, event_col, keep_internal,
                  unique_order: bool = False) -> DataFrame:
     """``index`` when every entity is one chunk (no entity above the chunk

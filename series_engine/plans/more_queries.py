@@ -50,6 +50,36 @@ def q_event_runs_null_keys(spark, sf):
     return r.select("event_id", "user_id", "event_type", "run")
 
 
+_MOMENT = """m AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id,
+  CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-06-01' ELSE ts END AS ts, event_type FROM events)"""
+
+
+def _moment(spark, sf):
+    """A third of all rows at one moment of one user."""
+    ev = table(spark, sf, "events")
+    third = F.col("event_id") % 3 == 0
+    return ev.select("event_id", F.when(third, F.lit(1).cast(ev.schema["user_id"].dataType)).otherwise(F.col("user_id")).alias("user_id"),
+                     F.when(third, F.lit("2024-06-01").cast(ev.schema["ts"].dataType)).otherwise(F.col("ts")).alias("ts"), "event_type")
+
+
+@query("event_runs_moment", f"""WITH {_MOMENT}, i AS (SELECT *, coalesce(CAST(event_type <> lag(event_type)
+    OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT), 0) AS ind FROM m)
+SELECT event_id, user_id, event_type, CAST(sum(ind) OVER (PARTITION BY user_id ORDER BY ts
+  RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM i""")
+def q_event_runs_moment(spark, sf):
+    """Runs over a RANGE frame where one moment of one user holds a third of all
+    rows: chunks of 500 rows part it."""
+    r = events.separate(_moment(spark, sf), B1_LABEL, "run", B1_BY, B1_ORDER, run_order=["ts"], chunk_width="rows:500", unique_order=True)
+    return r.select("event_id", "user_id", "event_type", "run")
+
+
+@query("stride_moment", f"""WITH {_MOMENT}, r AS (SELECT event_id, user_id,
+  CAST(rank() OVER (PARTITION BY user_id ORDER BY ts) AS INTEGER) AS rank FROM m) SELECT * FROM r WHERE rank % 4 = 0""")
+def q_stride_moment(spark, sf):
+    """Every fourth rank, peers sharing one, over the same rows."""
+    return features.stride(_moment(spark, sf), 4, B1_BY, ["ts"], chunk_width="rows:500").select("event_id", "user_id", "rank")
+
+
 _B2N = """n AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, l_returnflag,
   CASE WHEN l_suppkey % 5 <> 0 THEN l_suppkey END AS l_suppkey, nullif(l_linestatus, 'O') AS l_linestatus FROM lineitem)"""
 
