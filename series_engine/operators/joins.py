@@ -46,7 +46,7 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     ``small`` is computed once; when it has at most ``max_rows`` rows it is
     broadcast as a local relation, otherwise a shuffle join is left to the
     planner (AQE splits skewed partitions there).  ``on`` is a list of column
-    names or ``f(big, small) -> Column``.
+    names or ``f(big, small)`` giving a Column or a list of them.
     """
     local = materialize_small(small, max_rows)
     side = F.broadcast(local) if local is not None else small

@@ -256,6 +256,26 @@ def _chunk_table(x: DataFrame, by, order, run_order, label) -> DataFrame:
                     F.last("_se_cls", ignorenulls=True).over(prev).alias("_se_carry"))
 
 
+def counted(df: DataFrame, by, order, flag: str, out: str, target_rows: int | None = None) -> DataFrame:
+    """Adds ``out``: how many earlier rows of the entity have ``flag`` set, in
+    ``order`` (rows equal in it follow each other by content).  Entities above
+    the chunk target are cut like in ``index``."""
+    by, order = _cols(by), _cols(order)
+    tied = df.withColumn("_se_tb", row_tiebreak(df))
+    one = F.when(F.col(flag), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    base = ranged(tied, by, [*order, "_se_tb"], target_rows)
+    if base is None:
+        w = Window.partitionBy(*by).orderBy(*order, "_se_tb").rowsBetween(Window.unboundedPreceding, -1)
+        return tied.withColumn(out, F.coalesce(F.sum(one).over(w), F.lit(0))).drop("_se_tb")
+    x, keys = _plain_keys(base, by)
+    w = Window.partitionBy(*keys, _CHUNK).orderBy(*order, "_se_tb").rowsBetween(Window.unboundedPreceding, -1)
+    prev = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    table = x.groupBy(*keys, _CHUNK).agg(F.sum(one).alias("_se_n"))
+    table = table.select(*keys, _CHUNK, F.coalesce(F.sum("_se_n").over(prev), F.lit(0)).alias("_se_off"))
+    x = x.withColumn("_se_in", F.coalesce(F.sum(one).over(w), F.lit(0))).join(table, [*keys, _CHUNK])
+    return x.select(*df.columns, (F.col("_se_off") + F.col("_se_in")).alias(out))
+
+
 def _index_whole(df: DataFrame, by, order, label, run_order, event_col, keep_internal,
                  unique_order: bool = False) -> DataFrame:
     """``index`` when every entity is one chunk (no entity above the chunk

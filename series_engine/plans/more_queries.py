@@ -120,6 +120,22 @@ def q_range_extract_dates(spark, sf):
     return r.select("anchor_l_orderkey", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "day")
 
 
+MANY_SECONDS = 3600
+
+
+@query("range_extract_many", f"""WITH m AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id FROM events)
+SELECT a.event_id AS anchor_event_id, m.event_id, m.user_id FROM m JOIN m a ON m.user_id = a.user_id
+  AND m.ts BETWEEN a.ts - INTERVAL {MANY_SECONDS // 2} SECOND AND a.ts + INTERVAL {MANY_SECONDS // 2} SECOND WHERE a.event_id % 2 = 0""")
+def q_range_extract_many(spark, sf):
+    """Every second row an anchor, beyond the broadcast bound, a third of all rows
+    at one user."""
+    ev = table(spark, sf, "events")
+    m = ev.select("event_id", "ts", F.when(F.col("event_id") % 3 == 0, F.lit(1).cast(ev.schema["user_id"].dataType))
+                  .otherwise(F.col("user_id")).alias("user_id"))
+    r = sampling.ranges(m, m.where("event_id % 2 = 0"), "user_id", "ts", MANY_SECONDS, max_broadcast_rows=1000)
+    return r.select("anchor_event_id", "event_id", "user_id")
+
+
 @query("full_outer_profile", """WITH j AS (SELECT e.event_id, e.user_id, e.event_type, c.c_name, c.c_nationkey, c.c_acctbal
   FROM events e FULL OUTER JOIN customer c ON e.user_id = c.c_custkey)
 SELECT count(*) - count(event_id) AS event_id, count(*) - count(user_id) AS user_id,
