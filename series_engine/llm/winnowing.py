@@ -156,26 +156,26 @@ _ANY = -(1 << 63)
 
 def _order_key(key: str, text: Column) -> Column:
     k = F.col(f"`{key}`").cast("long")
-    return F.struct(k.isNull().cast("int").alias("n"), F.coalesce(F.bitwise_not(k), F.lit(0).cast("long")).alias("d"),
+    return F.struct(k.isNull().cast("int").cast("long").alias("n"), F.coalesce(F.bitwise_not(k), F.lit(0).cast("long")).alias("d"),
                     F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"),
                     F.xxhash64(F.monotonically_increasing_id()).alias("s"))
 
 
-def _borders(keys: DataFrame, blocks: int) -> Column | None:
-    """The first key of every block of the order, as an array: one short entry
-    for each of ``blocks`` blocks (None for an empty table).  Identical rows part
-    only where one block cannot hold them: other borders leave their number out."""
+def _borders(keys: DataFrame, blocks: int) -> tuple[dict[str, Column], int]:
+    """The first key of every block of the order, an array for each part of the
+    key and their length: one short entry for each of ``blocks`` blocks.  Identical
+    rows part only where one block cannot hold them: other borders leave their
+    number out.  The arrays are constants of the plan, so a row pays for the few
+    entries it looks up, not for their number."""
     dealt = keys.select("_o.*").repartitionByRange(blocks, *_KEY).withColumn("_p", F.spark_partition_id())
     first = [r.b.asDict() for r in dealt.groupBy("_p").agg(F.min(F.struct(*_KEY)).alias("b")).orderBy("b").collect()]
-    if not first:
-        return None
     for b, before in zip(first[:0:-1], first[-2::-1]):
         if any(b[c] != before[c] for c in _KEY[:-1]):
             b["s"] = _ANY
+    if not first:
+        return {c: F.array().cast("array<bigint>") for c in _KEY}, 0
     first[0]["s"] = _ANY
-    listed = [F.split(F.lit(",".join(str(b[c]) for b in first)), ",").cast("array<bigint>") for c in _KEY]
-    return F.transform(F.arrays_zip(*[x.alias(c) for x, c in zip(listed, _KEY)]),
-                       lambda b: F.struct(b["n"].cast("int").alias("n"), *[b[c].alias(c) for c in _KEY[1:]]))
+    return {c: F.split(F.lit(",".join(str(b[c]) for b in first)), ",").cast("array<bigint>") for c in _KEY}, len(first)
 
 
 def with_next(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "text", payload: Column | None = None,
@@ -185,31 +185,28 @@ def with_next(docs: DataFrame, row: Column, key: str = "doc_id", text: str = "te
     order of ``key``."""
     blocks = blocks or 4 * parallelism(docs)
     t = text_or_empty(F.col(f"`{text}`"))
-    borders = _borders(docs.select(_order_key(key, t).alias("_o")), blocks)
-    if borders is None:
-        borders = F.array().cast("array<struct<n:int,d:bigint,k1:bigint,k2:bigint,s:bigint>>")
+    borders, n = _borders(docs.select(_order_key(key, t).alias("_o")), blocks)
     rows = docs.select(_order_key(key, t).alias("_o"), row.alias("row"), (payload if payload is not None else t).alias("own"))
 
-    def block_of(bs: Column) -> Column:
-        """Number of the last border not above the row, by halving."""
-        start = F.struct(F.lit(0).alias("lo"), F.size(bs).alias("hi"))
-        steps = F.array_repeat(F.lit(0), max(1, blocks.bit_length()))
+    def border(at: Column) -> Column:
+        return F.struct(*[F.get(borders[c], at).alias(c) for c in _KEY])
 
-        def halve(s, _):
-            mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-            below = F.get(bs, mid) <= F.col("_o")
-            return F.when(s["hi"] - s["lo"] <= 1, s).otherwise(F.struct(
-                F.when(below, mid).otherwise(s["lo"]).alias("lo"), F.when(below, s["hi"]).otherwise(mid).alias("hi")))
-        return F.aggregate(steps, start, halve, lambda s: F.struct(
-            s["lo"].alias("block"), starts(F.get(bs, s["lo"])).alias("first"), F.size(bs).alias("n")))
+    def halve(s: Column, _) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        step = let(mid, lambda m: F.when(border(m) <= F.col("_o"), F.struct(m.alias("lo"), s["hi"].alias("hi")))
+                   .otherwise(F.struct(s["lo"].alias("lo"), m.alias("hi"))))
+        return F.when(s["hi"] - s["lo"] <= 1, s).otherwise(step)
 
-    def starts(border: Column) -> Column:
+    def starts(b: Column) -> Column:
         same = F.lit(True)
         for c in _KEY[:-1]:
-            same = same & (border[c] == F.col(f"_o.{c}"))
-        return same & ((border["s"] == F.lit(_ANY)) | (border["s"] == F.col("_o.s")))
+            same = same & (b[c] == F.col(f"_o.{c}"))
+        return same & ((b["s"] == F.lit(_ANY)) | (b["s"] == F.col("_o.s")))
 
-    rows = rows.withColumn("_b", block_of(borders))
+    # the last border not above the row, by halving
+    block = F.aggregate(F.array_repeat(F.lit(0), n.bit_length()), F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi")), halve,
+                        lambda s: F.struct(s["lo"].alias("block"), starts(border(s["lo"])).alias("first"), F.lit(n).alias("n")))
+    rows = rows.withColumn("_b", block)
     copy = F.struct(F.pmod(F.col("_b.block") - 1, F.col("_b.n")).alias("block"), F.lit(1).alias("copy"))
     own = F.struct(F.col("_b.block").alias("block"), F.lit(0).alias("copy"))
     rows = rows.withColumn("_to", F.explode(F.when(F.col("_b.first"), F.array(own, copy)).otherwise(F.array(own))))
