@@ -160,6 +160,17 @@ def q_seeded_sample_rows(spark, sf):
     return s.select("event_id", "user_id", "event_type", "value")
 
 
+MANY_N = 3000
+
+
+@query("seeded_sample_many", f"""SELECT event_id, user_id, event_type, value FROM events
+ORDER BY md5('{SAMPLE_SEED}|' || event_id), event_id LIMIT {MANY_N}""")
+def q_seeded_sample_many(spark, sf):
+    """A sample of more rows than one task may merge: a hash threshold and a filter."""
+    s = sampling.anchors(table(spark, sf, "events"), MANY_N, seed=SAMPLE_SEED, key="event_id", merged_rows=100)
+    return s.select("event_id", "user_id", "event_type", "value")
+
+
 # --- features at the training width ------------------------------------------------------
 
 WIDE_N, WIDE_P, WIDE_STEP = 100, 5, 20
