@@ -58,6 +58,19 @@ def test_workflow(spark):
                       options={"path": f"{base}/messages"}, trigger={"availableNow": True},
                       source_schema="key string, value string")
     q2.awaitTermination()
+    # the same with runs and batches that count once, and series across batches
+    from series_engine.sinks import CommitLog, stream_path
+    from series_engine.streaming import read_rows
+    for _ in range(2):
+        jobs.sample(rows, f"{base}/published", n=3, seed=1, width=6 * 3600 * 1000, run="r1")
+        jobs.evaluate(spark, test_p, f"{base}/model", f"{base}/metrics-once", run="r1", once=True)
+    assert spark.read.parquet(stream_path(f"{base}/published")).count() == picked.count()
+    assert CommitLog(spark, f"{base}/metrics-once").read("metrics").count() == len(metrics)
+    q3 = jobs.consume(spark, f"{base}/model", f"{base}/across", "", fmt="parquet", options={"path": f"{base}/messages"},
+                      trigger={"availableNow": True}, source_schema="key string, value string", across_batches=True)
+    q3.awaitTermination()
+    across = read_rows(spark, f"{base}/across", "predictions")
+    assert across.columns == ["userId", "timestamp", "predicted_action"]
     outs = glob.glob(f"{base}/predictions/pred_batch_*")
     assert outs
     pred = spark.read.option("header", True).csv(f"{base}/predictions/pred_batch_*")
