@@ -117,3 +117,15 @@ def q_metrics_once(spark, sf):
         writers.append_metrics_once(m, path, run, f"models/{run}")
     rows = commits.CommitLog(spark, path).read("metrics").where("metric = 'accuracy'")
     return rows.select("run", "metric", round6("value").alias("value"))
+
+
+@query("sized_partition_update", """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag,
+  CASE WHEN l_returnflag = 'R' THEN l_extendedprice + 1 ELSE l_extendedprice END AS price FROM lineitem""")
+def q_sized_partition_update(spark, sf):
+    """The table in folders with files of a byte target, then one folder written anew."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
+                                             F.col("l_extendedprice").cast("double").alias("price"))
+    path = scratch_path(spark, "sized")
+    writers.write_sized(li, path, "l_returnflag", order=["l_orderkey", "l_linenumber", "l_partkey"], target_bytes=256 << 10)
+    writers.write_sized(li.where("l_returnflag = 'R'").withColumn("price", F.col("price") + 1), path, "l_returnflag", target_bytes=256 << 10)
+    return readers.read_partitioned(spark, path, schema=li.schema)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators import sequence
+from ..operators.joins import join_small
+from ..session import scratch_path, write_table
 from .commits import append_once
 
 
@@ -25,6 +28,68 @@ def write_partitioned(df: DataFrame, path: str, cols, order=None, num_partitions
        .write.partitionBy(*cols).mode(mode).parquet(path))
 
 
+#: Rows whose files tell how many bytes a row takes.
+SIZED_SAMPLE_ROWS = 100_000
+
+
+def _bytes_per_row(df: DataFrame, rows: int) -> float:
+    """Bytes of a row in Parquet, from a sample of about ``SIZED_SAMPLE_ROWS``."""
+    spark = df.sparkSession
+    share = min(1.0, SIZED_SAMPLE_ROWS / max(rows, 1))
+    path = scratch_path(spark, "sized-sample")
+    (df if share == 1.0 else df.sample(share, seed=1)).coalesce(1).write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return max(size / max(spark.read.parquet(path).count(), 1), 1.0)
+
+
+def write_sized(df: DataFrame, path: str, cols, order=None, target_bytes: int = 128 << 20, touched_only: bool = True) -> None:
+    """Hive-partitioned Parquet by ``cols`` with files of about ``target_bytes``.
+
+    Rows are counted per folder; a folder of more rows than a file holds is cut
+    into equal files (by position in ``order`` if one is given, so that files
+    hold ranges of it whatever its ties, else evenly by where rows were read),
+    smaller folders share tasks, and every task writes one file per folder: files
+    lie between half and once the target, whatever the skew, but for folders that
+    are smaller.  ``touched_only`` replaces the folders that ``df`` has rows for
+    and leaves the others' files as they are (a rerun replaces what it wrote);
+    otherwise the whole of ``path`` is replaced."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    order = [order] if isinstance(order, str) else list(order or [])
+    # one row per folder
+    per = write_table(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_se_n")), "sized-folders")
+    total = per.agg(F.coalesce(F.sum("_se_n"), F.lit(0))).first()[0]
+    mode = df.write.partitionBy(*cols).mode("overwrite").option("partitionOverwriteMode", "dynamic" if touched_only else "static")
+    if not total:
+        mode.parquet(path)
+        return
+    held = max(1, int(target_bytes / _bytes_per_row(df.drop(*cols), total)))
+    files = F.ceil(F.col("_se_n") / held)
+    # tasks: one per file of a large folder, small folders by running sum
+    large = per.where(F.col("_se_n") > held).withColumn("_se_files", files)
+    small = per.where(F.col("_se_n") <= held).withColumn("_se_files", F.lit(1).cast("long"))
+    before = Window.orderBy(F.desc("_se_n"), *cols).rowsBetween(Window.unboundedPreceding, -1)
+    large = large.withColumn("_se_task", F.coalesce(F.sum("_se_files").over(before), F.lit(0)))
+    first = large.agg(F.coalesce(F.sum("_se_files"), F.lit(0))).first()[0]
+    small = small.withColumn("_se_task", F.lit(first) + F.floor(F.coalesce(F.sum("_se_n").over(before), F.lit(0)) / held))
+    plan = write_table(large.unionByName(small), "sized-plan")
+    tasks = plan.agg(F.max(F.col("_se_task") + F.col("_se_files"))).first()[0]
+    if order:
+        rows = sequence.index(df, cols, order).withColumnRenamed(sequence.POS, "_se_p").drop(sequence.PEER)
+    else:
+        rows = df.withColumn("_se_p", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 40)))
+    side = plan.select(*[F.col(c).alias(f"_se_c_{c}") for c in cols], "_se_n", "_se_files", "_se_task")
+    same = lambda big, s: [big[c].eqNullSafe(s[f"_se_c_{c}"]) for c in cols]
+    rows = join_small(rows, side, same)
+    # position p of n goes to file p * files // n (evenly dealt numbers: of 2^40)
+    at = F.col("_se_p") * F.col("_se_files") / (F.col("_se_n") if order else F.lit(1 << 40))
+    dealt = rows.withColumn("_se_to", (F.col("_se_task") + F.floor(at)).cast("int")).repartitionById(int(tasks), F.col("_se_to"))
+    dealt = dealt.sortWithinPartitions(*cols, *(["_se_p"] if order else [])).select(*df.columns)
+    (dealt.write.partitionBy(*cols).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if touched_only else "static").parquet(path))
+
+
 def append_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
