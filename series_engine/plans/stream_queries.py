@@ -129,3 +129,28 @@ def q_sized_partition_update(spark, sf):
     writers.write_sized(li, path, "l_returnflag", order=["l_orderkey", "l_linenumber", "l_partkey"], target_bytes=256 << 10)
     writers.write_sized(li.where("l_returnflag = 'R'").withColumn("price", F.col("price") + 1), path, "l_returnflag", target_bytes=256 << 10)
     return readers.read_partitioned(spark, path, schema=li.schema)
+
+
+_PROFILED = ["l_quantity", "l_discount", "l_shipdate", "l_linestatus"]
+
+
+@query("profile_after_appends", f"""WITH n AS (SELECT CAST(nullif(l_quantity, 7) AS DOUBLE) AS l_quantity, CAST(l_discount AS DOUBLE) AS l_discount,
+  CAST(l_shipdate AS DATE) AS l_shipdate, l_linestatus FROM lineitem)
+{" UNION ALL ".join(f'''SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null, {
+    f"min({c}) AS low, max({c}) AS high, CAST(NULL AS VARCHAR) AS low_text, CAST(NULL AS VARCHAR) AS high_text" if c in ("l_quantity", "l_discount")
+    else f"CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, CAST(min({c}) AS VARCHAR) AS low_text, CAST(max({c}) AS VARCHAR) AS high_text"
+} FROM n''' for c in _PROFILED)}""")
+def q_profile_after_appends(spark, sf):
+    """Exact part of the profile of a table that came in three appends, each
+    retried; every append reads its own rows alone."""
+    from ..operators import profile_state
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.nullif(F.col("l_quantity"), F.lit(7)).cast("double").alias("l_quantity"), F.col("l_discount").cast("double").alias("l_discount"),
+        F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_linestatus")
+    log = profile_state.ProfileLog(spark, scratch_path(spark, "profile"), _PROFILED, ["l_linestatus"])
+    for part in range(3):
+        for _ in range(2):
+            log.add(li.where(F.col("l_orderkey") % 3 == part), part)
+        if part == 1:
+            log.compact()
+    return profile_state.report(log.state()).select("column", "n_rows", "n_null", "low", "high", "low_text", "high_text")
