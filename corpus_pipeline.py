@@ -22,10 +22,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without its lines of recurring templates."""
-    out = line_dedup.line_dedup(docs).select("n_dropped", *docs.columns)
-    chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return out.withColumn("n_chars", chars).select(*docs.columns)
+    """Every document, without its lines of recurring templates (NULL text stays
+    NULL; extra columns, whatever their names, stay; an empty table stays empty)."""
+    chars = F.when(F.col("n_dropped") > 0, F.length("kept")).otherwise(line_dedup.column(docs, "n_chars")).cast("long")
+    return line_dedup.cleaned(docs).select(*[chars.alias(c) if c == "n_chars" else line_dedup.column(docs, c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,18 +127,33 @@ def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, dep
     return near.join(small(cut(dropped, "line-dropped")), "_form").select("_k1", "_k2", "_at")
 
 
-def line_dedup(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3) -> DataFrame:
-    """The documents without the lines of recurring templates; adds
-    ``n_lines`` (lines with a word) and ``n_dropped``."""
+def cleaned(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3) -> DataFrame:
+    """``row, kept, n_lines, n_dropped``: every document's other columns as a struct
+    (``c0, c1, ...`` in their order, so their names clash with nothing), its text
+    without the lines of recurring templates, its lines with a word, and how many
+    of them went."""
     drops = (recurring_lines(docs, text, min_docs, depth).distinct()
              .groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list("_at")).alias("_drop")))
     drops = small(cut(drops, "line-drops"))
     col = F.col(f"`{text}`")
     lines = F.split(F.col("_t"), "\n", -1)
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], col.alias("_t"), *text_key(col))
-    out = keyed.join(drops, ["_k1", "_k2"], "left")
+    row = F.struct(F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text])
+    out = docs.select(row.alias("row"), col.alias("_t"), *text_key(col)).join(drops, ["_k1", "_k2"], "left")
     rest = F.when(F.col("_drop").isNull(), F.col("_t")).otherwise(F.array_join(
         F.filter(lines, lambda x, i: ~F.array_contains(F.col("_drop"), i)), "\n"))
-    return out.select(*[rest.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
+    return out.select("row", rest.alias("kept"),
                       F.coalesce(F.size(F.filter(lines, has_word)), F.lit(0)).cast("long").alias("n_lines"),
                       F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"))
+
+
+def column(docs: DataFrame, name: str, text: str = "text") -> Column:
+    """A column of ``docs`` in the rows of ``cleaned``, with its name."""
+    return (F.col("kept") if name == text else F.col(f"row.c{docs.columns.index(name)}")).alias(name)
+
+
+def line_dedup(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3) -> DataFrame:
+    """The documents without the lines of recurring templates; adds
+    ``n_lines`` (lines with a word) and ``n_dropped``, in place of input columns of
+    these names."""
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return cleaned(docs, text, min_docs, depth).select(*[column(docs, c, text) for c in own], "n_lines", "n_dropped")

@@ -39,7 +39,7 @@ def test_equal_brute_force(spark):
         rows.append((100 + i, f"own line number words {'abcdefghijkl'[i]}\nPage {i} of 20\nshared   footer line\n\nlast {i}x {i}y", "en", "s", 0))
         rows.append((200 + i, f"visit us at shop{'xyz'[i % 3]} today please\nunique{i} words{i * 7} only{i}\nthe cat sat on {'abcdefghijkl'[i]} mat", "en", "s", 0))
     rows += [(300, "lonely copy line here", "en", "s", 0)] * 9
-    got = line_dedup.line_dedup(clash(docs(spark, rows), "_k1x", "n_linesx"), min_docs=4).collect()
+    got = line_dedup.line_dedup(clash(docs(spark, rows), "_k1", "_k2", "_t", "_drop", "row", "kept", "n_lines", "n_dropped"), min_docs=4).collect()
     texts = [r[1] for r in rows]
     drop = brute(texts, 4)
     assert len(drop) > 20
@@ -51,7 +51,7 @@ def test_equal_brute_force(spark):
     by = {r.doc_id: r for r in got}
     assert by[300].n_dropped == 0  # copies of one text are one document
     assert by[1].text is None and by[1].n_lines == 0 and by[100].n_dropped > 0
-    assert set(got[0].asDict()) >= {"doc_id", "text", "lang", "source", "n_chars", "_k1x"}
+    assert set(got[0].asDict()) >= {"doc_id", "text", "lang", "source", "n_chars", "_k1", "_k2", "_t", "_drop", "row", "kept"}
 
 
 def test_empty(spark):
@@ -93,3 +93,12 @@ def test_unique_lines_with_a_common_opening_stay(spark):
     want = {r[0]: r[1] for r in rows}
     assert {r.doc_id: r.text for r in got if r.doc_id < 500} == {k: v for k, v in want.items() if k < 500}
     assert {r.doc_id: r.text for r in got if r.doc_id >= 500} == {k: v for k, v in want.items() if k >= 500}
+
+
+def test_clashing_names_in_the_stage(spark):
+    import corpus_pipeline
+    names = ("_t", "_k1", "_k2", "_drop", "n_lines", "n_dropped", "row", "kept", "c0")
+    df = clash(docs(spark, [(i, f"own words of text {i} and no more\nthe very same footer line of all", "en", "s", 1) for i in range(12)] + AWKWARD), *names)
+    out = corpus_pipeline.drop_lines(spark, df, "")
+    assert out.columns == df.columns and out.count() == df.count()
+    assert {tuple(r) for r in out.select(*names).distinct().collect()} == {("x",) * len(names)}
