@@ -6,18 +6,23 @@ leaf of the tree a token position is constant where enough of the leaf's
 documents (``min_docs`` and a ``share`` of them) agree on the token and variable
 elsewhere; the resulting template recurs when enough documents hold a line of it
 and at least half of its tokens, and of its words beyond the leading ones that
-the leaf fixes, are constant.  A line form that enough documents hold as it is
-recurs whatever else lies in its leaf.  Lines of recurring templates are dropped.
+the leaf fixes, are constant.  A line form at least half of whose tokens are no
+fields recurs whatever else lies in its leaf when ``min_docs`` documents hold it
+as it is, or ``min_long`` if it has ``long_words`` tokens or more.  Lines of
+recurring templates are dropped.
 
 Documents are counted as families of texts: copies and near-copies of one text
 are one witness, so what only they share is no boilerplate and stays in all of
-them (whole copies are the business of a document dedup).  Texts that share
-half of their three-word shingles are one family: every text keeps its smallest
-shingle hashes, texts that meet in one of the first ``_KEYS`` of them are
-compared with the bucket's smallest text, and the components of the confirmed
-links are the families.  Counting works on (line form, text) pairs and on the
-distinct forms of recurring leaves, so a line that every document holds is
-summed before it is shuffled.  Everything is DataFrame code.
+them (whole copies are the business of a document dedup).  Two texts are linked
+if they share half of their three-word shingles (taken inside lines) *without
+their longest common line*: a line does not make copies of the texts that hold
+it.  Every text of a candidate line enters the buckets of its ``_KEYS`` smallest
+shingle hashes, is compared with the smallest text of each on the full sets, and
+the components of the confirmed links are the families.
+
+Lines are parsed once and their hashes written; counting works on (line form,
+text) pairs and on the distinct forms of recurring leaves, so a line that every
+document holds is summed before it is shuffled.  Everything is DataFrame code.
 
 Defined results: NULL text stays NULL with 0 lines; a line without words is
 never dropped; repeated rows and NULL or repeated ``doc_id`` are carried
@@ -36,9 +41,15 @@ FIELD = "<*>"
 #: A whole token with a digit or @: the possessive run keeps this linear.
 _FIELD_TOKEN = f"(?<![^{BLANK_CLASS}])[^{BLANK_CLASS}0-9@]*+[0-9@][^{BLANK_CLASS}]*+"
 
+#: The rest of a line from its first word on: one match in every line with a word.
+_WORDED_LINE = f"[^{BLANK_CLASS}][^\\n]*+"
+
 #: Smallest shingle hashes that a text keeps, and how many of them are bucket keys.
 _SKETCH, _KEYS = 64, 16
 
+#: Pairs of one pivot that a task compares; low bits of a line's code that hold its shingles.
+_PIVOT_ROWS, _LEN_BITS = 500, 20
+
 
 def tokens(line: Column) -> Column:
     """Tokens of a line, variable fields generalised."""
@@ -51,12 +62,12 @@ def text_key(text: Column) -> list[Column]:
 
 
 def parsed(docs: DataFrame, text: str, depth: int) -> DataFrame:
-    """One row per line with a word: text key, line number, leaf, form, tokens."""
+    """One row per line with a word: text key, line number, leaf, form, number of tokens, tokens."""
     t = docs.select(F.col(f"`{text}`").alias("_t")).where(F.col("_t").isNotNull())
     lines = t.select(*text_key(F.col("_t")), F.posexplode(F.split("_t", "\n", -1)).alias("_at", "_line"))
     toks = lines.where(has_word(F.col("_line"))).select("_k1", "_k2", "_at", tokens(F.col("_line")).alias("_toks"))
     return toks.select("_k1", "_k2", "_at", F.xxhash64(F.size("_toks"), F.slice("_toks", 1, depth)).alias("_leaf"),
-                       F.xxhash64("_toks").alias("_form"), "_toks")
+                       F.xxhash64("_toks").alias("_form"), F.size("_toks").alias("_len"), F.array_join("_toks", " ").alias("_s"))
 
 
 def shingles(text: Column) -> Column:
@@ -85,21 +96,66 @@ def near_pairs(docs: DataFrame, text: str, keys: DataFrame, similarity: float) -
     return least.where(both >= similarity * F.size("_u")).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
 
+def line_shingles(line: Column) -> Column:
+    """Distinct hashes of a line's three-word shingles (the last two are short)."""
+    return F.array_distinct(let(words(line), lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))))
+
+
+def line_code(line: Column, shingles: Column) -> Column:
+    """A line in one number: 44 bits of its hash above its number of shingles."""
+    most = (1 << _LEN_BITS) - 1
+    return F.xxhash64(line).bitwiseAND(F.lit(~most)).bitwiseOR(F.least(F.size(shingles), F.lit(most)).cast("long"))
+
+
+def links(docs: DataFrame, text: str, keys: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: texts of ``keys`` and the smaller ones of their buckets that they
+    are near-copies of, their longest common line left out."""
+    t = docs.select(F.col(f"`{text}`").alias("_t")).where(has_word(F.col("_t"))).withColumn("_k1", F.xxhash64("_t"))
+    t = t.join(small(keys.select("_k1").distinct()), "_k1", "left_semi")
+    lines = F.filter(F.split("_t", "\n", -1), has_word)
+    per = F.transform(lines, lambda x: let(line_shingles(x), lambda s: F.struct(s.alias("s"), line_code(x, s).alias("c"))))
+    sets = t.select("_k1", per.alias("_per")).select(
+        "_k1", F.sort_array(F.array_distinct(F.flatten("_per.s"))).alias("_set"), F.array_distinct("_per.c").alias("_lines"))
+    sets = cut(sets, "line-sets")
+    keyed = sets.select("_k1", F.explode(F.slice("_set", 1, _KEYS)).alias("_h")).distinct()
+    pivots = keyed.groupBy("_h").agg(F.min("_k1").alias("_b"), F.max("_k1").alias("_m")).where("_b <> _m").select("_h", "_b")
+    pairs = cut(keyed.join(pivots, "_h").where("_k1 <> _b").select(F.col("_k1").alias("_a"), "_b").distinct(), "line-pairs")
+    # a pivot's set is copied for every so many of its pairs, which are dealt among the copies
+    loads = small(cut(pairs.groupBy("_b").agg(F.floor((F.count("*") - 1) / _PIVOT_ROWS).alias("_last")), "line-pivots"))
+    pairs = pairs.join(loads, "_b").withColumn("_salt", F.pmod(F.xxhash64("_a"), F.col("_last") + 1)).drop("_last")
+    pivot_sets = sets.join(loads, sets["_k1"] == loads["_b"]).drop("_k1").dropDuplicates(["_b"])
+    pivot_sets = pivot_sets.select("_b", F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("_salt"),
+                                   F.col("_set").alias("_y"), F.col("_lines").alias("_yl"))
+    own = sets.join(pairs.select(F.col("_a").alias("_k1")).distinct(), "_k1", "left_semi").dropDuplicates(["_k1"])
+    pairs = pairs.join(own.select(F.col("_k1").alias("_a"), F.col("_set").alias("_x"), F.col("_lines").alias("_xl")), "_a")
+    pairs = pairs.join(pivot_sets, ["_b", "_salt"])
+    both, longest = F.size(F.array_intersect("_x", "_y")), F.array_max(F.transform(
+        F.array_intersect("_xl", "_yl"), lambda c: c.bitwiseAND(F.lit((1 << _LEN_BITS) - 1))))
+    seen = pairs.select("_a", "_b", both.alias("_i"), (F.size("_x") + F.size("_y")).alias("_n"), F.coalesce(longest, F.lit(0)).alias("_l"))
+    near = seen.where((F.col("_i") > F.col("_l")) & (F.col("_i") - F.col("_l") >= similarity * (F.col("_n") - F.col("_i") - F.col("_l"))))
+    return near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+
+
 def families(docs: DataFrame, text: str, keys: DataFrame, similarity: float = 0.5) -> DataFrame:
     """``_k1, _family``: the texts of ``keys`` that have near-copies among them."""
-    return components(near_pairs(docs, text, keys, similarity)).withColumnsRenamed({"node": "_k1", "component": "_family"})
+    return components(links(docs, text, keys, similarity)).withColumnsRenamed({"node": "_k1", "component": "_family"})
+
+
+def held_by(rows: DataFrame, unit: str, least: int, name: str) -> DataFrame:
+    """``unit, _all``: what so many different texts hold."""
+    held = rows.select(unit, "_k1", "_k2").distinct().groupBy(unit).agg(F.count("*").alias("_all"))
+    return small(cut(held.where(F.col("_all") >= least), name))
 
 
-def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3, share: float = 0.25) -> DataFrame:
+def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3, share: float = 0.25,
+                    min_long: int = 3, long_words: int = 20) -> DataFrame:
     """``_k1, _k2, _at``: lines of recurring templates, by text and line number."""
-    rows = parsed(docs, text, depth)
-    leaves = (rows.select("_leaf", "_k1", "_k2").distinct()
-              .groupBy("_leaf").agg(F.count("*").alias("_all")).where(F.col("_all") >= min_docs))
-    leaves = small(cut(leaves, "line-leaves"))
-    near = cut(rows.join(leaves.select("_leaf"), "_leaf"), "line-candidates")
+    rows = cut(parsed(docs, text, depth), "line-rows")
+    leaves = held_by(rows, "_leaf", min_docs, "line-leaves")
+    near = cut(rows.join(leaves.select("_leaf"), "_leaf", "left_semi"), "line-candidates")
     # distinct forms of recurring leaves, with the number of texts that hold each
     held = near.select("_form", "_k1", "_k2").distinct().groupBy("_form").agg(F.count("*").alias("_docs"))
-    shape = near.select("_form", "_leaf", F.concat_ws(" ", "_toks").alias("_s")).distinct()
+    shape = near.select("_form", "_leaf", "_s").distinct()
     forms = cut(shape.join(held, "_form"), "line-forms").withColumn("_toks", F.split("_s", " "))
     cells = forms.select("_form", "_leaf", "_docs", F.posexplode("_toks").alias("_pos", "_tok"))
     constant = cells.groupBy("_leaf", "_pos", "_tok").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= min_docs)
@@ -113,18 +169,26 @@ def recurring_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, dep
         F.sum(F.when((F.col("_pos") >= depth) & (F.col("_tok") != FIELD), 1).otherwise(0)).alias("_free"),
         F.sum(F.when(F.col("_tok") != FIELD, 1).otherwise(0)).alias("_fixed"))
     template = cut(template, "line-templates")
-    verbatim = template.where((F.col("_docs") >= min_docs) & (2 * F.col("_fixed") >= F.col("_size")))
+    verbatim = template.where((F.col("_docs") >= min_docs) & (F.col("_size") < long_words) & (2 * F.col("_fixed") >= F.col("_size")))
     template = template.where((2 * F.col("_same") >= F.col("_size")) & (2 * F.col("_agreed") >= F.col("_free")))
     often = template.groupBy("_leaf", "_template").agg(F.sum("_docs").alias("_n")).where(F.col("_n") >= min_docs)
-    # of these, the templates that enough families of texts hold
-    template = template.join(often, ["_leaf", "_template"], "left_semi").select("_form", F.xxhash64("_leaf", "_template").alias("_unit"))
-    template = cut(template.unionAll(verbatim.select("_form", F.xxhash64("_form").alias("_unit"))), "line-units")
-    holders = cut(near.select("_form", "_k1").join(small(template), "_form").select("_unit", "_k1").distinct(), "line-holders")
+    template = template.join(often, ["_leaf", "_template"], "left_semi")
+    # long forms need fewer holders, whatever their leaf
+    long = rows.where(F.col("_len") >= long_words)
+    long = long.join(held_by(long, "_form", min_long, "line-long").select("_form"), "_form", "left_semi")
+    fixed = F.size(F.filter(F.split("_s", " "), lambda x: x != FIELD))
+    long = cut(long.where(2 * fixed >= F.col("_len")), "line-long-rows")
+    # of these, the units that enough families of texts hold
+    form, least = F.xxhash64("_form").alias("_unit"), F.lit(min_docs).alias("_least")
+    units = template.select("_form", F.xxhash64("_leaf", "_template").alias("_unit"), least).unionAll(verbatim.select("_form", form, least))
+    units = cut(units.unionAll(long.select("_form", form, F.lit(min_long).alias("_least")).distinct()), "line-units")
+    lines = near.select("_form", "_k1").unionAll(long.select("_form", "_k1"))
+    holders = cut(lines.join(small(units), "_form").select("_unit", "_least", "_k1").distinct(), "line-holders")
     own = holders.join(small(cut(families(docs, text, holders), "line-families")), "_k1", "left")
-    own = own.select("_unit", F.coalesce("_family", "_k1").alias("_family")).distinct()
-    often = own.groupBy("_unit").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_docs)
-    dropped = template.join(often, "_unit", "left_semi").select("_form").distinct()
-    return near.join(small(cut(dropped, "line-dropped")), "_form").select("_k1", "_k2", "_at")
+    own = own.select("_unit", "_least", F.coalesce("_family", "_k1").alias("_family")).distinct()
+    often = own.groupBy("_unit", "_least").agg(F.count("*").alias("_n")).where("_n >= _least")
+    dropped = units.join(often, ["_unit", "_least"], "left_semi").select("_form").distinct()
+    return rows.join(small(cut(dropped, "line-dropped")), "_form", "left_semi").select("_k1", "_k2", "_at")
 
 
 def cleaned(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int = 3) -> DataFrame:
@@ -142,7 +206,7 @@ def cleaned(docs: DataFrame, text: str = "text", min_docs: int = 10, depth: int
     rest = F.when(F.col("_drop").isNull(), F.col("_t")).otherwise(F.array_join(
         F.filter(lines, lambda x, i: ~F.array_contains(F.col("_drop"), i)), "\n"))
     return out.select("row", rest.alias("kept"),
-                      F.coalesce(F.size(F.filter(lines, has_word)), F.lit(0)).cast("long").alias("n_lines"),
+                      F.coalesce(F.regexp_count("_t", F.lit(_WORDED_LINE)), F.lit(0)).cast("long").alias("n_lines"),
                       F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"))
 
 

@@ -110,49 +110,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
-OP7_SQL = rf"""
-WITH d AS (
-  SELECT row_number() OVER () AS rid, doc_id, text FROM documents
-), lines AS (
-  SELECT rid, text, ln, string_split(text, chr(10))[ln] AS line
-  FROM (SELECT rid, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS ln FROM d WHERE text IS NOT NULL)
-), f AS (
-  SELECT rid, text, ln, list_transform({_WORDS.format(t="line")},
-         lambda x: CASE WHEN regexp_matches(x, '[0-9@]') THEN '<*>' ELSE x END) AS form
-  FROM lines WHERE regexp_matches(line, '[^ 	-
-]')
-), g AS (
-  SELECT *, len(form) AS size, form[1:3] AS lead FROM f
-), leaves AS (
-  SELECT size, lead FROM g GROUP BY size, lead HAVING count(DISTINCT text) >= 10
-), forms AS (
-  SELECT size, lead, form, count(DISTINCT text) AS docs FROM g JOIN leaves USING (size, lead) GROUP BY size, lead, form
-), cells AS (
-  SELECT *, form[pos] AS tok FROM (SELECT *, unnest(generate_series(1, size)) AS pos FROM forms)
-), constant AS (
-  SELECT size, lead, pos, tok FROM cells GROUP BY size, lead, pos, tok HAVING sum(docs) >= 10
-), marked AS (
-  SELECT c.*, CASE WHEN k.tok IS NOT NULL AND c.tok <> '<*>' THEN c.tok ELSE '<*>' END AS kept
-  FROM cells c LEFT JOIN constant k ON c.size = k.size AND c.lead = k.lead AND c.pos = k.pos AND c.tok = k.tok
-), templates AS (
-  SELECT size, lead, form, docs, list(kept ORDER BY pos) AS template FROM marked GROUP BY size, lead, form, docs
-  HAVING 2 * count(*) FILTER (kept <> '<*>') >= size
-), often AS (
-  SELECT size, lead, template FROM templates GROUP BY size, lead, template HAVING sum(docs) >= 10
-), dropped AS (
-  SELECT DISTINCT form FROM templates JOIN often USING (size, lead, template)
-), per AS (
-  SELECT l.rid, count(*) FILTER (f.ln IS NOT NULL) AS n_lines, count(x.form) AS n_dropped,
-         string_agg(CASE WHEN x.form IS NULL THEN l.line END, chr(10) ORDER BY l.ln) AS kept
-  FROM lines l LEFT JOIN f ON l.rid = f.rid AND l.ln = f.ln LEFT JOIN dropped x ON f.form = x.form
-  GROUP BY l.rid
-)
-SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
-       CASE WHEN text IS NOT NULL THEN length(coalesce(kept, ''))::BIGINT END AS n_kept_chars,
-       CASE WHEN text IS NOT NULL THEN md5(coalesce(kept, '')) END AS kept_md5
-FROM d LEFT JOIN per USING (rid)
-"""
-
 QUERIES = {
     "op4_ann": op4_ann,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -167,6 +124,5 @@ QUERIES = {
 } | more_queries.QUERIES
 
 ORACLE = {
-    "op7_line_dedup": OP7_SQL,
     "op5_quality_rules": OP5_SQL,
 } | more_queries.ORACLE

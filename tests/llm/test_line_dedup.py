@@ -5,15 +5,36 @@ from series_engine.llm import line_dedup
 from tests.llm.helpers import AWKWARD, clash, docs
 
 
-def brute(texts, min_docs, depth=3):
-    """Per text: indexes of dropped lines."""
-    blank = r"[\x20\x09-\x0d]+"
+BLANK = re.compile(r"[\x20\x09-\x0d]+")
+
+
+def split(line):
+    return [x for x in BLANK.split(line) if x]
+
+
+def near(a, b, similarity=0.5):
+    """Two texts share enough without their longest common line."""
+    def parts(t):
+        found = {}
+        for line in t.split("\n"):
+            w = split(line)
+            if w:
+                found[line] = {tuple(w[i:i + 3]) for i in range(len(w))}
+        return found
+    x, y = parts(a), parts(b)
+    p, q = set().union(*x.values()), set().union(*y.values())
+    longest = max((len(x[k]) for k in x.keys() & y.keys()), default=0)
+    both, either = len(p & q) - longest, len(p | q) - longest
+    return both > 0 and both >= similarity * either
+
+
+def brute(texts, min_docs, depth=3, share=0.25, min_long=3, long_words=20):
+    """The operator's rules over all pairs of texts: ``(text, line number)`` dropped."""
     parsed = {}
     for t in {x for x in texts if x is not None}:
         for i, line in enumerate(t.split("\n")):
-            w = [x for x in re.split(blank, line) if x]
-            if w:
-                parsed[t, i] = tuple("<*>" if re.search("[0-9@]", x) else x for x in w)
+            if split(line):
+                parsed[t, i] = tuple("<*>" if re.search("[0-9@]", x) else x for x in split(line))
     leaf = lambda f: (len(f), f[:depth])
     leaf_texts, form_texts = defaultdict(set), defaultdict(set)
     for (t, _), f in parsed.items():
@@ -24,12 +45,31 @@ def brute(texts, min_docs, depth=3):
     for f, n in forms.items():
         for p, x in enumerate(f):
             cell[leaf(f), p, x] += n
-    template = {f: tuple(x if x != "<*>" and cell[leaf(f), p, x] >= min_docs else "<*>" for p, x in enumerate(f)) for f in forms}
-    template = {f: x for f, x in template.items() if 2 * sum(y != "<*>" for y in x) >= len(x)}
-    often = Counter()
-    for f, x in template.items():
-        often[leaf(f), x] += forms[f]
-    drop = {f for f, x in template.items() if often[leaf(f), x] >= min_docs}
+    fine = lambda f, p, x: x != "<*>" and cell[leaf(f), p, x] >= max(min_docs, share * len(leaf_texts[leaf(f)]))
+    units = defaultdict(set)  # forms of a template or of a line as it is, with the families it needs
+    for f in forms:
+        kept = tuple(x if fine(f, p, x) else "<*>" for p, x in enumerate(f))
+        same, agreed = sum(x != "<*>" for x in kept), sum(x != "<*>" for x in kept[depth:])
+        if 2 * same >= len(f) and 2 * agreed >= sum(x != "<*>" for x in f[depth:]):
+            units["template", leaf(f), kept, min_docs].add(f)
+    for f, s in form_texts.items():
+        least = min_long if len(f) >= long_words else min_docs
+        if len(s) >= least and 2 * sum(x != "<*>" for x in f) >= len(f):
+            units["line", f, None, least].add(f)
+    units = {u: fs for u, fs in units.items() if u[0] == "line" or sum(forms[f] for f in fs) >= min_docs}
+    holders = {u: set().union(*(form_texts[f] for f in fs)) for u, fs in units.items()}
+    nodes = sorted(set().union(*holders.values())) if holders else []
+    root = {t: t for t in nodes}
+
+    def top(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+    for i, x in enumerate(nodes):
+        for y in nodes[:i]:
+            if top(x) != top(y) and near(x, y):
+                root[top(x)] = top(y)
+    drop = {f for u, fs in units.items() if len({top(t) for t in holders[u]}) >= u[3] for f in fs}
     return {k for k, f in parsed.items() if f in drop}
 
 
@@ -75,7 +115,8 @@ def test_a_family_of_near_copies_is_one_witness(spark):
     apart = [f"{near_copies(1, 1, f'own{a}', 0)[0]}\nshared footer of the site" for a in "abcdefghijkl"]
     rows = [(i, t, "en", "s", 0) for i, t in enumerate(family + apart)]
     got = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, rows)).collect()}
-    assert len(brute(family + apart, 10)) > 50  # by texts the family's lines would go
+    assert max(Counter(x for t in family for x in t.split("\n")).values()) > 3  # as texts they would vouch for long lines
+    assert {t for t, _ in brute(family + apart, 10)} == set(apart)
     assert all(got[i].text == t and got[i].n_dropped == 0 for i, t in enumerate(family))
     assert all(got[i].n_dropped == 1 and "footer" not in got[i].text for i in range(30, 42))
 
@@ -102,3 +143,38 @@ def test_clashing_names_in_the_stage(spark):
     out = corpus_pipeline.drop_lines(spark, df, "")
     assert out.columns == df.columns and out.count() == df.count()
     assert {tuple(r) for r in out.select(*names).distinct().collect()} == {("x",) * len(names)}
+
+
+def apart(tag, n):
+    """A line of ``n`` words that no other text has."""
+    return " ".join(f"{tag}{'abcdefghij'[i // 10 % 10]}{'klmnopqrst'[i % 10]}" for i in range(n))
+
+
+def test_a_footer_does_not_vouch_for_its_own_holders(spark):
+    """Short independent texts that a footer makes alike are no family."""
+    footer = apart("foot", 20)
+    for own in (60, 4):
+        texts = [f"{apart('own' + 'abcdefghij'[i % 10] + 'xy'[i // 10], own)}\n{footer}" for i in range(20)]
+        got = line_dedup.line_dedup(docs(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])).collect()
+        assert sorted(r.text for r in got) == sorted(t.split("\n")[0] for t in texts)
+        assert len(brute(texts, 10)) == 20
+
+
+def test_long_lines_of_few_texts(spark):
+    """A line of 80 words in 9 different texts goes, in 2 it stays, in a family it stays."""
+    rows = [(i, f"{apart(f'own{chr(97 + i)}', 40)}\n{apart('nine', 80)}", "en", "s", 0) for i in range(9)]
+    rows += [(20 + i, f"{apart(f'pair{chr(97 + i)}', 40)}\n{apart('two', 80)}", "en", "s", 0) for i in range(2)]
+    rows += [(30 + i, f"{apart('kin', 60)} {chr(97 + i)}\n{apart('held', 80)}", "en", "s", 0) for i in range(8)]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, rows)).collect()}
+    assert [got[i].n_dropped for i in range(9)] == [1] * 9
+    assert all(got[i].n_dropped == 0 for i in got if i >= 20)
+    assert {t for t, _ in brute([r[1] for r in rows], 10)} == {r[1] for r in rows[:9]}
+
+
+def test_tables_equal_brute_force(spark):
+    """Whole table: families by buckets give what all pairs give."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r.text for r in df.collect()]
+    drop = brute(texts, 10)
+    want = Counter(t and "\n".join(x for i, x in enumerate(t.split("\n")) if (t, i) not in drop) for t in texts)
+    assert Counter(r.text for r in line_dedup.line_dedup(df).collect()) == want
