@@ -107,31 +107,48 @@ def line_code(line: Column, shingles: Column) -> Column:
     return F.xxhash64(line).bitwiseAND(F.lit(~most)).bitwiseOR(F.least(F.size(shingles), F.lit(most)).cast("long"))
 
 
+def beside(pairs: DataFrame, sets: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """The pairs ``_a, _b`` with columns of ``sets`` for either side: ``{column:
+    (name for _a, name for _b)}``.  A pivot's row is copied for every
+    ``_PIVOT_ROWS`` of its pairs, which are dealt among the copies."""
+    loads = pairs.groupBy("_b").agg(F.floor((F.count("*") - 1) / _PIVOT_ROWS).alias("_last"))
+    loads = small(cut(loads, "line-pivots"))
+    pairs = pairs.join(loads, "_b").withColumn("_salt", F.pmod(F.xxhash64("_a"), F.col("_last") + 1)).drop("_last")
+    own = sets.join(pairs.select(F.col("_a").alias("_k1")).distinct(), "_k1", "left_semi").dropDuplicates(["_k1"])
+    own = own.select(F.col("_k1").alias("_a"), *[F.col(c).alias(x) for c, (x, _) in columns.items()])
+    pivots = sets.join(loads.withColumnRenamed("_b", "_k1"), "_k1").dropDuplicates(["_k1"])
+    pivots = pivots.select(F.col("_k1").alias("_b"), F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("_salt"),
+                           *[F.col(c).alias(y) for c, (_, y) in columns.items()])
+    return pairs.join(own, "_a").join(pivots, ["_b", "_salt"])
+
+
 def links(docs: DataFrame, text: str, keys: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: texts of ``keys`` and the smaller ones of their buckets that they
-    are near-copies of, their longest common line left out."""
+    are near-copies of, their longest common line left out.
+
+    Buckets are of 64-bit hashes; sets hold their upper halves, in order.  Pairs
+    whose ``_SKETCH`` smallest shingles are far from alike are not compared whole:
+    those that are linked share more than ``similarity`` with the line left in."""
     t = docs.select(F.col(f"`{text}`").alias("_t")).where(has_word(F.col("_t"))).withColumn("_k1", F.xxhash64("_t"))
     t = t.join(small(keys.select("_k1").distinct()), "_k1", "left_semi")
     lines = F.filter(F.split("_t", "\n", -1), has_word)
     per = F.transform(lines, lambda x: let(line_shingles(x), lambda s: F.struct(s.alias("s"), line_code(x, s).alias("c"))))
     sets = t.select("_k1", per.alias("_per")).select(
-        "_k1", F.sort_array(F.array_distinct(F.flatten("_per.s"))).alias("_set"), F.array_distinct("_per.c").alias("_lines"))
+        "_k1", F.sort_array(F.array_distinct(F.flatten("_per.s"))).alias("_s"), F.array_distinct("_per.c").alias("_lines"))
+    sets = sets.select("_k1", F.slice("_s", 1, _KEYS).alias("_keys"), "_lines",
+                       F.transform("_s", lambda h: F.shiftright(h, 32).cast("int")).alias("_set"))
     sets = cut(sets, "line-sets")
-    keyed = sets.select("_k1", F.explode(F.slice("_set", 1, _KEYS)).alias("_h")).distinct()
+    keyed = sets.select("_k1", F.explode("_keys").alias("_h")).distinct()
     pivots = keyed.groupBy("_h").agg(F.min("_k1").alias("_b"), F.max("_k1").alias("_m")).where("_b <> _m").select("_h", "_b")
     pairs = cut(keyed.join(pivots, "_h").where("_k1 <> _b").select(F.col("_k1").alias("_a"), "_b").distinct(), "line-pairs")
-    # a pivot's set is copied for every so many of its pairs, which are dealt among the copies
-    loads = small(cut(pairs.groupBy("_b").agg(F.floor((F.count("*") - 1) / _PIVOT_ROWS).alias("_last")), "line-pivots"))
-    pairs = pairs.join(loads, "_b").withColumn("_salt", F.pmod(F.xxhash64("_a"), F.col("_last") + 1)).drop("_last")
-    pivot_sets = sets.join(loads, sets["_k1"] == loads["_b"]).drop("_k1").dropDuplicates(["_b"])
-    pivot_sets = pivot_sets.select("_b", F.explode(F.sequence(F.lit(0).cast("long"), "_last")).alias("_salt"),
-                                   F.col("_set").alias("_y"), F.col("_lines").alias("_yl"))
-    own = sets.join(pairs.select(F.col("_a").alias("_k1")).distinct(), "_k1", "left_semi").dropDuplicates(["_k1"])
-    pairs = pairs.join(own.select(F.col("_k1").alias("_a"), F.col("_set").alias("_x"), F.col("_lines").alias("_xl")), "_a")
-    pairs = pairs.join(pivot_sets, ["_b", "_salt"])
+    brief = beside(pairs, sets.select("_k1", F.slice("_set", 1, _SKETCH).alias("_s")), {"_s": ("_x", "_y")})
+    least = brief.withColumn("_u", F.slice(F.sort_array(F.array_union("_x", "_y")), 1, _SKETCH))
+    alike = F.size(F.array_intersect(F.array_intersect("_u", "_x"), "_y"))
+    pairs = cut(least.where(alike >= 0.5 * similarity * F.size("_u")).select("_a", "_b"), "line-likely")
+    whole = beside(pairs, sets.select("_k1", "_set", "_lines"), {"_set": ("_x", "_y"), "_lines": ("_xl", "_yl")})
     both, longest = F.size(F.array_intersect("_x", "_y")), F.array_max(F.transform(
         F.array_intersect("_xl", "_yl"), lambda c: c.bitwiseAND(F.lit((1 << _LEN_BITS) - 1))))
-    seen = pairs.select("_a", "_b", both.alias("_i"), (F.size("_x") + F.size("_y")).alias("_n"), F.coalesce(longest, F.lit(0)).alias("_l"))
+    seen = whole.select("_a", "_b", both.alias("_i"), (F.size("_x") + F.size("_y")).alias("_n"), F.coalesce(longest, F.lit(0)).alias("_l"))
     near = seen.where((F.col("_i") > F.col("_l")) & (F.col("_i") - F.col("_l") >= similarity * (F.col("_n") - F.col("_i") - F.col("_l"))))
     return near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
