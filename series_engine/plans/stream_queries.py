@@ -42,18 +42,17 @@ g AS (SELECT {KEYS}, run, row_number() OVER ({w}) - {CUT_N} AS rank, {out} FROM
 SELECT * REPLACE (CAST(rank AS INTEGER) AS rank) FROM g WHERE rank > 0 AND rank % {CUT_STEP} = 0"""
 
 
-@query("stream_features_cut", _cut_sql())
-def q_stream_features_cut(spark, sf):
-    """The feature chain over a stream whose files cut every supplier's series and
-    its runs (two years each): what one batch job over all rows gives."""
+def _cut_features(spark, sf, files: int, **stream):
+    """Features of a stream over the table cut into files, read with these options."""
     era = F.floor(F.year("l_shipdate") / 2).cast("string").alias("era")
     li = table(spark, sf, "lineitem").select(*B2_BY, *B2_ORDER, era, *B2_AXES)
     src, base = scratch_path(spark, "cut-src"), scratch_path(spark, "cut-out")
-    _cut_files(li, src)
+    _cut_files(li, src, files)
     chain = streaming.Chain(cols=B2_AXES, by=B2_BY, order=B2_ORDER, label="era", period=CUT_P, n=CUT_N, step=CUT_STEP,
                             event_col="run", unique_order=True)
-    q = streaming.features_stream(readers.read_stream_dir(spark, src, li.schema, max_files_per_trigger=1), base, chain,
-                                  streaming.trigger_kwargs(available_now=True), snapshot_every=2)
+    fan = stream.pop("compact_fan", None)
+    q = streaming.features_stream(readers.read_stream_dir(spark, src, li.schema, **stream), base, chain,
+                                  streaming.trigger_kwargs(available_now=True), snapshot_every=2, compact_fan=fan)
     q.awaitTermination()
     out = []
     for c in B2_AXES:
@@ -61,6 +60,20 @@ def q_stream_features_cut(spark, sf):
     return streaming.read_rows(spark, base).select(*B2_BY, *B2_ORDER, "run", "rank", *out)
 
 
+@query("stream_features_cut", _cut_sql())
+def q_stream_features_cut(spark, sf):
+    """The feature chain over a stream whose files cut every supplier's series and
+    its runs (two years each): what one batch job over all rows gives."""
+    return _cut_features(spark, sf, CUT_FILES, max_files_per_trigger=1)
+
+
+@query("stream_backlog", _cut_sql())
+def q_stream_backlog(spark, sf):
+    """The same over a backlog of files taken in batches of bounded bytes, read files
+    removed, finished batches merged by levels."""
+    return _cut_features(spark, sf, 2 * CUT_FILES, max_bytes_per_trigger=64 << 10, clean_source="delete", compact_fan=2)
+
+
 @query("stream_score_cut", _stump_sql(_TRAIN, _TEST, f"SELECT {KEYS}, predicted_action FROM p"))
 def q_stream_score_cut(spark, sf):
     """Predictions over a stream whose files cut every supplier's series."""

@@ -62,11 +62,28 @@ def read_partitioned(spark: SparkSession, base: str, partitions: int | None = No
 
 
 def read_stream_dir(spark: SparkSession, path: str, schema: StructType = schemas.REALTIME,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming Parquet folder with a fixed schema."""
+                    max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
+                    clean_source: str | None = None, archive: str | None = None) -> DataFrame:
+    """Streaming Parquet folder with a fixed schema.
+
+    A backlog is taken in batches of at most so many files or so many bytes (one
+    larger file is a batch of its own); the two bounds exclude each other.
+    ``clean_source`` says what becomes of files that finished batches have read:
+    ``"archive"`` moves them under ``archive``, ``"delete"`` removes them, so
+    listing the folder does not grow with the stream's age."""
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
+    if (clean_source == "archive") != (archive is not None):
+        raise ValueError("an archive folder goes with clean_source='archive', and only with it")
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
+    if clean_source:
+        r = r.option("cleanSource", clean_source)
+    if archive:
+        r = r.option("sourceArchiveDir", archive)
     return r.parquet(path)
 
 

@@ -13,7 +13,8 @@ has not happened.  A batch that is run again (the driver died before Spark noted
 it) finds the state of the batch before, whatever the first attempt left; one that
 was recorded does nothing.  An entity's halo is the one of the last batch that had
 rows of it; every ``snapshot_every`` batches the halos of all entities are written
-as one snapshot, so a batch reads one snapshot and few deltas.
+as one snapshot, so a batch reads one snapshot and few deltas.  ``compact`` merges
+old batches by levels, so neither folders nor records grow with the batches.
 
 Everything is DataFrame code: windows run over chunks and blocks of an entity as in
 batch jobs (``operators.sequence``), so an entity that fills a batch is no hot task;
@@ -194,17 +195,62 @@ def process_batch(batch: DataFrame, batch_id: int, state: HaloState, finish: Cal
             df.unpersist()
 
 
+def _merge(state: HaloState, old: list[dict], level: int) -> None:
+    """Replace the records of batches in a row by one: their rows rewritten in
+    files of Spark's advisory size, and the halos as of the last of them."""
+    log, last = state.log, old[-1]["batch"]
+    name, folders = f"to-{last}-level-{level}", {}
+    for kind in sorted({k for r in old for k in r["folders"]} - {"state"}):
+        folders[kind] = log.attempt(kind, name)
+        log.spark.read.parquet(*[r["folders"][kind] for r in old if kind in r["folders"]]).hint("rebalance").write.parquet(folders[kind])
+    folders["state"] = log.attempt("state", name)
+    state.before(last + 1).hint("rebalance").write.parquet(folders["state"])
+    replaces = [x for r in old for x in (r["id"], *r.get("replaces", []))]
+    if log.commit(name, folders, batch=last, snapshot=True, level=level, replaces=replaces):
+        for r in old:
+            for folder in r["folders"].values():
+                log._delete(folder)
+            log._delete(log._record_path(r["id"]))
+
+
+def compact(spark: SparkSession, base: str, chain: Chain, fan: int = 8) -> int:
+    """Merge the batches of a stream's log; returns the number of merges.
+
+    ``fan`` records of a level become one of the next, oldest first, and the newest
+    batch stays: there are at most ``fan`` records a level, a row is rewritten
+    once a level, and the levels grow with the logarithm of the batches.  To be
+    called between batches (``features_stream(compact_fan=...)`` does); a merge
+    that dies before its record has not happened, one that dies after it leaves
+    files that ``CommitLog.sweep`` removes."""
+    if fan < 2:
+        raise ValueError("a merge takes two records or more")
+    state, merges = HaloState(spark, base, chain), 0
+    while True:
+        records = sorted(state.log.records(), key=lambda r: r["batch"])[:-1]
+        levels: dict[int, list[dict]] = {}
+        for r in records:
+            levels.setdefault(r.get("level", 0), []).append(r)
+        full = min((level for level, found in levels.items() if len(found) >= fan), default=None)
+        if full is None:
+            return merges
+        _merge(state, levels[full][:fan], full + 1)
+        merges += 1
+
+
 def features_stream(stream: DataFrame, base: str, chain: Chain, trigger: dict | None = None, snapshot_every: int = 20,
                     finish: Callable[[DataFrame], DataFrame] | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                    kind: str = "rows") -> StreamingQuery:
+                    kind: str = "rows", compact_fan: int | None = None) -> StreamingQuery:
     """Features of a stream, committed batch by batch under ``base`` (which holds
     the query's checkpoint too, so batch ids and commits belong together).  Read
-    them with ``read_rows``."""
+    them with ``read_rows``.  With ``compact_fan`` the log is compacted after every
+    batch that fills a level (see ``compact``)."""
     base = base.rstrip("/")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         state = HaloState(batch.sparkSession, base, chain, snapshot_every)
         process_batch(prepare(batch) if prepare else batch, batch_id, state, finish, kind)
+        if compact_fan:
+            compact(batch.sparkSession, base, chain, compact_fan)
 
     return (stream.writeStream.foreachBatch(process).option("checkpointLocation", f"{base}/_checkpoint")
             .trigger(**(trigger or trigger_kwargs())).start())

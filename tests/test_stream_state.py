@@ -117,3 +117,63 @@ def test_stream_restarts_after_a_lost_commit(spark, tmp_path):
     run()
     want = batch_job(spark, data)
     assert rows(st.read_rows(spark, base), sorted(want.columns)) == rows(want, sorted(want.columns))
+
+
+def test_compacted_log_gives_the_same_rows(spark, tmp_path):
+    """Merged batches keep rows, late rows and state; folders grow with the levels alone."""
+    data, base = series(5), str(tmp_path / "s")
+    chain = st.Chain(**ARGS, unique_order=True)
+    state, merges = st.HaloState(spark, base, chain, 3), 0
+    parts = cuts(data, 5, 8)
+    for i, part in enumerate(parts):
+        late = [r for r in parts[1] if r[0] == 0][:1] if i == 4 else []
+        assert st.process_batch(spark.createDataFrame(part + late, SCHEMA), i, state)
+        merges += st.compact(spark, base, chain, 2)
+        assert not st.process_batch(spark.createDataFrame(part, SCHEMA), i, state)  # a merged batch counts as recorded
+    log = CommitLog(spark, base)
+    assert merges >= 4 and len(log.records()) <= 4 and log.ids() >= {str(i) for i in range(8)}
+    want = batch_job(spark, data)
+    assert rows(log.read("rows").select(*want.columns)) == rows(want)
+    assert log.read("late").count() == 1
+    assert log.sweep("rows") == 0
+
+
+def test_a_merge_that_dies_has_not_happened(spark, tmp_path, monkeypatch):
+    data, base = series(6, 120), str(tmp_path / "s")
+    chain = st.Chain(**ARGS, unique_order=True)
+    state = st.HaloState(spark, base, chain, 20)
+    for i, part in enumerate(cuts(data, 6, 4)):
+        st.process_batch(spark.createDataFrame(part, SCHEMA), i, state)
+
+    def die(*a, **k):
+        raise RuntimeError("killed")
+    want = batch_job(spark, data)
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "commit", die)
+        with pytest.raises(RuntimeError):
+            st.compact(spark, base, chain, 3)
+    log = CommitLog(spark, base)
+    assert rows(log.read("rows").select(*want.columns)) == rows(want)
+    with monkeypatch.context() as m:
+        m.setattr(CommitLog, "_delete", die)  # recorded, its old files not yet removed
+        with pytest.raises(RuntimeError):
+            st.compact(spark, base, chain, 3)
+    assert rows(log.read("rows").select(*want.columns)) == rows(want) and len(log.records()) == 2
+
+
+def test_backlog_in_batches_of_bytes(spark, tmp_path):
+    from series_engine.sources import readers
+    src, archive, out = (str(tmp_path / n) for n in ("src", "archive", "out"))
+    for i in range(6):
+        spark.range(i * 1000, i * 1000 + 1000).coalesce(1).write.mode("append").parquet(src)
+    size = max(f.stat().st_size for f in (tmp_path / "src").glob("*.parquet"))
+    seen = []
+    q = (readers.read_stream_dir(spark, src, "id long", max_bytes_per_trigger=int(2.5 * size), clean_source="archive", archive=archive)
+         .writeStream.foreachBatch(lambda df, i: seen.append(df.count())).option("checkpointLocation", out)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sum(seen) == 6000 and len([n for n in seen if n]) >= 3 and max(seen) <= 2000
+    with pytest.raises(ValueError):
+        readers.read_stream_dir(spark, src, "id long", max_files_per_trigger=1, max_bytes_per_trigger=1)
+    with pytest.raises(ValueError):
+        readers.read_stream_dir(spark, src, "id long", clean_source="archive")
