@@ -109,7 +109,9 @@ def cut_by_key(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     path, table = scratch_path(spark, f"llm-{name}"), f"{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
     (df.write.format("parquet").option("path", path).option("compression", "zstd")
      .bucketBy(parallelism(df), *keys).saveAsTable(table))
-    return spark.table(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay where they are: only the name goes from the catalog
+    return rows
 
 
 def distinct_texts(docs: DataFrame, text: str, name: str) -> DataFrame:

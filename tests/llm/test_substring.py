@@ -47,3 +47,27 @@ def test_empty(spark):
     assert substring.dedup_substrings(docs(spark, [])).count() == 0
     got = substring.dedup_substrings(docs(spark)).collect()
     assert {r.doc_id: r.n_removed for r in got}[7] == 30000
+
+
+def test_hashes_follow_the_words():
+    words = ["é", "x" * 64, "x" * 65, "x" * 65 + "y", " ", "a b", "\x0e", "\x08", "\U0001F600", "ab", "ba", "x"]
+    rng = random.Random(4)
+    text = "".join(rng.choice(words) + rng.choice([" ", "\n", "\t\r", "\x0b\x0c "]) for _ in range(40_000))
+    found = re.findall(substring.WORD, text)
+    hashes = substring.hashed(text.encode()).tolist()
+    assert text.encode().split() == [w.encode() for w in found] and len(hashes) == len(found) > 1 << 14
+    assert len(dict(zip(found, hashes))) == len(set(hashes)) == len(set(zip(found, hashes))) == len(words)
+    assert len(substring.hashed(b"")) == len(substring.hashed(b" \n")) == 0
+
+
+def test_representatives_equal_brute_force():
+    rng = random.Random(5)
+    values = [rng.randrange(6) << 32 | rng.randrange(1 << 32) for _ in range(200)]
+    for within in (1, 2, 3, 18, 27, 200):
+        want = [min(range(p, p + within), key=lambda j: (values[j] >> 32, j)) for p in range(200 - within + 1)]
+        assert substring.representatives(substring.np.array(values, dtype="uint64"), within).tolist() == want
+
+
+def test_no_table_is_left(spark):
+    substring.dedup_substrings(docs(spark)).collect()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("substring_texts")]
