@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from series_engine.llm.common import BLANK_CLASS, cut, has_word, let, small, words
+from series_engine.llm.common import BLANK_CLASS, BLANKS, cut, has_word, let, small, words
 from series_engine.llm.components import components
 
 FIELD = "<*>"
@@ -52,8 +52,10 @@ _PIVOT_ROWS, _LEN_BITS = 500, 20
 
 
 def tokens(line: Column) -> Column:
-    """Tokens of a line, variable fields generalised."""
-    return words(F.when(line.rlike("[0-9@]"), F.regexp_replace(line, _FIELD_TOKEN, F.lit(FIELD))).otherwise(line))
+    """Tokens of a line with a word, variable fields generalised (once: the
+    line is not asked again whether it is empty)."""
+    bare = F.when(line.rlike("[0-9@]"), F.regexp_replace(line, _FIELD_TOKEN, F.lit(FIELD))).otherwise(line)
+    return F.split(F.btrim(bare, F.lit(BLANKS)), f"[{BLANK_CLASS}]+")
 
 
 def text_key(text: Column) -> list[Column]:
