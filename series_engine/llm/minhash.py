@@ -99,6 +99,10 @@ def band_keys(coords: np.ndarray, n: int, rows: int) -> np.ndarray:
     return key
 
 
+#: Rows of a block's matrix that are compared at a time.
+_ROWS = 256
+
+
 def linked(sets: list[np.ndarray], percent: int) -> list[int]:
     """For each set the index of the first set of its component, linking sets
     with ``100 * intersection >= percent * union``.  All intersections are
@@ -117,30 +121,25 @@ def linked(sets: list[np.ndarray], percent: int) -> list[int]:
             for j in range(i + 1, d):
                 np.add.at(both, (own[:, i], own[:, j]), 1)
     often = np.flatnonzero(count > 32)
-    upper = both
-    for k in range(0, len(often), 2048):
-        part = often[k:k + 2048]
+    for k in range(0, len(often), 1024):
+        part = often[k:k + 1024]
         incidence = np.zeros((m, len(part)), dtype=both.dtype)
         for c, f in enumerate(part.tolist()):
             incidence[owner[starts[f]:starts[f] + count[f]], c] = 1
-        upper = upper + incidence @ incidence.T
+        for i in range(0, m, _ROWS):
+            both[i:i + _ROWS] += incidence[i:i + _ROWS] @ incidence.T
     # owners ascend within a feature, so pairs lie above the diagonal
-    near = np.triu(upper, 1)
-    a, b = np.nonzero(near * 100 >= percent * (size[:, None] + size[None, :] - near) - 1e-6) if m else ((), ())
-    keep = (size[a] > 0) & (a < b) if m else []
-    root = list(range(m))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    if m:
-        for x, y in zip(a[keep].tolist(), b[keep].tolist(), strict=True):
-            x, y = find(x), find(y)
-            root[max(x, y)] = min(x, y)
-    return [find(x) for x in range(m)]
+    root = np.arange(m)
+    for i in range(0, m, _ROWS):
+        near = both[i:i + _ROWS].astype(np.int64)
+        close = near * 100 >= percent * (size[i:i + _ROWS, None] + size[None, :] - near)
+        for x, row in enumerate(close, i):
+            if size[x]:
+                found = np.unique(root[x + 1:][row[x + 1:] & (size[x + 1:] > 0)])
+                for r in found[found != root[x]].tolist():
+                    low, high = sorted((r, int(root[x])))
+                    root[root == high] = low
+    return root.tolist()
 
 
 def _sketched(batches: Iterator[pa.RecordBatch], size: int, n: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -173,7 +172,7 @@ def _block_links(size: int, percent: int):
 
 
 def classes(docs: DataFrame, size: int = 5, similarity: float = 0.8, block_shingles: int = 400_000, mixes: int = 2,
-            text: str = "text", id_col: str = "doc_id") -> DataFrame:
+            block_sets: int = 2000, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``_id, _k1, _k2, _set, _size, component``: every row with its set (NULL
     if empty) and the component of its set; ``component`` is a set too."""
     n, rows = bands(similarity)
@@ -191,7 +190,8 @@ def classes(docs: DataFrame, size: int = 5, similarity: float = 0.8, block_shing
     candidates = keyed.join(pivots, "_band").select(F.col("_set").alias("a"), "b").where("a <> b").distinct()
     groups = components(candidates).withColumnsRenamed({"node": "_set", "component": "_group"})
     members = groups.join(sets.select("_set", "_key", "_size"), "_set")
-    load = members.groupBy("_group").agg(F.ceil(F.sum("_size") / block_shingles).cast("int").alias("_blocks"))
+    blocks = F.greatest(F.ceil(F.sum("_size") / block_shingles), F.ceil(F.count("*") / block_sets)).cast("int")
+    load = members.groupBy("_group").agg(blocks.alias("_blocks"))
     members = cut(members.join(small(cut(load, "near-loads")), "_group").select(
         "_set", "_group", "_blocks", "_size", F.col("_key._k1").alias("_k1"), F.col("_key._k2").alias("_k2")), "near-members")
     texts = t.select("_k1", "_k2", "_t").join(small(members.select("_k1", "_k2")), ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"])
@@ -213,7 +213,7 @@ def classes(docs: DataFrame, size: int = 5, similarity: float = 0.8, block_shing
         main = counts.groupBy("_group").agg(F.max_by("_comp", F.struct("_n", "_comp")).alias("_main"))
         placed = placed.join(main, "_group")
         rest = placed.where("_comp <> _main")
-        share = rest.groupBy("_group").agg(F.ceil(F.sum("_size") / block_shingles).cast("int").alias("_rest"))
+        share = rest.groupBy("_group").agg(blocks.alias("_rest"))
         placed = cut(placed.join(share, "_group"), "near-rest")
         # each block of the rest with each block of the whole group
         cell = lambda own, n, other, m: (F.pmod(F.xxhash64("_set", F.lit(own)), n).alias(own), F.explode(F.sequence(F.lit(0), m - 1)).alias(other))

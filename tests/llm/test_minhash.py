@@ -106,3 +106,19 @@ def test_equal_brute_force_in_one_and_in_many_blocks(spark):
 def test_empty(spark):
     assert minhash.near_duplicates(docs(spark, [])).count() == 0
     assert all(r.kept for r in minhash.near_duplicates(docs(spark, AWKWARD[:3])).collect())
+
+
+def test_blocks_are_bounded_by_sets(spark):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(14)]
+    rows = [(i, " ".join([*base[:rng.randint(12, 14)], f"end{i % 60}"]), "en", "s", 0) for i in range(150)]
+    rows += [(1000 + i, " ".join(rng.choice(base) for _ in range(20)), "en", "s", 0) for i in range(20)]
+    got = minhash.near_duplicates(docs(spark, rows), 3, 0.85, block_sets=12).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows, 3, 85)
+
+
+def test_many_short_sets_in_one_block():
+    rng = np.random.default_rng(2)
+    common = rng.integers(0, 2**63, 12, dtype=np.uint64)
+    sets = [np.unique(np.append(common, x)) for x in rng.integers(0, 2**63, 3000, dtype=np.uint64)]
+    assert minhash.linked(sets, 85) == [0] * 3000 and minhash.linked(sets, 90) == list(range(3000))
