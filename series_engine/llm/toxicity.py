@@ -19,8 +19,8 @@ document's evidence is the summed significance of its segments, and a logistic
 curve over its logarithm, fitted on labelled documents that the unit scores
 have not seen, maps it to a probability.
 
-The model is fitted on at most ``max_train`` labelled documents and holds at
-most ``max_units`` units; scoring covers every document and whole texts.
+The model is fitted on at most ``max_train`` labelled documents, whose
+words bound its units: none is cut off; scoring covers every document and whole texts.
 Labelled copies and near-copies of one class, confirmed by four fifths of their
 three-word shingles, are one witness; documents that merely share a passage are
 all learned from.
@@ -173,7 +173,7 @@ def labelled(docs: DataFrame, labels: DataFrame, max_train: int, text: str, id_c
     return rows.select("text", "label", "held")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, max_units: int = 20_000, prior: float = 10.0,
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, prior: float = 10.0,
         lower: float = 1.64, least: float = 1.0, support: int = 5, clean: float = -0.2, text: str = "text",
         id_col: str = "doc_id", label: str = "toxic") -> Model:
     """Learn unit scores and calibration from labelled documents.  A unit
@@ -182,17 +182,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, max_units:
     train = cut(labelled(docs, labels, max_train, text, id_col, label), "toxic-train")
     counts = train.mapInPandas(_word_counts, "unit string, label int, held int, n long")
     flag = {(y, h): F.sum(F.when((F.col("label") == y) & (F.col("held") == h), F.col("n")).otherwise(0)) for y in (0, 1) for h in (0, 1)}
-    table = counts.groupBy("unit").agg(*[e.alias(f"n{y}{h}") for (y, h), e in flag.items()])
+    table = cut(counts.groupBy("unit").agg(*[e.alias(f"n{y}{h}") for (y, h), e in flag.items()]), "toxic-counts")
     # prefixes stand for the words that are too rare to have a score of their own
     rare = table.where(f"unit <> '' AND n00 + n01 + n10 + n11 < {support}").withColumn("bare", F.substring("unit", 2, 1 << 20))
     heads = rare.withColumn("unit", F.explode(F.array(*[F.when(F.length("bare") >= n, F.substring("bare", 1, n)) for n in PREFIXES])))
     heads = heads.where("unit IS NOT NULL").groupBy("unit").agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")])
     table = table.unionByName(heads.select(table.columns))
     table = table.select("unit", "n00", "n10", (F.col("n00") + F.col("n01")).alias("n0"), (F.col("n10") + F.col("n11")).alias("n1"))
-    table = table.where(f"unit = '' OR n0 + n1 >= {support}").persist()
+    table = cut(table.where(f"unit = '' OR n0 + n1 >= {support}"), "toxic-units")
     size = table.where("unit = ''").first()
     if size is None or not (size.n00 and size.n10):
-        table.unpersist()
         return Model({}, clean)
     some = _log_odds("n10", "n00", size.n10, size.n00, prior, lower)
     full = _log_odds("n1", "n0", size.n1, size.n0, prior, lower)
@@ -202,14 +201,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, max_units:
     full = F.when(_surprise("n1", "n0", size.n1, size.n0) >= tested, full).otherwise(0.0)
     known = known.select("unit", some.alias("some"), full.alias("full"))
     toxic = F.greatest("some", "full") >= least
-    found = known.where(toxic).orderBy(F.greatest("some", "full").desc(), "unit").limit(max_units).collect()
+    found = known.where(toxic).collect()  # some of the words of max_train documents
     # clean units that continue a toxic prefix stand before it
     stems = [r.unit for r in found if not r.unit.startswith("=")]
     bare = F.regexp_replace("unit", "^=", "")
     heads = known.where(~toxic).select("unit", F.explode(F.array(*[F.substring(bare, 1, n) for n in PREFIXES])).alias("stem"))
     stems = docs.sparkSession.createDataFrame([(u,) for u in stems], "stem string")
-    shadows = heads.join(F.broadcast(stems), "stem").select("unit").distinct().orderBy("unit").limit(10 * max_units).collect()
-    table.unpersist()
+    shadows = heads.join(F.broadcast(stems), "stem").select("unit").distinct().collect()  # also such words
     clean_units = {r.unit: 0.0 for r in shadows}
     m = Model(clean_units | {r.unit: r.some if r.some >= least else 0.0 for r in found}, clean)
     _calibrate(m, train.where("held = 1"))
@@ -259,7 +257,7 @@ def _calibrate(m: Model, held: DataFrame) -> None:
 def score(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``id, score, predicted`` of every document, with its number of
     segments and the words of its best one."""
-    model = docs.sparkSession.sparkContext.broadcast(m)  # at most max_units units
+    model = docs.sparkSession.sparkContext.broadcast(m)  # some of the words of max_train documents
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
