@@ -37,7 +37,8 @@ def _bytes_per_row(df: DataFrame, rows: int) -> float:
     spark = df.sparkSession
     share = min(1.0, SIZED_SAMPLE_ROWS / max(rows, 1))
     path = scratch_path(spark, "sized-sample")
-    (df if share == 1.0 else df.sample(share, seed=1)).coalesce(1).write.parquet(path)
+    # one file, so that its dictionaries and footer count once; only the sample meets in a task, not what it is drawn from
+    (df if share == 1.0 else df.sample(share, seed=1)).repartition(1).write.parquet(path)
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     size = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from series_engine.sinks import writers
 from series_engine.sinks.writers import write_sized
 from tests.conftest import rows
 
@@ -48,3 +49,21 @@ def test_update_of_one_folder_leaves_the_others(spark, tmp_path):
     assert back.count() == 6000 and back.where("x = 'new'").count() == df.where("f = 'mid'").count()
     write_sized(df.limit(0), str(path), "f")
     assert spark.read.schema(df.schema).parquet(str(path)).count() == 6000
+
+
+def test_size_sample_is_drawn_in_parallel(spark, monkeypatch, tmp_path):
+    """The task that writes the sample reads the sample, not the table."""
+    monkeypatch.setattr(writers, "SIZED_SAMPLE_ROWS", 100)
+    spark.range(0, 8000, 1, 8).withColumn("x", F.md5(F.col("id").cast("string"))).write.parquet(str(tmp_path / "t"))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        from pyspark import TaskContext
+        read.add(1 if TaskContext.get().partitionId() else 0)
+        yield from batches
+
+    df = spark.read.parquet(str(tmp_path / "t"))
+    own = df.mapInArrow(seen, df.schema)
+    assert df.rdd.getNumPartitions() > 1
+    size = writers._bytes_per_row(own, 8000)
+    assert read.value >= df.rdd.getNumPartitions() - 1 and 20 < size < 200
