@@ -67,6 +67,8 @@ def _cols(xs) -> list[str]:
 
 # Entities above this many rows are cut; also about twice the rows of a chunk.
 AUTO_CHUNK_ROWS = 1_000_000
+# About twice the rows that a task cuts into chunks, where chunks are smaller.
+RANGE_ROWS = 1_000_000
 
 
 def ranged(df: DataFrame, by, order, target_rows: int | None = None) -> DataFrame | None:
@@ -76,7 +78,9 @@ def ranged(df: DataFrame, by, order, target_rows: int | None = None) -> DataFram
 
     Ranges are cut by row count (sampled by Spark), so their size does not
     depend on the values: ``order`` is to end in the tie-break of the rows, and
-    rows equal in all of it are parted by where they were read.  The rows are
+    rows equal in all of it are parted by where they were read.  A task sorts
+    its range and cuts it into chunks, so there are as many tasks as the rows
+    need, however small the chunks.  The rows are
     written once under the shared checkpoint folder: the windows and the
     per-chunk table read the same chunks, also after a lost executor."""
     target = int(target_rows or AUTO_CHUNK_ROWS)
@@ -85,10 +89,14 @@ def ranged(df: DataFrame, by, order, target_rows: int | None = None) -> DataFram
     size = per.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).collect()[0]  # one row
     if (size["most"] or 0) <= target:
         return None
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * size["rows"] // target))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * size["rows"] // max(target, RANGE_ROWS)))
     dealt = df.withColumn("_se_place", F.monotonically_increasing_id())
-    dealt = dealt.repartitionByRange(parts, *by, *_cols(order), "_se_place").drop("_se_place")
-    return write_table(dealt.withColumn(_CHUNK, F.spark_partition_id().cast("long")), "series-chunks")
+    keys = [*by, *_cols(order), "_se_place"]
+    dealt = dealt.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("_se_place")
+    # the range's number above the row's number in it
+    at = F.monotonically_increasing_id()
+    base = F.shiftleft(F.shiftright(at, 33), 33)
+    return write_table(dealt.withColumn(_CHUNK, base + F.floor((at - base) / F.lit(target)).cast("long")), "series-chunks")
 
 
 def _plain_keys(df: DataFrame, by) -> tuple[DataFrame, list[str]]:

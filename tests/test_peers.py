@@ -48,6 +48,17 @@ def test_ranks_without_a_label(spark, monkeypatch, small_chunks):
     both(spark, monkeypatch, df, make, ["u", "t", "rank"])
 
 
+def test_small_chunks_share_tasks(spark):
+    """Chunks of a few rows are cut inside a range, so their number is not that of the tasks."""
+    df = spark.range(5000).select(F.lit(1).alias("u"), (F.col("id") % 40).alias("t"), "id")
+    dealt = sequence.ranged(df, ["u"], ["t", "id"], 10)
+    per = dealt.groupBy("_se_chunk").agg(F.count("*").alias("n"), F.min(F.struct("t", "id")).alias("a"), F.max(F.struct("t", "id")).alias("b"))
+    per = per.orderBy("_se_chunk").collect()
+    assert sum(r.n for r in per) == 5000 and max(r.n for r in per) <= 10
+    assert all(x.b < y.a for x, y in zip(per, per[1:]))
+    assert len(dealt.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_one_moment_fills_many_chunks(spark, small_chunks):
     """No chunk holds more than about the target, though all rows are peers, or equal."""
     df = spark.range(600).select(F.lit(1).alias("u"), F.lit(7).alias("t"), (F.col("id") % 2).cast("string").alias("lab"))
