@@ -19,12 +19,12 @@ CUT_P, CUT_N, CUT_STEP, CUT_FILES = 2, 6, 3, 3
 
 
 def _cut_files(df, path: str, files: int = CUT_FILES) -> None:
-    """One file per stretch of time, oldest first: every entity's series is cut."""
+    """One file per stretch of time, oldest first, or several for a stretch of many
+    rows: every entity's series is cut."""
     lim = df.agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b")).first()
     day = F.datediff(F.col("l_shipdate"), F.lit(lim.a))
     width = (lim.b - lim.a).days // files + 1
-    for i in range(files):
-        df.where(F.floor(day / width) == i).coalesce(1).write.mode("append").parquet(path)
+    writers.write_in_turn(df, path, F.floor(day / width), B2_ORDER)
 
 
 def _cut_sql() -> str:
