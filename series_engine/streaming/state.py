@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import sequence
-from ..operators.joins import join_small
+from ..operators.joins import join_small, materialize_small
 from ..operators.sequence import BLOCK, ESTART, HALO, PEER, POS
 from ..sinks.commits import CommitLog
 from .jobs import trigger_kwargs
@@ -104,8 +104,9 @@ def _same(by, left: DataFrame, right: DataFrame) -> Column:
 def advance(batch: DataFrame, halo: DataFrame | None, chain: Chain,
             keep_once: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """``(features, new halos, late rows)`` of a batch, given the halos before it
-    (None for late rows: there can be none yet).  The numbered rows are read
-    several times and go through ``keep_once``."""
+    (None for late rows: there can be none yet).  The halos of the batch's entities,
+    the rows beside them and the numbered rows are read several times and go through
+    ``keep_once``."""
     c, by, order = chain, list(chain.by), list(chain.order)
     whole = F.lit(True)
     for name in [*by, *order, c.label, *c.cols]:
@@ -119,18 +120,20 @@ def advance(batch: DataFrame, halo: DataFrame | None, chain: Chain,
         late = None
         x = rows.withColumns({"_old": F.lit(False), "_run0": F.lit(0).cast("long"), "_before": F.lit(0).cast("long")})
     else:
-        mine = halo.join(rows.select(*by).distinct(), by, "left_semi")
+        mine = keep_once(halo.join(rows.select(*by).distinct(), by, "left_semi"))
         last = mine.groupBy(*[F.col(b).alias(f"_k_{b}") for b in by]).agg(
             F.max(F.struct(*order)).alias("_last"), F.max(_RUN).alias("_run0"),
             (F.max(_LEN) - F.count(F.lit(1))).alias("_before"))
-        known = join_small(rows, last, lambda big, side: _same(by, big, side), "left")
+        local = materialize_small(last)
+        last = F.broadcast(local) if local is not None else keep_once(last)
+        known = keep_once(rows.join(last, _same(by, rows, last), "left"))
         is_late = F.coalesce(F.struct(*order) <= F.col("_last"), F.lit(False))
         late = known.where(is_late).select(*names)
         fresh = known.where(~is_late).select(
             *names, F.lit(False).alias("_old"), F.coalesce("_run0", F.lit(0)).cast("long").alias("_run0"),
             F.coalesce("_before", F.lit(0)).cast("long").alias("_before"))
         # halos of entities that have only late rows change nothing, but may stand here
-        tail = join_small(mine, last, lambda big, side: _same(by, big, side), "inner").select(
+        tail = mine.join(last, _same(by, mine, last), "inner").select(
             *names, F.lit(True).alias("_old"), F.col("_run0").cast("long").alias("_run0"), F.col("_before").cast("long").alias("_before"))
         x = fresh.unionByName(tail)
     y = sequence.index(x, by, order, label=c.label, event_col="_ev", chunk_width=c.chunk_width, unique_order=c.unique_order)
@@ -148,12 +151,13 @@ def advance(batch: DataFrame, halo: DataFrame | None, chain: Chain,
     z = sequence.blocked(y, halo=c.reach, block_rows=c.block_rows)
     w = Window.partitionBy(*by, BLOCK, "_ev").orderBy(POS)
     z = z.withColumns({a: F.avg(F.col(a)).over(w.rowsBetween(-int(c.period), Window.currentRow)) for a in c.cols})
-    z = z.withColumns({f"{a}{c.suffix}": F.reverse(F.collect_list(F.col(a)).over(w.rowsBetween(-int(c.n), -1))) for a in c.cols})
+    # no column holds a NULL here: one list of all columns' values, taken apart in the rows that stay
+    z = z.withColumn("_se_lags", F.collect_list(F.struct(*[F.col(a).alias(f"c{i}") for i, a in enumerate(c.cols)])).over(w.rowsBetween(-int(c.n), -1)))
     rank = (F.col(PEER) - F.col(ESTART) + F.col("_skipped") - F.lit(int(c.n)) + 1).cast("int")
     keep = ~F.col(HALO) & ~F.col("_old") & (rank > 0) & (rank % F.lit(int(c.step)) == 0)
-    for a in c.cols:
-        keep = keep & (F.size(f"{a}{c.suffix}") == int(c.n))
-    features = z.where(keep).select(*names, (F.col("_run0") + F.col("_ev")).alias(c.event_col), *[f"{a}{c.suffix}" for a in c.cols],
+    keep = keep & (F.size("_se_lags") == int(c.n))
+    lags = [F.reverse(F.col("_se_lags").getField(f"c{i}")).alias(f"{a}{c.suffix}") for i, a in enumerate(c.cols)]
+    features = z.where(keep).select(*names, (F.col("_run0") + F.col("_ev")).alias(c.event_col), *lags,
                                     *([rank.alias(c.rank_col)] if c.rank_col else []))
     return features, state, late
 
