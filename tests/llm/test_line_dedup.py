@@ -178,3 +178,11 @@ def test_tables_equal_brute_force(spark):
     drop = brute(texts, 10)
     want = Counter(t and "\n".join(x for i, x in enumerate(t.split("\n")) if (t, i) not in drop) for t in texts)
     assert Counter(r.text for r in line_dedup.line_dedup(df).collect()) == want
+
+
+def test_a_text_is_hashed_once_not_for_every_line(spark):
+    from series_engine.llm.line_dedup import parsed
+    docs = spark.createDataFrame([(1, "a b c\nd e f")], "doc_id long, text string")
+    plan = parsed(docs, "text", 3)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Generate", 1)[0]
+    assert "_line" in above and "xxhash64(_t#" not in above and "xxhash64(1, _t#" not in above
