@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from series_engine.llm.common import cut, has_word, only, small, text_keys, text_or_empty
 from series_engine.llm.components import components
 from series_engine.llm.substring import Windows, word_hashes
+from series_engine.session import short_batches
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -175,6 +176,7 @@ def classes(docs: DataFrame, size: int = 5, similarity: float = 0.8, block_shing
             block_sets: int = 2000, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``_id, _k1, _k2, _set, _size, component``: every row with its set (NULL
     if empty) and the component of its set; ``component`` is a set too."""
+    short_batches(docs.sparkSession)
     n, rows = bands(similarity)
     percent = round(100 * similarity)
     kind = dict(docs.dtypes)[id_col]

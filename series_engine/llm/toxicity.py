@@ -49,12 +49,15 @@ from pyspark.sql import functions as F
 from series_engine.llm.common import cut, only
 from series_engine.llm.components import components
 from series_engine.llm.line_dedup import near_pairs, shingles
+from series_engine.session import short_batches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = string.punctuation + "«»“”„‘’¿¡…—–"
 PREFIXES = (7, 6, 5, 4, 3)
 #: Words remembered with their score in one task; forgetting changes no result.
 _CACHE = 500_000
+#: Words counted in one task before their sums go on.
+_COUNTS = 100_000
 
 
 @dataclass
@@ -122,15 +125,23 @@ def _scan(text: str | None, m: Model, cache: dict) -> tuple[list[tuple[float, in
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of each class and fold that hold a word; summed per batch."""
+    """Documents of each class and fold that hold a word; summed over the
+    batches that ``_COUNTS`` of them last for."""
+    seen: Counter = Counter()
+
+    def summed() -> pd.DataFrame:
+        return pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["unit", "label", "held", "n"])
+
     for b in batches:
-        seen: Counter = Counter()
         for text, label, held in zip(b["text"], b["label"], b["held"], strict=True):
             own = {units(w)[0] for w in set(WORD.findall(text or "")) if units(w)}
             seen.update((u, int(label), int(held)) for u in own)
             seen["", int(label), int(held)] += 1  # the number of documents
-        if seen:
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["unit", "label", "held", "n"])
+        if len(seen) >= _COUNTS:
+            yield summed()
+            seen.clear()
+    if seen:
+        yield summed()
 
 
 def _log_odds(a: str, b: str, total_a: float, total_b: float, prior: float, lower: float):
@@ -179,6 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 50_000, prior: floa
     """Learn unit scores and calibration from labelled documents.  A unit
     counts if its lowered log-odds reach ``least`` and fewer than one of all
     units would lean as far to the toxic documents by chance."""
+    short_batches(docs.sparkSession)
     train = cut(labelled(docs, labels, max_train, text, id_col, label), "toxic-train")
     counts = train.mapInPandas(_word_counts, "unit string, label int, held int, n long")
     flag = {(y, h): F.sum(F.when((F.col("label") == y) & (F.col("held") == h), F.col("n")).otherwise(0)) for y in (0, 1) for h in (0, 1)}
@@ -257,6 +269,7 @@ def _calibrate(m: Model, held: DataFrame) -> None:
 def score(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``id, score, predicted`` of every document, with its number of
     segments and the words of its best one."""
+    short_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(m)  # some of the words of max_train documents
     id_type = dict(docs.dtypes)[id_col]
 
@@ -282,6 +295,7 @@ def score(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text",
 
 def reject(docs: DataFrame, m: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
     """The documents, all columns as they are, that score below the threshold."""
+    short_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(m)
     at = docs.columns.index(text)
 

@@ -122,3 +122,23 @@ def test_many_short_sets_in_one_block():
     common = rng.integers(0, 2**63, 12, dtype=np.uint64)
     sets = [np.unique(np.append(common, x)) for x in rng.integers(0, 2**63, 3000, dtype=np.uint64)]
     assert minhash.linked(sets, 85) == [0] * 3000 and minhash.linked(sets, 90) == list(range(3000))
+
+
+def test_texts_go_to_python_in_short_batches(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from series_engine.llm import toxicity
+
+    def most():
+        def rows(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+        wide = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("abcdefghij"), 1000).alias("t"))
+        return max(r.n for r in wide.mapInArrow(rows, "n long").collect()) * 10_000
+
+    table = docs(spark, AWKWARD)
+    for call in (lambda: minhash.near_duplicates(table), lambda: toxicity.reject(table, toxicity.Model({}))):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        assert most() == 4_000_000
+        call()
+        assert most() < 1_500_000

@@ -77,3 +77,11 @@ def test_only_confirmed_near_copies_are_one_witness(spark):
     got = sorted((r.text, r.label) for r in tox.labelled(docs(spark, rows), lab, 1000, "text", "doc_id", "toxic").collect())
     assert [x for x in got if x[0].startswith("shared")] == sorted((t, i % 2) for i, t in enumerate(own))
     assert [x for x in got if x[0].startswith("copy")] == [(near[0], 0), (near[1], 1)]
+
+
+def test_words_are_summed_over_short_batches():
+    import pandas as pd
+    from series_engine.llm import toxicity
+    batch = pd.DataFrame({"text": ["one two"], "label": [1], "held": [0]})
+    found = list(toxicity._word_counts(iter([batch] * 50)))
+    assert len(found) == 1 and set(found[0].itertuples(index=False, name=None)) == {("=one", 1, 0, 50), ("=two", 1, 0, 50), ("", 1, 0, 50)}
