@@ -186,3 +186,23 @@ def test_a_text_is_hashed_once_not_for_every_line(spark):
     plan = parsed(docs, "text", 3)._jdf.queryExecution().optimizedPlan().toString()
     above = plan.split("Generate", 1)[0]
     assert "_line" in above and "xxhash64(_t#" not in above and "xxhash64(1, _t#" not in above
+
+
+def test_a_line_is_split_without_a_pattern(spark):
+    from series_engine.llm.line_dedup import parsed
+    docs = spark.createDataFrame([(1, "a b c\nd e f")], "doc_id long, text string")
+    above = parsed(docs, "text", 3)._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)[0]
+    assert "split(" in above and "\\x20\\x09-\\x0D]+" not in above and above.count("RLIKE") == 1
+
+
+def test_lines_with_tabs_and_carriage_returns(spark):
+    """Other blanks part words like spaces, and a line of them alone is none."""
+    texts = [f"own{c} words{c} of{c}\r\n\t shared\tfooter \x0b line{' ' * (i + 1)}of all\r\n \t\r\n\x0c\nlast {c}{c}" for i, c in enumerate("abcdefghijkl")]
+    texts += [f"{apart('far' + c, 30)}\tx\n{apart('far' + c, 9)}" for c in "abc"]
+    got = line_dedup.line_dedup(docs(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])).collect()
+    drop = brute(texts, 10)
+    assert len(drop) >= 12
+    for r in got:
+        t = texts[r.doc_id]
+        assert r.text == "\n".join(x for i, x in enumerate(t.split("\n")) if (t, i) not in drop)
+        assert r.n_lines == sum(bool(split(x)) for x in t.split("\n"))
