@@ -91,20 +91,26 @@ def write_sized(df: DataFrame, path: str, cols, order=None, target_bytes: int =
      .option("partitionOverwriteMode", "dynamic" if touched_only else "static").parquet(path))
 
 
+#: Bytes of a row group in the files of a stream: tasks share a file by its row groups.
+TURN_GROUP_BYTES = 8 << 20
+
+
 def write_in_turn(df: DataFrame, path: str, turn: Column, order, target_bytes: int = 128 << 20) -> int:
     """Parquet files for a file stream to take one after the other: a file for each
     value of ``turn`` (a whole number; rows where it is NULL are left out), smallest
     first, or several, cut by ``order``, where its rows take more than about
     ``target_bytes``.  Rows equal in ``turn`` and ``order`` share a file.  A stream takes the
     oldest file first, so files that tasks wrote side by side are stamped a second
-    apart.  Returns the number of files."""
+    apart.  A batch of one large file is read by many tasks: its row groups are small
+    (``TURN_GROUP_BYTES``).  Returns the number of files."""
     spark = df.sparkSession
     order = [order] if isinstance(order, str) else list(order)
     rows = df.withColumn("_se_turn", turn.cast("long")).where("_se_turn IS NOT NULL")
     n = rows.count()
     held = max(1, int(target_bytes / _bytes_per_row(rows.drop("_se_turn"), n)))
     staged = scratch_path(spark, "in-turn")
-    rows.repartitionByRange(max(1, -(-n // held)), "_se_turn", *order).write.partitionBy("_se_turn").parquet(staged)
+    rows.repartitionByRange(max(1, -(-n // held)), "_se_turn", *order).write.partitionBy("_se_turn").option(
+        "parquet.block.size", TURN_GROUP_BYTES).parquet(staged)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path
     fs = at(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -16,9 +16,11 @@ rows of it; every ``snapshot_every`` batches the halos of all entities are writt
 as one snapshot, so a batch reads one snapshot and few deltas.  ``compact`` merges
 old batches by levels, so neither folders nor records grow with the batches.
 
-Everything is DataFrame code: windows run over chunks and blocks of an entity as in
-batch jobs (``operators.sequence``), so an entity that fills a batch is no hot task;
-halos are small for every entity.
+Everything is DataFrame code.  A batch in which every entity has few rows is shuffled
+by entity once, together with the halos, and its windows follow each other on that
+(``_advance_whole``); otherwise windows run over chunks and blocks of an entity as in
+batch jobs (``operators.sequence``), so an entity that fills a batch is no hot task.
+Halos are small for every entity.
 
 Rows must arrive in order: those of a batch lie after all earlier rows of their
 entity.  Rows at or before the entity's last order values are *late*; they are kept
@@ -80,12 +82,16 @@ class HaloState:
         last = max((i for i, r in enumerate(records) if r["snapshot"]), default=0)
         return [r["folders"]["state"] for r in records[last:]]
 
+    def stored(self, batch: int) -> DataFrame | None:
+        """Halo rows in force before a batch and older ones of the same entities; None at the start."""
+        paths = self._folders(batch)
+        return self.log.spark.read.parquet(*paths) if paths else None
+
     def before(self, batch: int) -> DataFrame | None:
         """Halo rows of every entity as of the batch before; None at the start."""
-        paths = self._folders(batch)
-        if not paths:
+        rows = self.stored(batch)
+        if rows is None:
             return None
-        rows = self.log.spark.read.parquet(*paths)
         # an entity has at most ``reach`` rows in a folder, and few folders are read
         newest = F.max(_BATCH).over(Window.partitionBy(*self.chain.by))
         return rows.withColumn("_newest", newest).where(F.col(_BATCH) == F.col("_newest")).drop("_newest")
@@ -101,6 +107,95 @@ def _same(by, left: DataFrame, right: DataFrame) -> Column:
     return cond
 
 
+def _whole_rows(batch: DataFrame, c: Chain) -> DataFrame:
+    """The rows that are part of a series."""
+    whole = F.lit(True)
+    for name in [*c.by, *c.order, c.label, *c.cols]:
+        whole = whole & F.col(name).isNotNull()
+    for name in c.cols:
+        if batch.schema[name].dataType.typeName() in ("double", "float"):
+            whole = whole & ~F.isnan(name)
+    return batch.where(whole)
+
+
+def _fits_whole(batch: DataFrame, c: Chain) -> bool:
+    """Whether no entity has more rows in the batch than one window may hold."""
+    width, most = c.chunk_width, int(c.block_rows)
+    if width is None or width == "auto":
+        most = min(most, sequence.AUTO_CHUNK_ROWS)
+    elif str(width).startswith("rows:"):
+        most = min(most, int(str(width)[5:]))
+    elif width != 0:
+        return False
+    per = batch.groupBy(*c.by).agg(F.count(F.lit(1)).alias("n"))
+    return (per.agg(F.max("n")).first()[0] or 0) <= most
+
+
+def _advance_whole(batch: DataFrame, stored: DataFrame | None, chain: Chain, batch_id: int, carry: bool,
+                   keep_once: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """As ``advance`` for a batch whose entities fit one window each, with the rows
+    of all state folders in force: one shuffle by entity brings rows and halos
+    together, and the rows that go on (features, halos, late rows) are kept once.
+    The new halos have their batch; with ``carry`` those of all other entities
+    are among them."""
+    c, by, order = chain, list(chain.by), list(chain.order)
+    x = _whole_rows(batch, c)
+    names, keys = x.columns, by
+    struct = F.struct(*order)
+    if stored is None:
+        x = x.withColumns({"_old": F.lit(False), "_run0": F.lit(0).cast("long"), "_before": F.lit(0).cast("long"),
+                           _BATCH: F.lit(None).cast("long"), "_late": F.lit(False)})
+    else:
+        facts = [_BATCH, _RUN, _LEN, _BACK]
+        x = x.select(*names, F.lit(False).alias("_old"), *[F.lit(None).cast("long").alias(f) for f in facts]).unionByName(
+            stored.select(*names, F.lit(True).alias("_old"), *[F.col(f).cast("long").alias(f) for f in facts]))
+        e = Window.partitionBy(*by)
+        # runs and batches grow; the halo of a batch has one run and one length, and its rows are counted back from 0
+        x = x.withColumns({"_tip": F.max(F.struct(*facts)).over(e), "_last": F.max(F.when(F.col("_old"), struct)).over(e),
+                           "_any": F.max(~F.col("_old")).over(e)})
+        x = x.where(~F.col("_old") | ((F.col(_BATCH) == F.col(f"_tip.{_BATCH}")) & (F.col("_any") | F.lit(carry))))
+        zero = F.lit(0).cast("long")
+        x = x.select(*names, "_old", F.coalesce(f"_tip.{_RUN}", zero).alias("_run0"),
+                     F.coalesce(F.col(f"_tip.{_LEN}") - F.col(f"_tip.{_BACK}") - 1, zero).alias("_before"),
+                     F.when(~F.col("_any"), F.col(_BATCH)).alias(_BATCH),
+                     (~F.col("_old") & F.coalesce(struct <= F.col("_last"), F.lit(False))).alias("_late"))
+        keys = [*by, "_late"]  # late rows stand beside the series
+    ties = []
+    if not c.unique_order:
+        x = x.withColumn("_tb", sequence.row_tiebreak(x.select(*names, "_old", "_run0", "_before")))
+        ties = ["_tb"]
+    w = Window.partitionBy(*keys).orderBy(*order, *ties)
+    wr = Window.partitionBy(*keys).orderBy(*order)  # peers share a rank and a run
+    x = x.withColumns({"_rn": F.row_number().over(w), "_rk": F.rank().over(wr),
+                       "_n": F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+                       "_ind": F.coalesce((F.col(c.label) != F.lag(c.label).over(w)).cast("long"), F.lit(0).cast("long"))})
+    x = x.withColumn("_ev", F.sum("_ind").over(wr.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    run = Window.partitionBy(*keys, "_ev").orderBy("_rn")
+    all_run = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    means = [f"_mean{i}" for i in range(len(c.cols))]
+    x = x.withColumns({"_first": F.min("_rn").over(all_run), "_end": F.max("_rn").over(all_run),
+                       **{m: F.avg(a).over(run.rowsBetween(-int(c.period), Window.currentRow)) for m, a in zip(means, c.cols)}})
+    # no column holds a NULL here: one list of all columns' values, taken apart in the rows that stay
+    x = x.withColumn("_lags", F.collect_list(F.struct(*means)).over(run.rowsBetween(-int(c.n), -1)))
+    skipped = F.when(F.col("_ev") == 0, F.col("_before")).otherwise(F.lit(0).cast("long"))  # rows of the run before the halo
+    rank = (F.col("_rk") - F.col("_first") + skipped - F.lit(int(c.n)) + 1).cast("int")
+    made = ~F.col("_old") & ~F.col("_late") & (rank > 0) & (rank % F.lit(int(c.step)) == 0) & (F.size("_lags") == int(c.n))
+    left = ~F.col("_late") & (F.col("_end") == F.col("_n")) & (F.col("_rn") > F.col("_n") - F.lit(c.reach))
+    x = x.withColumns({"_made": made, "_left": left}).where("_made OR _left OR _late")
+    z = keep_once(x.select(
+        *names, *means, *[F.when(F.col("_made"), F.reverse(F.col("_lags").getField(m))).alias(f"{a}{c.suffix}") for m, a in zip(means, c.cols)],
+        (F.col("_run0") + F.col("_ev")).alias(_RUN), (F.col("_n") - F.col("_first") + 1 + skipped).cast("long").alias(_LEN),
+        (F.col("_n") - F.col("_rn")).cast("long").alias(_BACK), _BATCH, rank.alias("_rank"), "_made", "_left", "_late"))
+    mean = dict(zip(c.cols, means))
+    features = z.where("_made").select(
+        *[F.col(mean[a]).alias(a) if a in mean else F.col(a) for a in names], F.col(_RUN).alias(c.event_col),
+        *[f"{a}{c.suffix}" for a in c.cols], *([F.col("_rank").alias(c.rank_col)] if c.rank_col else []))
+    late = z.where("_late").select(*names) if stored is not None else None
+    # the batch's number comes last: the code made for the plan above is that of every batch
+    halos = z.where("_left").select(*names, _RUN, _LEN, _BACK, F.coalesce(_BATCH, F.lit(int(batch_id)).cast("long")).alias(_BATCH))
+    return features, halos, late
+
+
 def advance(batch: DataFrame, halo: DataFrame | None, chain: Chain,
             keep_once: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """``(features, new halos, late rows)`` of a batch, given the halos before it
@@ -108,13 +203,7 @@ def advance(batch: DataFrame, halo: DataFrame | None, chain: Chain,
     the rows beside them and the numbered rows are read several times and go through
     ``keep_once``."""
     c, by, order = chain, list(chain.by), list(chain.order)
-    whole = F.lit(True)
-    for name in [*by, *order, c.label, *c.cols]:
-        whole = whole & F.col(name).isNotNull()
-    for name in c.cols:
-        if batch.schema[name].dataType.typeName() in ("double", "float"):
-            whole = whole & ~F.isnan(name)
-    rows = batch.where(whole)
+    rows = _whole_rows(batch, c)
     names = rows.columns
     if halo is None:
         late = None
@@ -177,22 +266,25 @@ def process_batch(batch: DataFrame, batch_id: int, state: HaloState, finish: Cal
 
     try:
         batch = keep_once(batch)
-        before = state.before(batch_id)
-        made, halos, late = advance(batch, before, chain, keep_once)
+        snapshot, before = state.is_snapshot(batch_id), None
+        if _fits_whole(batch, chain):
+            made, halos, late = _advance_whole(batch, state.stored(batch_id), chain, batch_id, snapshot, keep_once)
+        else:
+            before = state.before(batch_id)
+            made, halos, late = advance(batch, before, chain, keep_once)
+            halos = halos.withColumn(_BATCH, F.lit(int(batch_id)).cast("long"))
         folders = {k: log.attempt(k, batch_id) for k in (kind, "state")}
+        (finish(made) if finish else made).write.parquet(folders[kind])
+        halos.write.parquet(folders["state"])
         if late is not None and late.limit(1).count():
             folders["late"] = log.attempt("late", batch_id)
             late.write.parquet(folders["late"])
-        snapshot = state.is_snapshot(batch_id)
-        halos = halos.withColumn(_BATCH, F.lit(int(batch_id)).cast("long"))
-        halos.write.parquet(folders["state"])
         if snapshot and before is not None:
             written = log.spark.read.schema(halos.schema).parquet(folders["state"])
             rest = before.join(written.select(*chain.by).distinct(), list(chain.by), "left_anti")
             both = written.unionByName(rest.select(*halos.columns))
             folders["state"] = log.attempt("state", batch_id)
             both.hint("rebalance").write.parquet(folders["state"])
-        (finish(made) if finish else made).write.parquet(folders[kind])
         return log.commit(batch_id, folders, batch=int(batch_id), snapshot=snapshot)
     finally:
         for df in held:

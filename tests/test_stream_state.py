@@ -205,3 +205,50 @@ def test_small_files_in_turn_are_one_each(spark, tmp_path):
     assert writers.write_in_turn(df, str(tmp_path / "a"), F.col("k"), "id") == 3
     assert rows(spark.read.parquet(str(tmp_path / "a"))) == rows(df)
     assert writers.write_in_turn(df.limit(0), str(tmp_path / "b"), F.col("k"), "id") == 0 and (tmp_path / "b").is_dir()
+
+
+def test_batch_of_short_entities_is_shuffled_by_entity_once(spark, tmp_path):
+    """Rows and halos meet in one shuffle, in front of every window of the batch."""
+    data, chain = series(4), st.Chain(**ARGS, unique_order=True)
+    state = st.HaloState(spark, str(tmp_path / "s"), chain)
+    st.process_batch(spark.createDataFrame(data[:120], SCHEMA), 0, state)
+    made, halos, late = st._advance_whole(spark.createDataFrame(data[120:], SCHEMA), state.stored(1), chain, 1, True, lambda df: df)
+    for df in (made, halos, late):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_short_and_cut_entities_give_the_same(spark, tmp_path, monkeypatch, unique):
+    """Rows, halos, snapshots and late rows do not depend on which way a batch goes."""
+    from series_engine.operators import sequence
+    data = [(u, t // 2 if not unique else t, *rest) for u, t, *rest in series(11, 300)]
+    stray = [(0, 1, -1, "a", 0.5, 0.5), (1, 1, -2, "a", 0.5, 0.5), (99, 1, -3, "a", 0.5, 0.5)]
+    parts, found = cuts(data, 11, 4), []
+    parts[2] = parts[2] + stray
+    parts.insert(3, [(2, 1, -4, "b", 0.5, 0.5)])  # an entity with late rows alone
+    for way in ("whole", "cut"):
+        with monkeypatch.context() as m:
+            if way == "cut":
+                m.setattr(st, "_fits_whole", lambda batch, c: False)
+                m.setattr(sequence, "AUTO_CHUNK_ROWS", 30)
+            base = str(tmp_path / way)
+            state = st.HaloState(spark, base, st.Chain(**ARGS, unique_order=unique), 3)
+            kept = []
+            for i, part in enumerate(parts):
+                assert st.process_batch(spark.createDataFrame(part, SCHEMA), i, state)
+                kept.append(rows(state.before(i + 1)))
+            late = st.read_rows(spark, base, "late")
+            found.append((rows(st.read_rows(spark, base)), kept, rows(late), st.read_rows(spark, base).columns))
+    assert found[0] == found[1] and len(found[0][0]) > 20 and len(found[0][2]) >= 3
+    assert state.is_snapshot(2) and len(kept[2]) > 10
+
+
+def test_files_of_a_stream_can_be_shared_by_tasks(spark, tmp_path, monkeypatch):
+    from series_engine.sinks import writers
+    monkeypatch.setattr(writers, "TURN_GROUP_BYTES", 100_000, raising=False)
+    df = spark.range(200_000).select("id", F.rand(1).alias("x"))
+    assert writers.write_in_turn(df, str(tmp_path / "a"), F.lit(0), "id") == 1
+    import pyarrow.parquet as pq
+    (file,) = (tmp_path / "a").glob("*.parquet")
+    assert pq.ParquetFile(str(file)).num_row_groups > 4
