@@ -96,7 +96,7 @@ class CommitLog:
     def committed(self, id_) -> bool:
         return self._exists(self._record_path(id_)) or str(id_) in self.ids()
 
-    def commit(self, id_, folders: dict[str, str], **facts) -> bool:
+    def commit(self, id_, folders: dict[str, str | list[str]], **facts) -> bool:
         """Record the attempt's folders under ``id_``; False if another attempt was first."""
         stamp = self._jvm.java.lang.System.currentTimeMillis()
         record = {"id": str(id_), "at": stamp, "folders": folders, **facts}
@@ -117,8 +117,20 @@ class CommitLog:
         """A new folder for one attempt at writing ``id_``."""
         return f"{self.base}/{kind}/{quote(str(id_), safe='')}-{uuid.uuid4().hex[:12]}"
 
+    @staticmethod
+    def named(record: dict, kind: str) -> list[str]:
+        """The folders of a kind that a record names: none, one, or a list where a
+        merge left full folders as they are."""
+        found = record["folders"].get(kind, [])
+        return [found] if isinstance(found, str) else list(found)
+
     def folders(self, kind: str) -> list[str]:
-        return [r["folders"][kind] for r in self.records() if kind in r["folders"]]
+        return [f for r in self.records() for f in self.named(r, kind)]
+
+    def size(self, folder: str) -> tuple[int, int]:
+        """Bytes and number of a folder's data files."""
+        sizes = [s.getLen() for s in self._fs.listStatus(self._path(folder)) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+        return sum(sizes), len(sizes)
 
     def read(self, kind: str, schema: StructType | str | None = None, fmt: str = "parquet", **options) -> DataFrame:
         """The rows of all committed folders of a kind (an empty table of ``schema``
@@ -146,13 +158,14 @@ class CommitLog:
             raise ValueError("only logs of one kind of folder are compacted here")
         reader = self.spark.read.options(**options)
         reader = reader.schema(schema) if schema is not None else reader
-        rows = reader.format(fmt).load([r["folders"][kind] for r in old])
+        rows = reader.format(fmt).load([f for r in old for f in self.named(r, kind)])
         target = self.attempt(kind, "compacted")
         rows.hint("rebalance").write.format(fmt).options(**options).save(target)
         replaces = [x for r in old for x in (r["id"], *r.get("replaces", []))]
         self.commit(f"compacted-{uuid.uuid4().hex[:12]}", {kind: target}, replaces=replaces)
         for r in old:
-            self._delete(r["folders"][kind])
+            for folder in self.named(r, kind):
+                self._delete(folder)
             self._delete(self._record_path(r["id"]))
         return len(old)
 

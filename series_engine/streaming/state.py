@@ -291,21 +291,43 @@ def process_batch(batch: DataFrame, batch_id: int, state: HaloState, finish: Cal
             df.unpersist()
 
 
+#: Bytes of the files that a merge writes.  A folder whose files hold half of that is left as it is.
+MERGED_BYTES = 32 << 20
+
+
+def _merge_rows(log: CommitLog, kind: str, folders: list[str], name: str) -> list[str]:
+    """Folders with the rows of these ones: small files are rewritten in files of
+    about ``MERGED_BYTES``, without a shuffle; folders of full files are kept."""
+    sizes = {f: log.size(f) for f in folders}
+    small = [f for f in folders if sizes[f][0] < sizes[f][1] * (MERGED_BYTES // 2) or not sizes[f][1]]
+    files = max(1, -(-sum(sizes[f][0] for f in small) // MERGED_BYTES))
+    if sum(sizes[f][1] for f in small) <= files:  # no fewer by a rewrite
+        return folders
+    target = log.attempt(kind, name)
+    log.spark.read.parquet(*small).coalesce(files).write.parquet(target)
+    return [*(f for f in folders if f not in small), target]
+
+
 def _merge(state: HaloState, old: list[dict], level: int) -> None:
-    """Replace the records of batches in a row by one: their rows rewritten in
-    files of Spark's advisory size, and the halos as of the last of them."""
+    """Replace the records of batches in a row by one: their small files rewritten
+    in larger ones, and the halos as of the last of them."""
     log, last = state.log, old[-1]["batch"]
     name, folders = f"to-{last}-level-{level}", {}
     for kind in sorted({k for r in old for k in r["folders"]} - {"state"}):
-        folders[kind] = log.attempt(kind, name)
-        log.spark.read.parquet(*[r["folders"][kind] for r in old if kind in r["folders"]]).hint("rebalance").write.parquet(folders[kind])
-    folders["state"] = log.attempt("state", name)
-    state.before(last + 1).hint("rebalance").write.parquet(folders["state"])
+        folders[kind] = _merge_rows(log, kind, [f for r in old for f in log.named(r, kind)], name)
+    if old[-1]["snapshot"]:  # these are all halos
+        folders["state"] = old[-1]["folders"]["state"]
+    else:
+        folders["state"] = log.attempt("state", name)
+        state.before(last + 1).hint("rebalance").write.parquet(folders["state"])
     replaces = [x for r in old for x in (r["id"], *r.get("replaces", []))]
     if log.commit(name, folders, batch=last, snapshot=True, level=level, replaces=replaces):
+        kept = {folders["state"], *(f for kind in folders if kind != "state" for f in folders[kind])}
         for r in old:
-            for folder in r["folders"].values():
-                log._delete(folder)
+            for kind in r["folders"]:
+                for folder in log.named(r, kind):
+                    if folder not in kept:
+                        log._delete(folder)
             log._delete(log._record_path(r["id"]))
 
 
@@ -314,7 +336,8 @@ def compact(spark: SparkSession, base: str, chain: Chain, fan: int = 8) -> int:
 
     ``fan`` records of a level become one of the next, oldest first, and the newest
     batch stays: there are at most ``fan`` records a level, a row is rewritten
-    once a level, and the levels grow with the logarithm of the batches.  To be
+    once a level until its file is full (``MERGED_BYTES``), and the levels grow with
+    the logarithm of the batches.  To be
     called between batches (``features_stream(compact_fan=...)`` does); a merge
     that dies before its record has not happened, one that dies after it leaves
     files that ``CommitLog.sweep`` removes."""

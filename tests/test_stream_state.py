@@ -244,6 +244,23 @@ def test_short_and_cut_entities_give_the_same(spark, tmp_path, monkeypatch, uniq
     assert state.is_snapshot(2) and len(kept[2]) > 10
 
 
+def test_full_files_are_not_rewritten_by_a_merge(spark, tmp_path, monkeypatch):
+    """A row is written again until its file is full, not once a level."""
+    data, base = series(5), str(tmp_path / "s")
+    chain = st.Chain(**ARGS, unique_order=True)
+    state = st.HaloState(spark, base, chain, 2)
+    monkeypatch.setattr(st, "MERGED_BYTES", 1000, raising=False)  # every file is full
+    log, parts = CommitLog(spark, base), cuts(data, 5, 5)
+    for i, part in enumerate(parts):
+        st.process_batch(spark.createDataFrame(part, SCHEMA).coalesce(1), i, state)
+        before = set(log.folders("rows"))
+        st.compact(spark, base, chain, 2)
+        assert before == set(log.folders("rows"))
+    assert len(log.records()) <= 3 and log.sweep("rows") == 0 and log.sweep("state") == 0
+    want = batch_job(spark, data)
+    assert rows(log.read("rows").select(*want.columns)) == rows(want)
+
+
 def test_files_of_a_stream_can_be_shared_by_tasks(spark, tmp_path, monkeypatch):
     from series_engine.sinks import writers
     monkeypatch.setattr(writers, "TURN_GROUP_BYTES", 100_000, raising=False)
